@@ -484,7 +484,10 @@ def commentary(wow: DataFrame, dim: str, order: Sequence[Column], word: str, wor
         )
     )
     n = drops.agg(F.count(F.lit(1)).alias("n"))
-    return n.join(bits, F.lit(True)).select(
+    both = n.select("n", F.lit(None).cast("string").alias("bits")).unionByName(
+        bits.select(F.lit(None).cast("long").alias("n"), "bits")
+    )
+    return both.agg(F.max("n").alias("n"), F.max("bits").alias("bits")).select(
         F.when(
             F.col("n") > 0,
             F.concat(
