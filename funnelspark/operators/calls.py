@@ -43,17 +43,22 @@ def event_type(direction: Column) -> Column:
     )
 
 
-def outcome(kind: Column, direction: Column, status: Column, talk: Column, ring: Column) -> Column:
-    """Ordered voice outcome; a missing talk or ring time falls through to ``other``."""
-    voice, inbound, outbound = kind == "voice", direction == "inbound", direction == "outbound"
+def outcome(direction: Column, status: Column, talk: Column, ring: Column) -> Column:
+    """Ordered voice outcome; a missing talk or ring time falls through to ``other``.
+
+    Reads the stored direction instead of the derived event type, which keeps the expression flat when the
+    optimizer folds one into the other.
+    """
+    inbound, outbound = direction == "inbound", direction == "outbound"
+    voice = direction.isin("inbound", "outbound")
     return first_match(
         [
             (voice & (status == "answered") & (talk > 0), "answered"),
             (voice & (status == "answered") & (talk == 0), "voicemail"),
-            (voice & inbound & (status == "hangup") & (ring < QUICK_HANGUP_RING), "quick_hangup"),
-            (voice & inbound & (status == "hangup") & (ring >= QUICK_HANGUP_RING), "abandoned_on_hold"),
-            (voice & inbound & status.isin(*NO_CONNECTION), "missed"),
-            (voice & outbound & status.isin(*NO_CONNECTION), "no_contact"),
+            (inbound & (status == "hangup") & (ring < QUICK_HANGUP_RING), "quick_hangup"),
+            (inbound & (status == "hangup") & (ring >= QUICK_HANGUP_RING), "abandoned_on_hold"),
+            (inbound & status.isin(*NO_CONNECTION), "missed"),
+            (outbound & status.isin(*NO_CONNECTION), "no_contact"),
         ],
         "other",
     )
@@ -61,13 +66,16 @@ def outcome(kind: Column, direction: Column, status: Column, talk: Column, ring:
 
 def classify_calls(df: DataFrame) -> DataFrame:
     """Adds event_type, is_voice, outcome, is_inbound_missed and needs_callback."""
-    df = df.withColumn("event_type", event_type(F.col("direction")))
-    df = df.withColumn("is_voice", F.col("event_type") == "voice").withColumn(
-        "outcome",
-        outcome(F.col("event_type"), F.col("direction"), F.col("status"), F.col("talk_time"), F.col("ring_time")),
+    d = F.col("direction")
+    df = df.withColumns(
+        {
+            "event_type": event_type(d),
+            "is_voice": F.coalesce(d.isin("inbound", "outbound"), F.lit(False)),
+            "outcome": outcome(d, F.col("status"), F.col("talk_time"), F.col("ring_time")),
+        }
     )
     missed = F.col("outcome").isin(*MISSED_OUTCOMES)
-    return df.withColumn("is_inbound_missed", missed).withColumn("needs_callback", missed)
+    return df.withColumns({"is_inbound_missed": missed, "needs_callback": missed})
 
 
 def callback_bucket(status: Column, minutes: Column) -> Column:
@@ -118,16 +126,20 @@ def add_callbacks(
     minutes = F.when(hit, F.floor((F.col("_cb.t") - F.col("unix_time")) / 60).cast("int"))
     both = F.col("_cb.agent_id").isNotNull() & F.col("agent_id").isNotNull()
     return (
-        out.withColumn("callback_status", status)
-        .withColumn("callback_call_id", F.col("_cb.id"))
-        .withColumn("callback_minutes", minutes)
-        .withColumn("callback_by_agent_id", F.col("_cb.agent_id"))
-        .withColumn("callback_by_same_agent", F.when(hit & both, F.col("_cb.agent_id") == F.col("agent_id")))
+        out.withColumns(
+            {
+                "callback_status": status,
+                "callback_call_id": F.col("_cb.id"),
+                "callback_minutes": minutes,
+                "callback_by_agent_id": F.col("_cb.agent_id"),
+                "callback_by_same_agent": F.when(hit & both, F.col("_cb.agent_id") == F.col("agent_id")),
+                "callback_connected": F.when(hit, F.col("_cb.outcome") == "answered"),
+            }
+        )
         .withColumn(
             "callback_bucket",
             F.when(F.col("needs_callback"), callback_bucket(F.col("callback_status"), F.col("callback_minutes"))),
         )
-        .withColumn("callback_connected", F.when(hit, F.col("_cb.outcome") == "answered"))
         .drop("_cb")
     )
 

@@ -42,7 +42,8 @@ class Query:
         for name, kind in self.columns:
             c = F.col(f"`{name}`").cast(TYPES[kind][0])
             if kind == "f":
-                c = F.round(c, 4) + F.lit(0.0)
+                # eight digits first: the last bits of a double sum depend on the order of addition
+                c = F.round(F.round(c, 8), 4) + F.lit(0.0)
             out.append(c.alias(name))
         return df.select(*out)
 
@@ -53,7 +54,7 @@ class Query:
         for name, kind in self.columns:
             c = f'CAST("{name}" AS {TYPES[kind][1]})'
             if kind == "f":
-                c = f"ROUND({c}, 4) + 0.0"
+                c = f"CAST(ROUND(CAST({c} AS DECIMAL(30, 8)), 4) AS DOUBLE) + 0.0"
             out.append(f'{c} AS "{name}"')
         order: list[str] = []
 
