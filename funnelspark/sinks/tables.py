@@ -6,7 +6,8 @@ read and rewritten, so a weekly run over years of history touches weeks, not the
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,16 +15,37 @@ from pyspark.sql import functions as F
 from funnelspark.operators.dedupe import newest_pull
 
 
+@contextmanager
+def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
+    """The session's partition overwrite mode for the span of one write.
+
+    As a write option it would be stored with the table and decide its later writes too.
+    """
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _by_partition(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of a partition value brought together, values that are too large split again by AQE."""
+    return df.hint("rebalance", *columns)
+
+
 def overwrite(df: DataFrame, table: str, partition_by: Sequence[str] = (), path: str | None = None) -> None:
     """Replace the whole table, schema included."""
     if partition_by:
-        df = df.repartition(*partition_by)
-    w = df.write.mode("overwrite").format("parquet").option("partitionOverwriteMode", "static")
+        df = _by_partition(df, partition_by)
+    w = df.write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if path:
         w = w.option("path", path)
-    w.saveAsTable(table)
+    with _overwrite_mode(df.sparkSession, "static"):
+        w.saveAsTable(table)
 
 
 def append(df: DataFrame, table: str, path: str | None = None) -> None:
@@ -38,9 +60,8 @@ def _write_partitions(df: DataFrame, table: str, partition: str) -> None:
     """Replace exactly the partitions present in ``df``."""
     spark = df.sparkSession
     cols = spark.table(table).columns
-    df.select(*cols).repartition(partition).write.option("partitionOverwriteMode", "dynamic").insertInto(
-        table, overwrite=True
-    )
+    with _overwrite_mode(spark, "dynamic"):
+        _by_partition(df.select(*cols), [partition]).write.insertInto(table, overwrite=True)
     spark.catalog.refreshTable(table)
 
 
@@ -159,8 +180,8 @@ def typed_views(df: DataFrame, column: str, views: Mapping[str, str]) -> None:
 
 
 def shared(df: DataFrame, by: str) -> DataFrame:
-    """Partition by the write key and persist, for a frame read by several writes; unpersist when done."""
-    return df.repartition(by).persist()
+    """Bring rows of a write key together and persist, for a frame read by several writes; unpersist when done."""
+    return _by_partition(df, [by]).persist()
 
 
 def write_json(df: DataFrame, path: str) -> None:
