@@ -41,10 +41,14 @@ def ingest_available(
     failure gives the same table, so the sink is idempotent.
     """
 
+    caller = stream.sparkSession
+
     def write(batch: DataFrame, _: int) -> None:
         rows = shape(batch) if shape else batch
         one = latest(rows, keys, [ingested_at], tie)
         upsert_newest(one, table, keys, ingested_at, partition, path)
+        # a batch runs in a session of its own, whose refresh the caller's file listing does not see
+        caller.catalog.refreshTable(table)
 
     return (
         stream.writeStream.foreachBatch(write)
