@@ -176,34 +176,29 @@ def daily_stats(calls: DataFrame, keys: Sequence[str]) -> DataFrame:
 def agent_stats(calls: DataFrame, day: str = "call_date", agent: str = "agent_id") -> DataFrame:
     """Per day and agent: calls, talk time, callbacks made.
 
-    Own calls and callbacks credited to the agent are two tagged row sets under one aggregate, so there
-    is one shuffle and no join of aggregates; agents with callbacks but no own calls drop out.
+    A call yields one row for its agent and one for the agent who called back, both under one aggregate:
+    one scan, one shuffle and no join of aggregates. Agents with callbacks but no own calls drop out.
     """
-    voice = calls.where(F.col(agent).isNotNull() & F.col("is_voice")).select(
-        day,
-        agent,
-        F.lit(1).alias("own"),
-        (F.col("outcome") == "answered").cast("int").alias("answered"),
-        F.col("is_inbound_missed").cast("int").alias("missed"),
-        F.coalesce("talk_time", F.lit(0)).alias("talk"),
-    )
-    made = calls.where(F.col("callback_by_agent_id").isNotNull()).select(
-        day,
-        F.col("callback_by_agent_id").alias(agent),
-        F.lit(0).alias("own"),
-        F.lit(0).alias("answered"),
-        F.lit(0).alias("missed"),
-        F.lit(0).alias("talk"),
+    def row(who: Column, own: int, answered: Column, missed: Column, talk: Column) -> Column:
+        return F.struct(
+            who.alias("who"), F.lit(own).alias("own"), answered.cast("int").alias("answered"), missed.cast("int").alias("missed"), talk.alias("talk")
+        )
+
+    none = F.lit(0)
+    mine = row(F.col(agent), 1, F.col("outcome") == "answered", F.col("is_inbound_missed"), F.coalesce("talk_time", none))
+    made = row(F.col("callback_by_agent_id"), 0, none, none, none)
+    rows = F.array(
+        F.when(F.col(agent).isNotNull() & F.col("is_voice"), mine), F.when(F.col("callback_by_agent_id").isNotNull(), made)
     )
     agg = (
-        voice.unionByName(made)
-        .groupBy(day, agent)
+        calls.select(day, F.explode(F.array_compact(rows)).alias("r"))
+        .groupBy(day, F.col("r.who").alias(agent))
         .agg(
-            F.sum("answered").alias("calls_answered"),
-            F.sum("missed").alias("calls_missed_assigned"),
-            F.count_if(F.col("own") == 0).alias("callbacks_made"),
-            F.sum(F.col("talk").cast("long")).alias("talk_time_seconds"),
-            F.sum("own").alias("total_voice_calls"),
+            F.sum("r.answered").alias("calls_answered"),
+            F.sum("r.missed").alias("calls_missed_assigned"),
+            F.count_if(F.col("r.own") == 0).alias("callbacks_made"),
+            F.sum(F.col("r.talk").cast("long")).alias("talk_time_seconds"),
+            F.sum("r.own").alias("total_voice_calls"),
         )
         .where("total_voice_calls > 0")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from funnelspark.functions.dates import date_parts
+from funnelspark.sources.tables import literal_table
 
 
 def date_spine(spark: SparkSession, start: object, end: object, name: str = "date_key") -> DataFrame:
@@ -31,4 +32,4 @@ def dim_month(spark: SparkSession, start: object, end: object) -> DataFrame:
 
 def dim_members(spark: SparkSession, members: Sequence[tuple], schema: str, catch_all: Sequence[tuple] = ()) -> DataFrame:
     """Literal dimension with its catch-all members, so that unmatched facts stay selectable."""
-    return spark.createDataFrame([*members, *catch_all], schema)
+    return literal_table(spark, [*members, *catch_all], schema)

@@ -15,13 +15,17 @@ def funnel(stages: Mapping[str, tuple[DataFrame, Column]], keys: Sequence[str])
 
     Each stage is (frame with the key columns, condition to count). The stage rows are stacked and counted
     in one aggregate: one shuffle instead of a chain of full outer joins, and rows whose key holds NULL
-    still meet each other.
+    still meet each other. Stages given the same frame are counted in one pass over it.
     """
     names = list(stages)
-    parts = []
+    frames: dict[int, tuple[DataFrame, dict[str, Column]]] = {}
     for name, (df, cond) in stages.items():
-        counted = df.select(*keys, F.coalesce(cond, F.lit(False)).cast("long").alias("_hit"))
-        parts.append(counted.select(*keys, *[(F.col("_hit") if n == name else F.lit(0).cast("long")).alias(n) for n in names]))
+        frames.setdefault(id(df), (df, {}))[1][name] = cond
+    zero = F.lit(0).cast("long")
+    parts = [
+        df.select(*keys, *[(F.coalesce(conds[n], F.lit(False)).cast("long") if n in conds else zero).alias(n) for n in names])
+        for df, conds in frames.values()
+    ]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

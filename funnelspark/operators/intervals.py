@@ -112,7 +112,7 @@ def first_in_window(
     return found.select("_row.*", F.when(F.col("_near.t") <= F.col("_limit"), F.col("_near")).alias(match))
 
 
-def nearest_by_day(
+def nearest_lookup(
     base: DataFrame,
     cands: DataFrame,
     *,
@@ -124,12 +124,10 @@ def nearest_by_day(
     carry: Sequence[str],
     match: str = "match",
 ) -> DataFrame:
-    """Candidate of the same key nearest in days; undated candidates last; ``rank`` ascending settles ties.
+    """Nearest candidate of every (key, day) that occurs in ``base``: columns ``_key``, ``_day`` and ``match``.
 
-    Adds a struct (``gap`` in days, the ``carry`` columns), NULL where the key has no candidate. Candidates
-    are first cut to the best one per key and day and base rows to distinct key and day, so a key has at
-    most a calendar's worth of rows in the window however many records share it. ``rank`` columns must not
-    be NULL and must end in a unique one.
+    Candidates are first cut to the best one per key and day and base rows to distinct key and day, so a
+    key has at most a calendar's worth of rows in the window however many records share it.
     """
     keyed = cands.where(F.col(cand_key).isNotNull()).select(
         F.col(cand_key).alias("_key"),
@@ -184,13 +182,37 @@ def nearest_by_day(
     )
     gap = F.when(F.col("_day").isNull(), F.lit(None).cast("int")).when(take_before, back).when(ahead.isNotNull(), ahead)
     found = placed.select("_key", "_day", pick.alias("_pick"), gap.alias("_gap")).where(F.col("_pick").isNotNull())
-    found = found.select(
-        "_key", "_day", F.struct(F.col("_gap").alias("gap"), F.col("_pick.c.*")).alias(match)
-    )
-    joined = base.join(
-        found, (F.col(base_key) == F.col("_key")) & base_day.cast("date").eqNullSafe(F.col("_day")), "left"
+    return found.select("_key", "_day", F.struct(F.col("_gap").alias("gap"), F.col("_pick.c.*")).alias(match))
+
+
+def join_lookup(base: DataFrame, lookup: DataFrame, base_key: str, base_day: Column, match: str) -> DataFrame:
+    """``base`` with the struct found for its key and day; one row per base row."""
+    found = lookup.select(F.col("_key"), F.col("_day"), F.col(match))
+    cond = (F.col(base_key) == F.col("_key")) & base_day.cast("date").eqNullSafe(F.col("_day"))
+    return base.join(found, cond, "left").drop("_key", "_day")
+
+
+def nearest_by_day(
+    base: DataFrame,
+    cands: DataFrame,
+    *,
+    base_key: str,
+    base_day: Column,
+    cand_key: str,
+    cand_day: Column,
+    rank: Sequence[Column],
+    carry: Sequence[str],
+    match: str = "match",
+) -> DataFrame:
+    """Candidate of the same key nearest in days; undated candidates last; ``rank`` ascending settles ties.
+
+    Adds a struct (``gap`` in days, the ``carry`` columns), NULL where the key has no candidate. ``rank``
+    columns must not be NULL and must end in a unique one.
+    """
+    found = nearest_lookup(
+        base, cands, base_key=base_key, base_day=base_day, cand_key=cand_key, cand_day=cand_day, rank=rank, carry=carry, match=match
     )
-    return joined.select(*[base[c] for c in base.columns], match)
+    return join_lookup(base, found, base_key, base_day, match)
 
 
 def reverse_link(events: DataFrame, matched: DataFrame, event_id: str, match_id: str, base_id: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from funnelspark.functions.fuzzy import name_ratio
 from funnelspark.operators.dedupe import best
-from funnelspark.operators.intervals import nearest_by_day
+from funnelspark.operators.intervals import join_lookup, nearest_by_day, nearest_lookup
 
 
 @dataclass(frozen=True)
@@ -41,17 +41,12 @@ def tiered_link(
     """
     out = base
     for i, t in enumerate(tiers):
-        out = nearest_by_day(
-            out,
-            cands,
-            base_key=t.base_key,
-            base_day=base_day,
-            cand_key=t.cand_key,
-            cand_day=cand_day,
-            rank=rank,
-            carry=carry,
+        # every lookup starts from the narrow base columns, not from the joins before it
+        found = nearest_lookup(
+            base, cands, base_key=t.base_key, base_day=base_day, cand_key=t.cand_key, cand_day=cand_day, rank=rank, carry=carry,
             match=f"_tier{i}",
         )
+        out = join_lookup(out, found, t.base_key, base_day, f"_tier{i}")
     hits = [F.col(f"_tier{i}") for i in range(len(tiers))]
     method = F.coalesce(*[F.when(h.isNotNull(), F.lit(t.name)) for h, t in zip(hits, tiers)], F.lit(unmatched))
     confidence = F.coalesce(

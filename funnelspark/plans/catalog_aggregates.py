@@ -20,6 +20,8 @@ from funnelspark.operators.spend import rollup_spend
 from funnelspark.plans import shapes
 from funnelspark.plans.catalog_functions import BRIEF_SQL, CHANNEL_SQL
 from funnelspark.plans.registry import query
+from funnelspark.session import materialise
+from funnelspark.sources.tables import literal_table
 
 DAY = date(2024, 1, 29)
 _D = "DATE '2024-01-29'"
@@ -141,7 +143,7 @@ def a5(t):
 )
 def a6(t):
     c = shapes.calls(t).withColumn("account_id", F.when(F.col("account_id") != 2, F.col("account_id")))
-    seen = t.spark.createDataFrame([(1, "AI Agent"), (None, "Google Ads Search")], "account_id long, source string")
+    seen = literal_table(t.spark, [(1, "AI Agent"), (None, "Google Ads Search")], "account_id long, source string")
     return M.unmapped_audit(c, F.col("source") != "Direct Line", ["account_id", "source"], "call_date", "tracking_label", seen)
 
 
@@ -246,7 +248,8 @@ def a12(t):
     uses=["full_calls", "calls"],
 )
 def a13(t):
-    c = _channelled(t)
+    # four reports read these rows: written once to the shared folder instead of computed four times
+    c = materialise(_channelled(t), "a13")
     drops = C.volume_drop_flags(C.weekday_baseline(c, "state", DAY), "state", "state", min_base=10, ratio=0.9)
     slow = C.sustained_flags(C.sustained_drop(c, "user_id", DAY, days=2), "user_id", "user")
     idle = C.idle_rep_flags(C.rep_scorecard(c, DAY))
@@ -412,8 +415,8 @@ def a19(t):
     o = shapes.opportunities(t).where(F.col("stage") == "Admitted").select(
         F.col("program").alias("bucket"), F.expr("CASE lead_type WHEN 'BD' THEN 2.0D WHEN 'Alumni' THEN 0.5D ELSE 1.0D END").alias("points")
     )
-    goals = t.spark.createDataFrame([(e, b, g) for e, b, g, _ in _GOALS], "era string, bucket string, goal int")
-    rubric = t.spark.createDataFrame([(e, b, p) for e, b, _, p in _GOALS], "era string, bucket string, points double")
+    goals = literal_table(t.spark, [(e, b, g) for e, b, g, _ in _GOALS], "era string, bucket string, goal int")
+    rubric = literal_table(t.spark, [(e, b, p) for e, b, _, p in _GOALS], "era string, bucket string, points double")
     return P.scorecard(o, P.targets(goals, rubric))
 
 
@@ -745,6 +748,6 @@ def u3(t):
 def u4(t):
     c = t.customer.withColumn("c_nationkey", F.expr("nullif(c_nationkey, 4)"))
     seen = t.supplier.where(F.col("s_acctbal") > 5000).select(F.expr("s_nationkey").alias("k")).union(
-        t.spark.createDataFrame([(None,)], "k int")
+        literal_table(t.spark, [(None,)], "k int")
     )
     return D.new_keys(c, seen, {"c_nationkey": "k"})

@@ -5,8 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -169,4 +172,8 @@ def read_typed_csv(spark: SparkSession, path: str, columns: Mapping[str, str]) -
 
 
 def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(list(rows), schema)
+    """Inline rows as a local relation, whose exact size the planner knows when it picks a join."""
+    types = StructType.fromDDL(schema)
+    columns = zip(*rows) if rows else [[] for _ in types]
+    arrow = pa.table({f.name: pa.array(list(c), to_arrow_type(f.dataType)) for f, c in zip(types, columns)})
+    return spark.createDataFrame(arrow, types)
