@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from funnelspark.functions.fuzzy import name_ratio
 from funnelspark.operators.dedupe import best
 from funnelspark.operators.intervals import join_lookup, nearest_by_day, nearest_lookup
+from funnelspark.session import materialise
 
 
 @dataclass(frozen=True)
@@ -253,7 +254,8 @@ def reasoned_match(
     """Two tiers with stated reasons: exact id in the block, else the most similar name, nearest in days.
 
     Several names can share the best score; the nearest dated candidate among them wins. Rows left over
-    say whether the block is unknown to the candidates or no name reached the threshold.
+    say whether the block is unknown to the candidates or no name reached the threshold. Runs one job: the
+    scored names are written to the shared folder.
     """
     ids = cands.where(F.col(cand_block).isNotNull() & F.col(cand_id_key).isNotNull())
     tier1 = best(ids, [cand_block, cand_id_key], prefer).select(
@@ -274,8 +276,12 @@ def reasoned_match(
     )
     tied = Window.partitionBy("block", "left_name").orderBy(F.col("score").desc())
     top = pairs.withColumn("_r", F.rank().over(tied)).where("_r = 1").drop("_r")
-    wanted = todo.join(top, ["block", "left_name"]).withColumn(
-        "_pair", F.to_json(F.struct("block", F.col("right_name").alias("name")))
+    # scored once and written: the nearest-date pass below reads it twice
+    wanted = materialise(
+        todo.join(top, ["block", "left_name"]).withColumn(
+            "_pair", F.to_json(F.struct("block", F.col("right_name").alias("name")))
+        ),
+        "name-pairs",
     )
     pool = cands.withColumn("_pair", F.to_json(F.struct(F.col(cand_block).alias("block"), F.col(cand_name).alias("name"))))
     near = nearest_by_day(

@@ -561,11 +561,12 @@ def x3(t):
 
 @query(
     "x4_version_number",
-    "o_custkey:i o_orderkey:i version:i",
-    sql="SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS version FROM orders",
+    "o_custkey:i snap:s version:i",
+    sql=f"SELECT o_custkey, snap, row_number() OVER (PARTITION BY o_custkey ORDER BY snap) AS version FROM ({_SNAP_SQL})",
 )
 def x4(t):
-    return t.orders.withColumn("version", H.version_number(["o_custkey"], "o_orderkey"))
+    one = D.latest(_snapshots(t).drop("nested"), ["o_custkey", "snap"], ["o_orderkey"])
+    return one.withColumn("version", H.version_number(["o_custkey"], "snap"))
 
 
 _VERSION_SQL = f"""
