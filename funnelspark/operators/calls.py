@@ -173,15 +173,16 @@ def daily_stats(calls: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def agent_stats(calls: DataFrame, day: str = "call_date", agent: str = "agent_id") -> DataFrame:
-    """Per day and agent: calls, talk time, callbacks made.
+def agent_stats(calls: DataFrame, day: str = "call_date", agent: str = "agent_id", labels: Sequence[str] = ()) -> DataFrame:
+    """Per day and agent: calls, talk time, callbacks made; ``labels`` (name, email) are carried along.
 
     A call yields one row for its agent and one for the agent who called back, both under one aggregate:
     one scan, one shuffle and no join of aggregates. Agents with callbacks but no own calls drop out.
     """
     def row(who: Column, own: int, answered: Column, missed: Column, talk: Column) -> Column:
         return F.struct(
-            who.alias("who"), F.lit(own).alias("own"), answered.cast("int").alias("answered"), missed.cast("int").alias("missed"), talk.alias("talk")
+            who.alias("who"), F.lit(own).alias("own"), answered.cast("int").alias("answered"), missed.cast("int").alias("missed"), talk.alias("talk"),
+            *[(F.col(n) if own else F.lit(None).cast("string")).alias(n) for n in labels],
         )
 
     none = F.lit(0)
@@ -199,6 +200,7 @@ def agent_stats(calls: DataFrame, day: str = "call_date", agent: str = "agent_id
             F.count_if(F.col("r.own") == 0).alias("callbacks_made"),
             F.sum(F.col("r.talk").cast("long")).alias("talk_time_seconds"),
             F.sum("r.own").alias("total_voice_calls"),
+            *[F.max(f"r.{n}").alias(n) for n in labels],
         )
         .where("total_voice_calls > 0")
     )

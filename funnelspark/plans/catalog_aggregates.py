@@ -15,6 +15,7 @@ from funnelspark.operators import history as H
 from funnelspark.operators import mapping as M
 from funnelspark.operators import quality as Q
 from funnelspark.operators import scoring as P
+from funnelspark.operators import topk as K
 from funnelspark.operators.funnel import entity_volume, funnel, stage_counts
 from funnelspark.operators.spend import rollup_spend
 from funnelspark.plans import shapes
@@ -681,7 +682,7 @@ def x11(t):
     sql="SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, l_suppkey LIMIT 15",
 )
 def t1(t):
-    return t.lineitem.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "l_suppkey").limit(15)
+    return K.top_counts(t.lineitem, ["l_suppkey"], 15)
 
 
 @query(
@@ -691,7 +692,7 @@ def t1(t):
     uses=["opps"],
 )
 def t2(t):
-    return shapes.opportunities(t).groupBy("closer").agg(F.sum("amount").alias("amount")).orderBy(F.col("amount").desc(), "closer").limit(10)
+    return K.top_k(shapes.opportunities(t).groupBy("closer").agg(F.sum("amount").alias("amount")), "amount", 10, ["closer"])
 
 
 @query(
@@ -703,14 +704,14 @@ def t2(t):
 )
 def t3(t):
     g = shapes.opportunities(t).groupBy(F.expr("nullif(program, 'BUILDING')").alias("program"), "lead_type").agg(F.count(F.lit(1)).alias("n"))
-    order = [F.col("program").asc_nulls_last(), F.col("lead_type").asc()]
+    order = K.report_order(["program", "lead_type"])
     # the report is one row per program and lead type, so the single ordered partition is tiny
     return g.withColumn("position", F.row_number().over(Window.orderBy(*order))).orderBy(*order)
 
 
 @query("t4_row_limit", "n:i", sql="SELECT 20 AS n")
 def t4(t):
-    return t.orders.orderBy("o_orderkey").limit(20).agg(F.count(F.lit(1)).alias("n"))
+    return K.first_rows(t.orders, 20, ["o_orderkey"]).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(

@@ -99,7 +99,7 @@ def call_tables(calls: DataFrame, seen_unmapped: DataFrame | None = None) -> dic
     """The tables derived from call events."""
     return {
         "daily_site_stats": C.daily_stats(calls, ["call_date", "site_resolved", "account_slug"]),
-        "daily_agent_stats": C.agent_stats(calls),
+        "daily_agent_stats": C.agent_stats(calls, labels=["agent_name", "agent_email"]),
         "unmapped_log": M.unmapped_audit(calls, F.col("site").isNull(), ["account_id", "account_slug", "source"], "call_date", "tracking_label", seen_unmapped),
         "date_coverage": Q.date_coverage(calls, ["account_slug"], "call_date"),
     }

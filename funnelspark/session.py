@@ -35,6 +35,9 @@ def build_session(app: str = "funnelspark", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
+_PRIVATE_ROOTS: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new empty path under the shared folder named by ``spark.checkpoint.dir``.
 
@@ -42,8 +45,9 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="funnelspark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        root = _PRIVATE_ROOTS.setdefault(app, "") or tempfile.mkdtemp(prefix="funnelspark-")
+        _PRIVATE_ROOTS[app] = root
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 

@@ -28,7 +28,10 @@ def test_every_oracle_has_a_query():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query(spark, con, name):
-    ok, message, _ = compare(entry.queries()[name](spark, FOLDER), entry.oracle_sql().get(name), con)
+    df = entry.queries()[name](spark, FOLDER)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    ok, message, _ = compare(df, entry.oracle_sql().get(name), con)
     assert ok, message
 
 
