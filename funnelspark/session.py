@@ -17,6 +17,8 @@ SESSION_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.datetimeRebaseModeInWrite": "CORRECTED",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording the Python call site of every column costs a round trip to the JVM each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # The constraint sets of stacked derived columns double with every alias; operators that need a
     # not-NULL filter below a join state it themselves.
     "spark.sql.constraintPropagation.enabled": "false",

@@ -6,6 +6,7 @@ read and rewritten, so a weekly run over years of history touches weeks, not the
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
@@ -81,11 +82,15 @@ def replace_partition(df: DataFrame, table: str, partition: str, path: str | Non
 
 
 def swap(df: DataFrame, table: str, partition_by: Sequence[str] = (), path: str | None = None) -> None:
-    """Write to a side table, then put it in the place of ``table``: readers never see a half-written one."""
+    """Write to a side table, then put it in the place of ``table``: readers never see a half-written one.
+
+    ``path`` names the folder family; every version gets a folder of its own, since the old one may be read
+    while the new one is written.
+    """
     spark = df.sparkSession
     side = f"{table}__next"
     spark.sql(f"DROP TABLE IF EXISTS {side}")
-    overwrite(df, side, partition_by, f"{path}__next" if path else None)
+    overwrite(df, side, partition_by, f"{path}__{uuid.uuid4().hex[:12]}" if path else None)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"ALTER TABLE {side} RENAME TO {table}")
     spark.catalog.refreshTable(table)
@@ -158,7 +163,12 @@ def merge(
 
 
 def upsert_newest(new: DataFrame, table: str, keys: Sequence[str], pulled_at: str, partition: str, path: str | None = None) -> None:
-    """History upsert: of all pulls of a key the newest wins; touched partitions only."""
+    """History upsert: of all pulls of a key the newest wins; touched partitions only.
+
+    ``partition`` must be one of the keys: a key that changed its partition would leave its old row behind.
+    """
+    if partition not in keys:
+        raise ValueError("the partition column must be one of the keys")
     spark = new.sparkSession
     if not spark.catalog.tableExists(table):
         overwrite(newest_pull(new.limit(0), new, keys, pulled_at), table, [partition], path)
