@@ -5,7 +5,7 @@ Each shape is a Spark frame and the same thing as a SQL common table expression.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from funnelspark.operators.calls import add_callbacks, classify_calls
@@ -42,14 +42,23 @@ def _case(col: str, table: dict) -> str:
     return f"CASE {col} {rows} END"
 
 
+def _pick(table: dict, position: Column) -> Column:
+    """Value at a position of a literal list: the position is computed once, not once per branch."""
+    return F.element_at(F.array(*[F.lit(v) for v in table.values()]), position + 1)
+
+
+def _with_k(t: Tables) -> DataFrame:
+    """Events with the number of their JSON text."""
+    return t.events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+
+
 def epoch_seconds(ts: str):
     return F.unix_timestamp(F.col(ts).cast("timestamp"))
 
 
 def calls(t: Tables) -> DataFrame:
     """Events as call records: error = missed call, purchase = outbound call, signup = form."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    e = t.events.withColumn("k", k)
+    e = _with_k(t)
     kind = F.col("event_type")
     status = F.expr(
         "CASE event_type WHEN 'view' THEN 'answered' WHEN 'click' THEN 'hangup' WHEN 'error' THEN 'no answer' "
@@ -70,8 +79,8 @@ def calls(t: Tables) -> DataFrame:
         (F.col("k") % 25).alias("ring_time"),
         F.concat(F.lit("agent-"), (F.col("user_id") % 10).cast("string")).alias("agent_id"),
         F.concat(F.lit("Agent "), F.expr("chr(int(65 + user_id % 10))"), F.lit(" Smith")).alias("agent_name"),
-        F.expr(_case("k % 8", SOURCES)).alias("source"),
-        F.expr(_case("k % 7", LABELS)).alias("tracking_label"),
+        _pick(SOURCES, F.col("k") % 8).alias("source"),
+        _pick(LABELS, F.col("k") % 7).alias("tracking_label"),
         (F.col("k") % 4 == 0).alias("is_new_caller"),
         F.concat(F.lit("S"), (F.col("user_id") % 12).cast("string")).alias("state"),
         F.concat(F.lit("site"), (F.col("user_id") % 4).cast("string")).alias("facility"),
@@ -109,7 +118,7 @@ def opportunities(t: Tables) -> DataFrame:
 
 def census_rows(t: Tables) -> DataFrame:
     """Events as patient-day extracts, with repeats."""
-    return t.events.withColumn("k", F.get_json_object("props", "$.k").cast("int")).select(
+    return _with_k(t).select(
         "event_id",
         "ts",
         F.expr("'C' || user_id").alias("casefile_id"),
