@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from funnelspark.llm import langid, mixing, quality, token_counts, toxicity
+from funnelspark.llm import ann, decontaminate, langid, mixing, quality, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,15 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json")).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.decontaminate(docs, table(spark, folder, "benchmark")).drop("spans")
+
+
+def op6_ann(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.search(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = quality.train(docs, table(spark, folder, "labels"))
@@ -45,6 +54,29 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+# Windows of ten item words met with windows of document words, one length at a time.
+OP4_SQL = r"""
+WITH iw AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
+), il AS (SELECT item_id, w, least(len(w), 10) AS size FROM iw WHERE len(w) > 0
+), ip AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[p : p + size - 1], ' ') AS phrase FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS p FROM il)
+), dw AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents
+), dp AS (
+  SELECT r, size, p, array_to_string(w[p : p + size - 1], ' ') AS phrase
+  FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS p FROM dw, (SELECT DISTINCT size FROM il) WHERE len(w) >= size)
+), m AS (SELECT r, p, size, item_id FROM dp JOIN ip USING (size, phrase)
+), h AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(p, p + size)) AS k FROM (SELECT DISTINCT r, p, size FROM m)) GROUP BY r
+), i AS (SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items FROM (SELECT DISTINCT r, item_id::varchar AS i FROM m) GROUP BY r)
+SELECT doc_id, len(w)::bigint AS n_words, coalesce(n_hit, 0)::bigint AS n_hit, coalesce(n_items, 0)::bigint AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN h USING (r) LEFT JOIN i USING (r)
+"""
+
+
 # Water-filling over the sources in order of cap / weight; then each source's documents in keyed order fill its target.
 OP10_SQL = r"""
 WITH d AS (
@@ -70,8 +102,8 @@ SELECT doc_id, size::bigint AS size, source_size::bigint AS source_size, target,
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_toxicity, op3_token_counts, op5_quality, op8_langid, op10_mixing)}
+    return {f.__name__: f for f in (op2_toxicity, op3_token_counts, op4_decontaminate, op5_quality, op6_ann, op8_langid, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_mixing": OP10_SQL}
+    return {"op4_decontaminate": OP4_SQL, "op10_mixing": OP10_SQL}
