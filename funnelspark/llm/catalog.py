@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from funnelspark.llm import ann, decontaminate, langid, mixing, quality, token_counts, toxicity
+from funnelspark.llm import ann, decontaminate, langid, mixing, ngram_join, quality, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.join_components(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, folder, "labels"))
@@ -54,6 +58,21 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+# Overlaps of all pairs that share a shingle, then reachability.
+OP1_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[p : p + 4], ' ') END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM w WHERE len(w) > 0)
+), n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), o AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2
+), l AS MATERIALIZED (SELECT a, b FROM o JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * i >= 75 * (p.n + q.n - i)
+), r AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT w.doc_id, coalesce(n.n, 0)::bigint AS n_shingles, c.component_id
+FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) c USING (doc_id)
+"""
+
 # Windows of ten item words met with windows of document words, one length at a time.
 OP4_SQL = r"""
 WITH iw AS (
@@ -102,8 +121,8 @@ SELECT doc_id, size::bigint AS size, source_size::bigint AS source_size, target,
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_toxicity, op3_token_counts, op4_decontaminate, op5_quality, op6_ann, op8_langid, op10_mixing)}
+    return {f.__name__: f for f in (op1_ngram_jaccard, op2_toxicity, op3_token_counts, op4_decontaminate, op5_quality, op6_ann, op8_langid, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontaminate": OP4_SQL, "op10_mixing": OP10_SQL}
+    return {"op1_ngram_jaccard": OP1_SQL, "op4_decontaminate": OP4_SQL, "op10_mixing": OP10_SQL}
