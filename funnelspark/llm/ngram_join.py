@@ -3,10 +3,11 @@
 1. *Incidence.* Each text's distinct word n-grams are 64-bit hashes. Documents of one and the same n-gram set are one row of the
    matrix (its key is a hash of the set). Entries travel packed, by column block (hash range): 10 to 12 bytes each.
 2. *Column blocks.* A block drops columns with a single row; what is left goes back by row with its column's frequency.
-   A row of which less than ``percent`` of the n-grams occur anywhere else is discarded: no partner could reach the size bound.
+   For each class of partner sizes a row counts the columns in which it meets such partners; classes in which this is below the
+   bound that the two sizes give are discarded, and with them columns and whole rows.
 3. *Product.* Rows order their columns by frequency; a pair that reaches its bound must meet in both rows' first columns, so only
-   these are multiplied. A first product is thinned to one partner per row, that with the largest partial count; its overlap
-   is counted and links that reach ``percent * union`` join components. A second product covers every pair of rows of
+   these are multiplied. A first product pairs the rows of a column with its most connected row and keeps each row's partner with
+   the largest partial count; overlaps are counted and links that reach ``percent * union`` join components. A second product covers every pair of rows of
    different components, so no link that could change a component is left out, and near copies are not paired all with all.
 4. *Components* by smallest labels with pointer jumping, as joins; nothing of it reaches the driver.
 
@@ -28,12 +29,15 @@ from funnelspark.session import materialise
 
 #: Matrix entries that a task packs at a time.
 FLUSH = 1_000_000
+#: Size classes up and down that a partner can be away.
+CLASSES = 6
 #: Candidate pairs formed at a time inside a column block.
 CHUNK = 1 << 20
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
-PACKED = "kind int, block int, keys binary, sizes binary, at binary, hashes binary, extra binary, docs array<bigint>"
-_SCHEMA = pa.schema([("kind", pa.int32()), ("block", pa.int32()), *((c, pa.binary()) for c in ("keys", "sizes", "at", "hashes", "extra")), ("docs", pa.list_(pa.int64()))])
+#: ``extra`` is per entry; ``more`` per row of the matrix: document ids (kind 0) or how connected it is.
+PACKED = "kind int, block int, keys binary, sizes binary, at binary, hashes binary, extra binary, more array<bigint>"
+_SCHEMA = pa.schema([("kind", pa.int32()), ("block", pa.int32()), *((c, pa.binary()) for c in ("keys", "sizes", "at", "hashes", "extra")), ("more", pa.list_(pa.int64()))])
 
 
 def shingle_sets(column: pa.Array, n: int = 5) -> Iterator[np.ndarray]:
@@ -71,8 +75,8 @@ def _block_of(h: np.ndarray, blocks: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int32)
 
 
-def _pack(kind: int, block: np.ndarray, keys: np.ndarray, sizes: np.ndarray, at: np.ndarray, hashes: np.ndarray, extra: np.ndarray | None) -> pa.RecordBatch | None:
-    """One row per block: its entries, and the matrix rows they belong to. ``extra`` is per entry."""
+def _pack(kind: int, block: np.ndarray, keys: np.ndarray, sizes: np.ndarray, at: np.ndarray, hashes: np.ndarray, extra: np.ndarray | None, more: np.ndarray | None = None) -> pa.RecordBatch | None:
+    """One row per block: its entries, and the matrix rows they belong to."""
     order = np.argsort(block, kind="stable")
     block, at, hashes, extra = block[order], at[order], hashes[order], None if extra is None else extra[order]
     cut = np.flatnonzero(np.diff(block)) + 1
@@ -81,7 +85,7 @@ def _pack(kind: int, block: np.ndarray, keys: np.ndarray, sizes: np.ndarray, at:
         if a == b:
             continue
         own, local = np.unique(at[a:b], return_inverse=True)
-        row = (kind, int(block[a]), keys[own].tobytes(), sizes[own].tobytes(), local.astype(np.uint32 if len(own) > 65535 else np.uint16).tobytes(), hashes[a:b].tobytes(), b"" if extra is None else extra[a:b].tobytes(), None)
+        row = (kind, int(block[a]), keys[own].tobytes(), sizes[own].tobytes(), local.astype(np.uint32 if len(own) > 65535 else np.uint16).tobytes(), hashes[a:b].tobytes(), b"" if extra is None else extra[a:b].tobytes(), None if more is None else more[own].tolist())
         for c, v in zip(cols, row):
             c.append(v)
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _SCHEMA.types)], schema=_SCHEMA) if cols[0] else None
@@ -91,19 +95,22 @@ class _Entries:
     """All entries of the packed rows of one group."""
 
     def __init__(self, table: pa.Table, extra) -> None:
-        keys, sizes, hashes, more = [], [], [], []
-        for k, s, a, h, e in zip(*(table.column(c).to_pylist() for c in ("keys", "sizes", "at", "hashes", "extra"))):
+        keys, sizes, hashes, extras, more = [], [], [], [], []
+        for k, s, a, h, e, m in zip(*(table.column(c).to_pylist() for c in ("keys", "sizes", "at", "hashes", "extra", "more"))):
             k, s, h = np.frombuffer(k, np.int64), np.frombuffer(s, np.int32), np.frombuffer(h, np.uint64)
             a = np.frombuffer(a, np.uint32 if len(k) > 65535 else np.uint16)
             keys.append(k[a])
             sizes.append(s[a])
             hashes.append(h)
-            more.append(np.frombuffer(e, extra) if e else np.zeros(len(h), extra))
+            extras.append(np.frombuffer(e, extra) if e else np.zeros(len(h), extra))
+            more.append(np.array(m, np.int64)[a] if m else np.zeros(len(h), np.int64))
         join = lambda x, t: np.concatenate(x) if x else np.zeros(0, t)
-        self.key, self.size, self.hash, self.extra = join(keys, np.int64), join(sizes, np.int32), join(hashes, np.uint64), join(more, extra)
+        self.key, self.size, self.hash, self.extra = join(keys, np.int64), join(sizes, np.int32), join(hashes, np.uint64), join(extras, extra)
+        self.more = join(more, np.int64)
 
     def take(self, order) -> None:
         self.key, self.size, self.hash, self.extra = self.key[order], self.size[order], self.hash[order], self.extra[order]
+        self.more = self.more[order]
 
 
 def incidence(docs: DataFrame, blocks: int, n: int, text: str) -> DataFrame:
@@ -143,8 +150,25 @@ def incidence(docs: DataFrame, blocks: int, n: int, text: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).mapInArrow(run, PACKED)
 
 
-def _frequent(key, table: pa.Table, buckets: int) -> pa.Table:
-    """A column block without its columns of one row; entries go out by bucket of rows, with the column's frequency."""
+def _size_class(size: np.ndarray, percent: int) -> tuple[np.ndarray, float]:
+    """Class of a set size, and the ratio of class edges: sizes that can reach ``percent`` are at most ``CLASSES`` apart."""
+    ratio = (100 / percent) ** (1 / (CLASSES - 0.1)) if percent < 100 else 1.5
+    return np.floor(np.log(np.maximum(size, 1)) / np.log(ratio) + 1e-9).astype(np.int64), ratio
+
+
+def _needs(size: np.ndarray, percent: int) -> np.ndarray:
+    """Overlap that a row needs with the smallest partner of each relative size class (columns: -CLASSES to CLASSES)."""
+    own, ratio = _size_class(size, percent)
+    edge = np.ceil(ratio ** (own[:, None] + np.arange(-CLASSES, CLASSES + 1.0))) - 1
+    partner = np.maximum(edge, np.ceil(size[:, None] * percent / 100 - 1e-6))
+    return np.maximum(np.ceil((size[:, None] + partner) * percent / (100 + percent) - 1e-6), 1)
+
+
+def _frequent(key, table: pa.Table, buckets: int, percent: int) -> pa.Table:
+    """A column block without its columns of one row; entries go out by bucket of rows.
+
+    Each carries its column's frequency (16 bits) and the relative size classes of the other rows in the column (a bit each).
+    """
     if key[0].as_py() < 0:
         return table.cast(_SCHEMA)
     e = _Entries(table, np.uint8)
@@ -162,62 +186,83 @@ def _frequent(key, table: pa.Table, buckets: int) -> pa.Table:
     column = np.cumsum(np.concatenate(([0], e.hash[1:] != e.hash[:-1])))
     frequency = np.bincount(column)[column]
     e.take(frequency > 1)
-    frequency = np.minimum(frequency[frequency > 1], 65535).astype(np.uint16)
+    column, frequency = column[frequency > 1], np.minimum(frequency[frequency > 1], 65535).astype(np.uint32)
+    place = column * (1 << 20) + _size_class(e.size, percent)[0] + CLASSES
+    held, count = np.unique(place, return_counts=True)
+    for k in range(-CLASSES, CLASSES + 1 if len(held) else -CLASSES):
+        at = np.minimum(np.searchsorted(held, place + k), len(held) - 1)
+        met = (held[at] == place + k) & (count[at] > (k == 0))
+        frequency |= met.astype(np.uint32) << np.uint32(16 + k + CLASSES)
     keys, first, at = np.unique(e.key, return_index=True, return_inverse=True)
     packed = _pack(1, (e.key.view(np.uint64) % np.uint64(buckets)).astype(np.int32), keys, e.size[first], at, e.hash, frequency)
     return pa.Table.from_batches([packed] if packed else [], _SCHEMA)
 
 
-SETS = "key long, size int, hashes binary"
-_SETS = pa.schema([("key", pa.int64()), ("size", pa.int32()), ("hashes", pa.binary())])
+SETS = "key long, size int, need int, weight long, hashes binary"
+_SETS = pa.schema([("key", pa.int64()), ("size", pa.int32()), ("need", pa.int32()), ("weight", pa.int64()), ("hashes", pa.binary())])
 
 
 def _rows(key, table: pa.Table, percent: int) -> pa.Table:
-    """The matrix rows of a bucket that could reach their size bound: columns met elsewhere, rarest first."""
-    e = _Entries(table, np.uint16)
-    e.take(np.lexsort((e.hash, e.extra, e.key)))
+    """The matrix rows of a bucket that could reach a size bound: columns of partners within reach, rarest first."""
+    e = _Entries(table, np.uint32)
+    frequency = e.extra & np.uint32(0xFFFF)
+    e.take(np.lexsort((e.hash, frequency, e.key)))
     if not len(e.key):
         return _SETS.empty_table()
-    cut = np.concatenate(([0], np.flatnonzero(e.key[1:] != e.key[:-1]) + 1, [len(e.key)]))
-    good = np.flatnonzero(100 * np.diff(cut) >= percent * e.size[cut[:-1]].astype(np.int64))
+    cut = np.flatnonzero(np.concatenate(([True], e.key[1:] != e.key[:-1])))
+    size, classes = e.size[cut], e.extra >> np.uint32(16)
+    needs = _needs(size.astype(np.int64), percent)
+    reach, need = np.zeros(len(cut), np.uint32), np.full(len(cut), np.inf)
+    for k in range(2 * CLASSES + 1):
+        good = np.add.reduceat(classes >> np.uint32(k) & np.uint32(1), cut, dtype=np.int64) >= needs[:, k]
+        reach |= good.astype(np.uint32) << np.uint32(k)
+        need = np.where(good, np.minimum(need, needs[:, k]), need)
+    row = np.repeat(np.arange(len(cut)), np.diff(np.append(cut, len(e.key))))
+    keep = (classes & reach[row]) > 0
+    weight = np.bincount(row[keep], (e.extra & np.uint32(0xFFFF))[keep], len(cut)) * 1000 / size
+    edge = np.concatenate(([0], np.cumsum(np.bincount(row[keep], minlength=len(cut)))))
+    h, good = e.hash[keep], np.flatnonzero(reach)
     return pa.Table.from_arrays([
-        pa.array(e.key[cut[good]], pa.int64()), pa.array(e.size[cut[good]], pa.int32()),
-        pa.array([e.hash[cut[i] : cut[i + 1]].tobytes() for i in good], pa.binary()),
+        pa.array(e.key[cut[good]], pa.int64()), pa.array(size[good], pa.int32()), pa.array(need[good].astype(np.int32)), pa.array(weight[good].astype(np.int64)),
+        pa.array([h[edge[i] : edge[i + 1]].tobytes() for i in good], pa.binary()),
     ], schema=_SETS)
 
 
-def first_columns(sets: DataFrame, blocks: int, percent: int) -> DataFrame:
-    """Packed first columns of each row of (key, size, hashes, label): so many that any partner at the bound shares one."""
+def first_columns(sets: DataFrame, blocks: int) -> DataFrame:
+    """Packed first columns of each row of (key, size, need, weight, hashes, label): so many that any partner at the bound shares one."""
 
     def run(batches):
-        keys, sizes, labels, sets, held = [], [], [], [], 0
+        held: list[tuple] = []
+        entries = 0
 
         def flush():
-            nonlocal keys, sizes, labels, sets, held
-            if sets:
+            nonlocal held, entries
+            if held:
+                keys, sizes, weights, labels, lengths, sets = zip(*held)
                 size = np.array([len(s) for s in sets], np.int32)
                 h = np.concatenate(sets)
-                packed = _pack(1, _block_of(h, blocks), np.array(keys, np.int64), np.array(sizes, np.int32), np.repeat(np.arange(len(size)), size), h, np.repeat(np.array(labels, np.int64), size))
+                extra = np.empty(len(h), _ENTRY)
+                extra["label"] = np.repeat(np.array(labels, np.int64), size)
+                # Columns of the row from this one on: what a pair that first meets here can still share.
+                extra["left"] = np.repeat(np.array(lengths) + np.cumsum(size) - size, size) - np.arange(len(h))
+                packed = _pack(1, _block_of(h, blocks), np.array(keys, np.int64), np.array(sizes, np.int32), np.repeat(np.arange(len(size)), size), h, extra, np.array(weights, np.int64))
                 if packed:
                     yield packed
-            keys, sizes, labels, sets, held = [], [], [], [], 0
+            held, entries = [], 0
 
         for batch in batches:
-            for k, n, raw, label in zip(*(c.to_pylist() for c in batch.columns)):
+            for k, n, need, weight, raw, label in zip(*(c.to_pylist() for c in batch.columns)):
                 h = np.frombuffer(raw, np.uint64)
-                need = -(-percent * n // 100)
-                keys.append(k)
-                sizes.append(n)
-                labels.append(label)
-                sets.append(h[: len(h) - need + 1])
-                held += len(sets[-1])
-                if held >= FLUSH:
+                held.append((k, n, weight, label, len(h), h[: len(h) - need + 1]))
+                entries += len(held[-1][-1])
+                if entries >= FLUSH:
                     yield from flush()
         yield from flush()
 
-    return sets.select("key", "size", "hashes", "label").mapInArrow(run, PACKED)
+    return sets.select("key", "size", "need", "weight", "hashes", "label").mapInArrow(run, PACKED)
 
 
+_ENTRY = np.dtype([("label", np.int64), ("left", np.int32)])
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("met", pa.int32())])
 
 
@@ -231,8 +276,8 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> pa.Table:
 
 
 def _columns(table: pa.Table) -> tuple[_Entries, np.ndarray, np.ndarray]:
-    e = _Entries(table, np.int64)
-    e.take(np.lexsort((mix(e.key.view(np.uint64)), e.hash)))
+    e = _Entries(table, _ENTRY)
+    e.take(np.lexsort((mix(e.key.view(np.uint64)), -e.more, e.hash)))
     new = np.concatenate(([True], e.hash[1:] != e.hash[:-1])) if len(e.hash) else np.zeros(0, bool)
     column = np.cumsum(new) - 1
     return e, column, np.flatnonzero(new)
@@ -243,12 +288,12 @@ def _fits(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _hubs(key, table: pa.Table, percent: int) -> pa.Table:
-    """Partial counts of each row with one other row of each column: the first one in an order of rows common to all columns."""
+    """Partial counts of each row with one other row of each column: its most connected one, in an order common to all columns."""
     e, column, start = _columns(table)
     if not len(column):
         return _PAIRS.empty_table()
     hub = start[column]
-    good = (e.key != e.key[hub]) & _fits(e.size, e.size[hub], percent) & (e.extra != e.extra[hub])
+    good = (e.key != e.key[hub]) & _fits(e.size, e.size[hub], percent) & (e.extra["label"] != e.extra["label"][hub])
     return _pairs(e.key[good], e.key[hub][good])
 
 
@@ -258,13 +303,14 @@ def _across(key, table: pa.Table, percent: int) -> pa.Table:
     if not len(column):
         return _PAIRS.empty_table()
     # Columns within one component have nothing left to join.
-    low, high = np.minimum.reduceat(e.extra, start), np.maximum.reduceat(e.extra, start)
+    low, high = np.minimum.reduceat(e.extra["label"], start), np.maximum.reduceat(e.extra["label"], start)
     e.take((low != high)[column])
     if not len(e.key):
         return _PAIRS.empty_table()
     # By column, then size: partners of a row stand directly after it, up to the largest size that fits.
     e.take(np.lexsort((e.key, e.size, e.hash)))
     column = np.cumsum(np.concatenate(([0], e.hash[1:] != e.hash[:-1]))).astype(np.int64)
+    label, left = e.extra["label"].copy(), e.extra["left"].astype(np.int64)
     wide = np.int64(1) << 32
     place = column * wide + e.size
     last = np.searchsorted(place, column * wide + np.minimum(100 * e.size.astype(np.int64) // percent, wide - 1), "right")
@@ -276,7 +322,8 @@ def _across(key, table: pa.Table, percent: int) -> pa.Table:
         b = max(int(np.searchsorted(ends, (ends[a - 1] if a else 0) + CHUNK, "right")), a + 1)
         i = np.repeat(np.arange(a, b), count[a:b])
         j = np.arange(len(i)) - np.repeat(np.cumsum(count[a:b]) - count[a:b], count[a:b]) + i + 1
-        good = e.extra[i] != e.extra[j]
+        bound = percent * (e.size[i].astype(np.int64) + e.size[j])
+        good = (label[i] != label[j]) & ((100 + percent) * np.minimum(left[i], left[j]) >= bound)
         x, y = e.key[i[good]], e.key[j[good]]
         pair = np.unique(np.column_stack((np.minimum(x, y), np.maximum(x, y))), axis=0)
         out_a.append(pair[:, 0])
@@ -322,26 +369,26 @@ def join_components(docs: DataFrame, n: int = 5, percent: int = 75, text: str =
     """doc_id, n_shingles, component_id of every row: components of documents with Jaccard similarity >= percent / 100."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = 2 * parts
-    packed = incidence(docs, blocks, n, text).groupBy("block").applyInArrow(lambda k, t: _frequent(k, t, parts), PACKED)
+    packed = incidence(docs, blocks, n, text).groupBy("block").applyInArrow(lambda k, t: _frequent(k, t, parts, percent), PACKED)
     packed = materialise(packed, "ngram-columns")
     sets = packed.where("kind = 1").groupBy("block").applyInArrow(lambda k, t: _rows(k, t, percent), SETS)
     sets = materialise(sets, "ngram-rows")
 
     alone = sets.withColumn("label", F.col("key"))
-    near = first_columns(alone, blocks, percent).groupBy("block").applyInArrow(lambda k, t: _hubs(k, t, percent), "a long, b long, met int")
+    near = first_columns(alone, blocks).groupBy("block").applyInArrow(lambda k, t: _hubs(k, t, percent), "a long, b long, met int")
     near = near.groupBy("a", "b").agg(F.sum("met").alias("met")).groupBy("a").agg(F.max_by("b", F.struct("met", "b")).alias("b"))
     links = materialise(linked(near, sets, percent), "ngram-links")
     labels = components(links, "ngram-first")
 
     named = sets.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-    rest = first_columns(named, blocks, percent).groupBy("block").applyInArrow(lambda k, t: _across(k, t, percent), "a long, b long, met int")
+    rest = first_columns(named, blocks).groupBy("block").applyInArrow(lambda k, t: _across(k, t, percent), "a long, b long, met int")
     more = materialise(linked(rest.select("a", "b").distinct(), sets, percent), "ngram-links")
     if not more.isEmpty():
         labels = components(links.union(more), "ngram-all")
 
     def rows(batches):
         for batch in batches:
-            for k, s, d in zip(*(batch.column(c).to_pylist() for c in ("keys", "sizes", "docs"))):
+            for k, s, d in zip(*(batch.column(c).to_pylist() for c in ("keys", "sizes", "more"))):
                 yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(np.frombuffer(s, np.int32), pa.int64()), pa.array(np.frombuffer(k, np.int64))], names=["doc_id", "n_shingles", "key"])
 
     members = packed.where("kind = 0").mapInArrow(rows, "doc_id long, n_shingles long, key long")
