@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from funnelspark.llm import ann, decontaminate, langid, mixing, ngram_join, quality, token_counts, toxicity
+from funnelspark.llm import ann, decontaminate, langid, mixing, ngram_join, quality, suffix_dedup, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +53,10 @@ def op8_langid(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", quality.held_out(4, 2), "lang_pred", "score", "rejected")
 
 
+def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, folder, "documents").select("doc_id", "text")).drop("kept")
+
+
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -96,6 +100,24 @@ FROM dw LEFT JOIN h USING (r) LEFT JOIN i USING (r)
 """
 
 
+# Every 50-byte string with its smallest document; hits of a document merge to spans, and what lies between is hashed.
+OP9_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), g AS (SELECT doc_id, i, substr(x, 2 * i + 1, 100) AS s FROM (SELECT doc_id, x, unnest(range(0, greatest(len(x) // 2 - 49, 0))) AS i FROM d)
+), f AS (SELECT s, min(doc_id) AS least FROM g GROUP BY s HAVING min(doc_id) < max(doc_id)
+), h AS (SELECT doc_id, i, i > coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -100) + 50 AS new FROM g JOIN f USING (s) WHERE doc_id > least
+), r AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM (SELECT doc_id, i, sum(new::int) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM h) GROUP BY doc_id, k
+), e AS (
+  SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS tail, string_agg(piece, '' ORDER BY a) AS kept
+  FROM (SELECT doc_id, a, b, substr(x, 2 * coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) + 1, 2 * (a - coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0))) AS piece
+        FROM r JOIN d USING (doc_id)) GROUP BY doc_id
+)
+SELECT doc_id, (len(x) // 2)::bigint AS n_bytes, coalesce(n_removed, 0)::bigint AS n_removed, coalesce(n_spans, 0)::bigint AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(x, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN e USING (doc_id)
+"""
+
+
 # Water-filling over the sources in order of cap / weight; then each source's documents in keyed order fill its target.
 OP10_SQL = r"""
 WITH d AS (
@@ -121,8 +143,8 @@ SELECT doc_id, size::bigint AS size, source_size::bigint AS source_size, target,
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_ngram_jaccard, op2_toxicity, op3_token_counts, op4_decontaminate, op5_quality, op6_ann, op8_langid, op10_mixing)}
+    return {f.__name__: f for f in (op1_ngram_jaccard, op2_toxicity, op3_token_counts, op4_decontaminate, op5_quality, op6_ann, op8_langid, op9_suffix_dedup, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_jaccard": OP1_SQL, "op4_decontaminate": OP4_SQL, "op10_mixing": OP10_SQL}
+    return {"op1_ngram_jaccard": OP1_SQL, "op4_decontaminate": OP4_SQL, "op9_suffix_dedup": OP9_SQL, "op10_mixing": OP10_SQL}
