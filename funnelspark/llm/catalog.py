@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from funnelspark.llm import ann, decontaminate, langid, mixing, ngram_join, quality, suffix_dedup, token_counts, toxicity
+from funnelspark.llm import ann, decontaminate, langid, mixing, ngram_join, pii, quality, suffix_dedup, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +47,10 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality(docs, model).select("doc_id", quality.held_out(4, 2), "score", "predicted")
 
 
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.surrogates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op8_langid(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     model = langid.train(docs)
@@ -143,7 +147,7 @@ SELECT doc_id, size::bigint AS size, source_size::bigint AS source_size, target,
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_ngram_jaccard, op2_toxicity, op3_token_counts, op4_decontaminate, op5_quality, op6_ann, op8_langid, op9_suffix_dedup, op10_mixing)}
+    return {f.__name__: f for f in (op1_ngram_jaccard, op2_toxicity, op3_token_counts, op4_decontaminate, op5_quality, op6_ann, op7_pii, op8_langid, op9_suffix_dedup, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
