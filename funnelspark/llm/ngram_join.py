@@ -1,7 +1,7 @@
 """N-gram Jaccard join as a blocked sparse matrix product of the document by n-gram incidence.
 
 1. *Incidence.* Each text's distinct word n-grams are 64-bit hashes. Documents of one and the same n-gram set are one row of the
-   matrix (its key is a hash of the set). Entries travel packed, by column block (hash range): 10 to 12 bytes each.
+   matrix (its key is a hash of the set). Entries travel packed, by column block (hash range): some 9 bytes each.
 2. *Column blocks.* A block drops columns with a single row; what is left goes back by row with its column's frequency.
    For each class of partner sizes a row counts the columns in which it meets such partners; classes in which this is below the
    bound that the two sizes give are discarded, and with them columns and whole rows.
@@ -91,13 +91,24 @@ def _pack(kind: int, block: np.ndarray, keys: np.ndarray, sizes: np.ndarray, at:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _SCHEMA.types)], schema=_SCHEMA) if cols[0] else None
 
 
+def _short(h: np.ndarray) -> np.ndarray:
+    """The lower seven bytes of hashes; the block that they travel to tells most of the eighth."""
+    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]
+
+
+def _long(raw: bytes) -> np.ndarray:
+    wide = np.zeros((len(raw) // 7, 8), np.uint8)
+    wide[:, :7] = np.frombuffer(raw, np.uint8).reshape(-1, 7)
+    return wide.view("<u8").reshape(-1)
+
+
 class _Entries:
     """All entries of the packed rows of one group."""
 
-    def __init__(self, table: pa.Table, extra) -> None:
+    def __init__(self, table: pa.Table, extra, short: bool = False) -> None:
         keys, sizes, hashes, extras, more = [], [], [], [], []
         for k, s, a, h, e, m in zip(*(table.column(c).to_pylist() for c in ("keys", "sizes", "at", "hashes", "extra", "more"))):
-            k, s, h = np.frombuffer(k, np.int64), np.frombuffer(s, np.int32), np.frombuffer(h, np.uint64)
+            k, s, h = np.frombuffer(k, np.int64), np.frombuffer(s, np.int32), _long(h) if short else np.frombuffer(h, np.uint64)
             a = np.frombuffer(a, np.uint32 if len(k) > 65535 else np.uint16)
             keys.append(k[a])
             sizes.append(s[a])
@@ -129,7 +140,7 @@ def incidence(docs: DataFrame, blocks: int, n: int, text: str) -> DataFrame:
                 own = np.fromiter(seen, np.int64, len(seen))
                 size = np.array([len(s) for s in sets], np.int32)
                 h = np.concatenate(sets)
-                yield _pack(1, _block_of(h, blocks), own, size, np.repeat(np.arange(len(own)), size), h, None)
+                yield _pack(1, _block_of(h, blocks), own, size, np.repeat(np.arange(len(own)), size), _short(h), None)
             keys, sizes, ids, sets, held, seen = [], [], [], [], 0, {}
 
         for batch in batches:
@@ -171,7 +182,9 @@ def _frequent(key, table: pa.Table, buckets: int, percent: int) -> pa.Table:
     """
     if key[0].as_py() < 0:
         return table.cast(_SCHEMA)
-    e = _Entries(table, np.uint8)
+    e = _Entries(table, np.uint8, short=True)
+    # One to one within the block, and spread over all 64 bits again.
+    e.hash = mix(e.hash | np.uint64(key[0].as_py() & 255) << np.uint64(56))
     order = np.argsort(e.hash, kind="stable")
     h = e.hash[order]
     same = h[1:] == h[:-1]
@@ -368,7 +381,7 @@ def components(links: DataFrame, label: str) -> DataFrame:
 def join_components(docs: DataFrame, n: int = 5, percent: int = 75, text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id of every row: components of documents with Jaccard similarity >= percent / 100."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = 2 * parts
+    blocks = parts
     packed = incidence(docs, blocks, n, text).groupBy("block").applyInArrow(lambda k, t: _frequent(k, t, parts, percent), PACKED)
     packed = materialise(packed, "ngram-columns")
     sets = packed.where("kind = 1").groupBy("block").applyInArrow(lambda k, t: _rows(k, t, percent), SETS)
@@ -400,6 +413,10 @@ def join_components(docs: DataFrame, n: int = 5, percent: int = 75, text: str =
 
 
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 75, text: str = "text") -> DataFrame:
-    """``docs`` without the documents whose component has a smaller id; rows of one id stay or go together, rows without id stay."""
+    """``docs`` without the documents whose component has a smaller id; rows of one id stay or go together, rows without id stay.
+
+    The ids that go are written first, so Spark knows their size when it plans the join: small ones are broadcast, others shuffled.
+    """
     gone = join_components(docs, n, percent, text).where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("_gone")).distinct()
+    gone = materialise(gone, "ngram-gone")
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
