@@ -189,8 +189,8 @@ def attempts(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     ), "pii-attempts")
 
 
-def replace(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """``docs`` with entities replaced, and ``_entities``: how many there were."""
+def replace(docs: DataFrame, key: str, text: str = "text", count: str | None = None) -> DataFrame:
+    """``docs`` with entities replaced; with ``count``, a column of that name (new to ``docs``) tells how many there were."""
     fixes = attempts(docs, key, text)
     held = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), F.xxhash64(docs[text]).alias("th"), docs[text].alias("_text")).join(fixes, "th", "left")
     held = held.withColumn("_found", F.coalesce(mentions(F.col("_text")), F.array().cast("array<string>")))
@@ -215,10 +215,9 @@ def replace(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
             cols.append(F.when(F.size("_found") > 0, F.length("_new")).otherwise(F.col(f"_row.`{f.name}`")).cast(f.dataType).alias(f.name))
         else:
             cols.append(F.col(f"_row.`{f.name}`").alias(f.name))
-    return out.select(*cols, F.size("_found").cast("long").alias("_entities"))
+    return out.select(*cols, *([F.size("_found").cast("long").alias(count)] if count else []))
 
 
 def surrogates(docs: DataFrame, key: str = "public-example-key", text: str = "text") -> DataFrame:
     """doc_id, n_entities and the new text of every row."""
-    out = replace(docs.select("doc_id", F.col(text).alias("text")), key)
-    return out.select("doc_id", F.col("_entities").alias("n_entities"), "text")
+    return replace(docs.select("doc_id", F.col(text).alias("text")), key, count="n_entities").select("doc_id", "n_entities", "text")
