@@ -35,7 +35,7 @@ def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with surrogates for personal data."""
-    return pii.replace(docs, SURROGATE_KEY).drop("_entities")
+    return pii.replace(docs, SURROGATE_KEY)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
