@@ -71,11 +71,15 @@ def weekly_census(census: DataFrame, week: str, day: str, site: Sequence[str], s
     dates = daily.groupBy(week, *site).agg(F.count_distinct(day).alias("dates"))
     rows = daily.groupBy(week, *keys).agg(F.sum("n").alias("rows"))
     segments = rows.select(*keys).distinct()
-    grid = dates.join(segments, list(site)) if split else dates
-    return grid.join(rows, [week, *keys], "left").select(
-        week, *keys, F.coalesce("rows", F.lit(0)).alias("rows"), "dates",
-        (F.coalesce("rows", F.lit(0)) / F.col("dates")).alias("adc"),
-    )
+    grid = dates
+    if split:
+        named = segments.select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(site)], *split)
+        same = [dates[c].eqNullSafe(named[f"_s{i}"]) for i, c in enumerate(site)]
+        grid = dates.join(named, same).drop(*[f"_s{i}" for i in range(len(site))])
+    # Counts and grid meet in one sum, where NULL segments are equal.
+    cells = grid.withColumn("rows", F.lit(0).cast("long")).unionByName(rows.withColumn("dates", F.lit(None).cast("long")))
+    cells = cells.groupBy(week, *keys).agg(F.sum("rows").alias("rows"), F.max("dates").alias("dates"))
+    return cells.withColumn("adc", F.col("rows") / F.col("dates"))
 
 
 def average_census(weekly: DataFrame, keys: Sequence[str]) -> DataFrame:

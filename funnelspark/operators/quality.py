@@ -35,8 +35,9 @@ def date_coverage(df: DataFrame, keys: Sequence[str], day: str, low: int = 10) -
     """
     daily = df.groupBy(*keys, day).agg(F.count(F.lit(1)).alias("events"))
     spans = daily.groupBy(*keys).agg(F.min(day).alias("_a"), F.max(day).alias("_b"))
-    expected = spans.select(*keys, F.explode(F.sequence("_a", "_b")).alias(day))
-    out = expected.join(daily, [*keys, day], "left").withColumn("events", F.coalesce("events", F.lit(0)))
+    expected = spans.select(*keys, F.explode(F.sequence("_a", "_b")).alias(day), F.lit(0).cast("long").alias("events"))
+    # Counts and expected days meet in one sum, where NULL keys are equal.
+    out = expected.unionByName(daily.where(F.col(day).isNotNull())).groupBy(*keys, day).agg(F.sum("events").alias("events"))
     mark = F.when(F.col("events") == 0, F.lit("zero")).when(F.col("events") < low, F.lit("low")).otherwise(F.lit("ok"))
     return out.withColumn("status", mark)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -43,16 +44,25 @@ _PRIVATE_ROOTS: dict[str, str] = {}
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new empty path under the shared folder named by ``spark.checkpoint.dir``.
 
-    A private temporary folder is used only where the session names none (unit tests).
+    Where the session names none, a private temporary folder is used in local mode (one machine, as in unit tests); on a
+    cluster that is an error, since executors and driver do not share such a folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         root = _PRIVATE_ROOTS.setdefault(app, "") or tempfile.mkdtemp(prefix="funnelspark-")
         _PRIVATE_ROOTS[app] = root
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors."""
     path = scratch_dir(df.sparkSession, label)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from funnelspark.operators.dedupe import newest_pull
+from funnelspark.session import materialise, remove
 
 
 @contextmanager
@@ -66,45 +67,76 @@ def _write_partitions(df: DataFrame, table: str, partition: str) -> None:
     spark.catalog.refreshTable(table)
 
 
+def _add_columns(df: DataFrame, table: str) -> None:
+    """Columns of ``df`` that the table lacks are added to its schema; rows already there read NULL."""
+    spark = df.sparkSession
+    have = {c.lower() for c in spark.table(table).columns}
+    new = [f for f in df.schema.fields if f.name.lower() not in have]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+
+
+def _aligned(df: DataFrame, table: str) -> DataFrame:
+    """``df`` with the table's columns in its order, missing ones NULL."""
+    target = df.sparkSession.table(table)
+    return target.limit(0).unionByName(df, allowMissingColumns=True).select(*target.columns)
+
+
 def replace_partition(df: DataFrame, table: str, partition: str, path: str | None = None) -> None:
-    """Replace one week (or the weeks in ``df``); rebuild the table when its columns no longer fit."""
+    """Replace one week (or the weeks in ``df``). New columns are added to the table, older weeks keep their files."""
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         overwrite(df, table, [partition], path)
         return
-    if set(spark.table(table).columns) != set(df.columns):
-        merged = spark.table(table).join(
-            df.select(F.col(partition).alias("_p")).distinct(), F.col(partition).eqNullSafe(F.col("_p")), "left_anti"
-        ).unionByName(df, allowMissingColumns=True)
-        swap(merged, table, [partition], path)
-        return
-    _write_partitions(df, table, partition)
+    _add_columns(df, table)
+    _write_partitions(_aligned(df, table), table, partition)
 
 
 def swap(df: DataFrame, table: str, partition_by: Sequence[str] = (), path: str | None = None) -> None:
-    """Write to a side table, then put it in the place of ``table``: readers never see a half-written one.
+    """Write to a side table, then rename: the old version is dropped last, so one whole version exists at any time.
 
+    A run that broke off between the two renames is mended by the next one, which first puts the old version back.
     ``path`` names the folder family; every version gets a folder of its own, since the old one may be read
-    while the new one is written.
+    while the new one is written; the folder of the version before is removed at the end.
     """
     spark = df.sparkSession
-    side = f"{table}__next"
+    side, old = f"{table}__next", f"{table}__old"
+    if spark.catalog.tableExists(old):
+        if spark.catalog.tableExists(table):
+            spark.sql(f"DROP TABLE {old}")
+        else:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
     spark.sql(f"DROP TABLE IF EXISTS {side}")
     overwrite(df, side, partition_by, f"{path}__{uuid.uuid4().hex[:12]}" if path else None)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    before = None
+    if spark.catalog.tableExists(table):
+        if path:
+            before = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {side} RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    if before and before["data_type"].rstrip("/").rpartition("/")[2].startswith(path.rstrip("/").rpartition("/")[2]):
+        remove(spark, before["data_type"])
     spark.catalog.refreshTable(table)
 
 
 def _drop_partitions(spark: SparkSession, table: str, partition: str, values: Sequence[object]) -> None:
     for v in values:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = '{v}')")
+        text = str(v).replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{partition}` = '{text}')")
 
 
 def _partition_values(df: DataFrame, partition: str, cond: Column | None = None) -> list[object]:
-    """Distinct partition values: a metadata-sized list (weeks or days)."""
+    """Distinct partition values, NULL (last) included: a metadata-sized list (weeks or days)."""
     d = df if cond is None else df.where(cond)
-    return sorted(r[0] for r in d.select(partition).distinct().toLocalIterator() if r[0] is not None)
+    return sorted((r[0] for r in d.select(partition).distinct().toLocalIterator()), key=lambda v: (v is None, v))
+
+
+def _touched(df: DataFrame, partition: str, values: Sequence[object]) -> DataFrame:
+    """Rows of the given partition values, NULL being one of them."""
+    known = [v for v in values if v is not None]
+    cond = F.col(partition).isin(known) if known else F.lit(False)
+    return df.where(cond | F.col(partition).isNull() if None in values else cond)
 
 
 def replace_range(df: DataFrame, table: str, partition: str, low: object, high: object, path: str | None = None) -> None:
@@ -118,9 +150,11 @@ def replace_range(df: DataFrame, table: str, partition: str, low: object, high:
     if not spark.catalog.tableExists(table):
         overwrite(new, table, [partition], path)
         return
+    new = materialise(new, "replace-range")
     old_values = _partition_values(spark.table(table), partition, inside)
     new_values = set(_partition_values(new, partition))
-    _write_partitions(new, table, partition)
+    _add_columns(new, table)
+    _write_partitions(_aligned(new, table), table, partition)
     _drop_partitions(spark, table, partition, [v for v in old_values if v not in new_values])
     spark.catalog.refreshTable(table)
 
@@ -137,33 +171,41 @@ def merge(
     """Keyed merge with null-safe keys: update what matches, insert the rest, drop updates below ``floor``.
 
     Vanished keys stay unless ``replace_window`` is set, which replaces the touched partitions outright.
-    Only the partitions present in ``updates`` are read and rewritten. ``partition`` must be a merge key.
+    Only the partitions present in ``updates`` (the NULL partition included) are read and rewritten. ``partition`` must be a merge key.
+    Columns new to the table are added, columns missing from ``updates`` become NULL in its rows. Two updates of one key are an error.
+    ``updates`` is evaluated once.
     """
     if partition not in keys:
         raise ValueError("the partition column must be one of the keys")
     spark = updates.sparkSession
     if floor is not None:
         updates = updates.where(F.col(partition) >= F.lit(floor))
+    updates = materialise(updates, "merge")
+    if not replace_window:
+        twice = updates.groupBy(*keys).count().where("count > 1").first()
+        if twice is not None:
+            raise ValueError(f"several updates for one key, such as {twice.asDict()}")
     if not spark.catalog.tableExists(table):
         overwrite(updates, table, [partition], path)
         return
+    _add_columns(updates, table)
+    updates = _aligned(updates, table)
     if replace_window:
         _write_partitions(updates, table, partition)
         return
-    touched = _partition_values(updates, partition)
-    target = spark.table(table)
-    kept = target.where(F.col(partition).isin(touched)) if touched else target.where(F.lit(False))
+    kept = _touched(spark.table(table), partition, _partition_values(updates, partition))
     ids = updates.select(*[F.col(k).alias(f"_u{i}") for i, k in enumerate(keys)])
     cond = None
     for i, k in enumerate(keys):
         part = F.col(k).eqNullSafe(F.col(f"_u{i}"))
         cond = part if cond is None else cond & part
-    merged = kept.join(ids, cond, "left_anti").unionByName(updates.select(*target.columns))
-    _write_partitions(merged, table, partition)
+    _write_partitions(kept.join(ids, cond, "left_anti").unionByName(updates), table, partition)
 
 
 def upsert_newest(new: DataFrame, table: str, keys: Sequence[str], pulled_at: str, partition: str, path: str | None = None) -> None:
-    """History upsert: of all pulls of a key the newest wins; touched partitions only.
+    """History upsert: of all pulls of a key the newest wins; touched partitions only (the NULL partition included).
+
+    Columns new to the table are added, missing ones become NULL; ``new`` is evaluated once.
 
     ``partition`` must be one of the keys: a key that changed its partition would leave its old row behind.
     """
@@ -173,9 +215,10 @@ def upsert_newest(new: DataFrame, table: str, keys: Sequence[str], pulled_at: st
     if not spark.catalog.tableExists(table):
         overwrite(newest_pull(new.limit(0), new, keys, pulled_at), table, [partition], path)
         return
-    touched = _partition_values(new, partition)
-    old = spark.table(table).where(F.col(partition).isin(touched)) if touched else spark.table(table).limit(0)
-    _write_partitions(newest_pull(old, new.select(*old.columns), keys, pulled_at), table, partition)
+    new = materialise(new, "upsert")
+    _add_columns(new, table)
+    old = _touched(spark.table(table), partition, _partition_values(new, partition))
+    _write_partitions(newest_pull(old, _aligned(new, table), keys, pulled_at), table, partition)
 
 
 def log_run(spark: SparkSession, table: str, row: Mapping[str, object], schema: str, path: str | None = None) -> None:

@@ -6,11 +6,51 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 PATH_DATE = r"/(\d{4}-\d{2}-\d{2})/"
 
 
+def _values(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str) -> DataFrame:
+    """(path, value, bad) of every JSON value of every file.
+
+    A file is one value, an array of values, or one value a line. Nothing is dropped: what does not parse is a row with its
+    text in ``bad``.
+    """
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    marked = StructType([*schema.fields, StructField("_bad", StringType())])
+    text = spark.read.text([paths] if isinstance(paths, str) else list(paths), wholetext=True)
+    # Several lines that begin a value: each is one.
+    lines = F.when(F.regexp_count("value", F.lit(r"(?m)^[\{\[]")) > 1, F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "")).otherwise(F.array("value"))
+    each = text.select(F.col("_metadata.file_path").alias("path"), F.explode(lines).alias("text")).where(F.trim("text") != "")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    many = F.from_json("text", ArrayType(marked), options)
+    each = each.withColumn("value", F.when(F.ltrim("text").startswith("["), many).otherwise(F.array(F.from_json("text", marked, options))))
+    each = each.withColumn("value", F.coalesce("value", F.array(F.lit(None).cast(marked))))
+    rows = each.select("path", "text", F.explode("value").alias("value"))
+    bad = F.when(F.col("value").isNull(), F.col("text")).otherwise(F.col("value._bad"))
+    return rows.select("path", F.struct(*[F.col(f"value.`{f.name}`").alias(f.name) for f in schema.fields]).alias("value"), bad.alias("bad"))
+
+
+def unreadable(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str, records: str | None = None) -> DataFrame:
+    """(path, values): files with values that do not parse, or without ``records`` where that is named."""
+    rows = _values(spark, paths, schema)
+    bad = F.col("bad").isNotNull()
+    if records:
+        bad = bad | F.col(f"value.{records}").isNull()
+    return rows.where(bad).groupBy("path").agg(F.count(F.lit(1)).alias("values"))
+
+
+def _checked(rows: DataFrame, on_bad: str) -> DataFrame:
+    if on_bad == "skip":  # the caller lists them by unreadable()
+        return rows.where(F.col("bad").isNull())
+    if on_bad != "raise":
+        raise ValueError("on_bad is 'raise' or 'skip'")
+    message = F.concat(F.lit("unreadable JSON in "), F.col("path"))
+    value = F.when(F.col("bad").isNotNull(), F.raise_error(message).cast(rows.schema["value"].dataType)).otherwise(F.col("value"))
+    return rows.withColumn("value", value)
+
+
 def read_pages(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -18,34 +58,35 @@ def read_pages(
     schema: StructType | str | None = None,
     date_pattern: str = PATH_DATE,
     date_format: str = "yyyy-MM-dd",
+    on_bad: str = "raise",
 ) -> DataFrame:
     """One row per record of paged JSON files, with ``snapshot_date`` taken from the file path.
 
-    Pass ``schema`` for large drops: inferring it reads every file twice.
+    Every value of every file is read. A value that does not parse fails the job, or is left out with ``on_bad="skip"``;
+    :func:`unreadable` lists such files. Pass ``schema`` for large drops: inferring it reads every file once more.
     """
-    reader = spark.read.option("multiLine", True)
-    if schema is not None:
-        reader = reader.schema(schema)
-    paths = [path] if isinstance(path, str) else list(path)
-    text = F.regexp_extract(F.col("_metadata.file_path"), date_pattern, 1)
-    raw = reader.json(paths).select(
-        F.try_to_timestamp(text, F.lit(date_format)).cast("date").alias("snapshot_date"), F.explode(records).alias("rec")
+    if schema is None:
+        schema = spark.read.option("multiLine", True).json([path] if isinstance(path, str) else list(path)).schema
+    text = F.regexp_extract("path", date_pattern, 1)
+    raw = _checked(_values(spark, path, schema), on_bad).select(
+        F.try_to_timestamp(text, F.lit(date_format)).cast("date").alias("snapshot_date"), F.explode(f"value.{records}").alias("rec")
     )
     return raw.select("snapshot_date", "rec.*")
 
 
 def read_roots(
-    spark: SparkSession, roots: Mapping[str, str], schema: StructType | str | None = None, tag: str = "_root"
+    spark: SparkSession, roots: Mapping[str, str], schema: StructType | str | None = None, tag: str = "_root", on_bad: str = "raise"
 ) -> tuple[DataFrame, list[tuple[str, str]]]:
-    """Union by name of several roots; unreadable ones are skipped and reported, none readable is an error."""
+    """Union by name of several roots; roots that are not there are skipped and reported, none there is an error.
+
+    Values that do not parse fail the job (``on_bad="skip"`` leaves them out; :func:`unreadable` lists their files).
+    """
     frames, skipped = [], []
     for name, path in roots.items():
-        reader = spark.read.option("multiLine", True)
-        if schema is not None:
-            reader = reader.schema(schema)
         try:
-            frames.append(reader.json(path).withColumn(tag, F.lit(name)))
-        except Exception as err:  # a missing or broken root must not stop the others
+            own = schema if schema is not None else spark.read.option("multiLine", True).json(path).schema
+            frames.append(_checked(_values(spark, path, own), on_bad).select("value.*").withColumn(tag, F.lit(name)))
+        except Exception as err:  # a missing root must not stop the others
             skipped.append((name, type(err).__name__))
     if not frames:
         raise RuntimeError(f"no root could be read: {skipped}")
@@ -66,23 +107,30 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def newest_per_day(
-    files: DataFrame, source: Column, day_pattern: str, loaded: DataFrame | None = None, day_format: str = "yyyyMMdd"
+    files: DataFrame, source: Column, day_pattern: str, loaded: DataFrame | None = None, day_format: str = "yyyyMMdd", drop_pattern: str | None = None
 ) -> DataFrame:
-    """Per source and day the greatest file name, days not after the source's loaded maximum left out.
+    """All files of the newest drop per source and day, days not after the source's loaded maximum left out.
 
+    A drop is what ``drop_pattern`` extracts from the path (its greatest value is the newest); without one each file is a drop.
     ``loaded`` holds (source, last_day).
     """
     day = F.try_to_timestamp(F.regexp_extract("path", day_pattern, 1), F.lit(day_format)).cast("date")
-    named = files.select("path", source.alias("source"), day.alias("day")).where("day is not null")
+    drop = F.regexp_extract("path", drop_pattern, 1) if drop_pattern else F.col("path")
+    named = files.select("path", source.alias("source"), day.alias("day"), drop.alias("_drop")).where("day is not null")
     if loaded is not None:
         marks = loaded.select(F.col("source").alias("_s"), F.col("last_day").alias("_d"))
         named = named.join(
             marks, (F.col("source") == F.col("_s")) & (F.col("day") <= F.col("_d")), "left_anti"
         )
-    return named.groupBy("source", "day").agg(F.max("path").alias("path"))
+    newest = named.groupBy("source", "day").agg(F.max("_drop").alias("_newest"))
+    same = named["source"].eqNullSafe(newest["source"]) & (named["day"] == newest["day"]) & (named["_drop"] == newest["_newest"])
+    return named.join(newest, same, "left_semi").select("source", "day", "path")
 
 
-def read_selected(spark: SparkSession, chosen: DataFrame, schema: StructType | str) -> DataFrame:
-    """Read the chosen files. The list holds one path per source and day, the size of a file index."""
+def read_selected(spark: SparkSession, chosen: DataFrame, schema: StructType | str, on_bad: str = "raise") -> DataFrame:
+    """Every value of the chosen files, with their ``path``. The list holds the files of one drop per source and day, the size of a file index."""
     paths = [r.path for r in chosen.select("path").toLocalIterator()]
-    return spark.read.schema(schema).option("multiLine", True).json(paths)
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if not paths:
+        return spark.createDataFrame([], StructType([StructField("path", StringType()), *schema.fields]))
+    return _checked(_values(spark, paths, schema), on_bad).select("path", "value.*")

@@ -48,6 +48,32 @@ def test_newest_file_per_day_with_high_water_mark(spark, tmp_path):
     assert [r.day for r in later.collect()] == [date(2024, 1, 2)]
 
 
+def test_every_value_of_every_file_is_read(spark, tmp_path):
+    page = lambda *ids: json.dumps({"result": {"data": [{"id": i} for i in ids]}})
+    files = {"whole": json.dumps(json.loads(page(1, 2)), indent=1), "lines": page(3) + "\n" + page(4, 5) + "\n", "array": "[" + page(6) + "," + page(7) + "]", "empty": "", "cut": page(8, 9)[:25], "half": page(10) + "\n" + page(11)[:20]}
+    folder = tmp_path / "2024-01-01"
+    folder.mkdir()
+    for name_, text in files.items():
+        (folder / f"{name_}.json").write_text(text)
+    schema = "result struct<data: array<struct<id: bigint>>>"
+    with pytest.raises(Exception, match="unreadable JSON"):
+        J.read_pages(spark, str(folder), "result.data", schema).collect()
+    good = J.read_pages(spark, str(folder), "result.data", schema, on_bad="skip")
+    assert sorted(r.id for r in good.collect()) == [1, 2, 3, 4, 5, 6, 7, 10]
+    bad = {r.path.rsplit("/", 1)[1]: r["values"] for r in J.unreadable(spark, str(folder), schema).collect()}
+    assert bad == {"cut.json": 1, "half.json": 1}
+
+
+def test_all_files_of_the_newest_drop(spark, tmp_path):
+    for f in ("census_20240101_010101/a.json", "census_20240101_230000/a.json", "census_20240101_230000/b.json"):
+        (tmp_path / f).parent.mkdir(exist_ok=True)
+        (tmp_path / f).write_text('{"id": 1}\n{"id": 2}')
+    chosen = J.newest_per_day(J.list_files(spark, str(tmp_path)), F.lit("s"), r"census_(\d{8})_", drop_pattern=r"census_(\d{8}_\d{6})")
+    assert chosen.count() == 2
+    assert sorted(r.id for r in J.read_selected(spark, chosen, "id int").collect()) == [1, 1, 2, 2]
+    assert J.read_selected(spark, chosen.where("false"), "id int").count() == 0
+
+
 def test_sanitise_collisions(spark):
     df = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int").toDF("A b", "a;b", "(x)")
     assert S.sanitise_columns(df).columns == ["A_b", "a_b_1", "x"]
@@ -86,6 +112,53 @@ def test_merge_is_null_safe_keeps_vanished_and_floors(spark, tmp_path):
         W.merge(up, t, ["k"], "week")
 
 
+@pytest.mark.parametrize("write", ["merge", "upsert"])
+def test_null_partition_and_new_columns_keep_every_row(spark, tmp_path, write):
+    t = name()
+    base = spark.createDataFrame([("w1", 1, 10, 1), (None, 2, 20, 1), (None, 3, 30, 1)], "week string, k int, v int, pulled int")
+    W.overwrite(base, t, ["week"], f"{tmp_path}/t")
+    up = spark.createDataFrame([(None, 2, 21, 2, "x")], "week string, k int, v int, pulled int, extra string")
+
+    def run(df):
+        W.merge(df, t, ["week", "k"], "week") if write == "merge" else W.upsert_newest(df, t, ["week", "k"], "pulled", "week")
+
+    for _ in range(2):
+        run(up)
+        assert sorted(map(str, _rows_any(spark, t, "k", "v", "extra"))) == ["(1, 10, None)", "(2, 21, 'x')", "(3, 30, None)"]
+    run(up.drop("v", "extra").withColumn("pulled", F.lit(3)))
+    assert sorted(map(str, _rows_any(spark, t, "k", "v", "extra"))) == ["(1, 10, None)", "(2, None, None)", "(3, 30, None)"]
+
+
+def _rows_any(spark, table, *cols):
+    return [tuple(r) for r in spark.table(table).select(*cols).collect()]
+
+
+def test_merge_refuses_two_updates_of_a_key(spark, tmp_path):
+    t = name()
+    W.overwrite(spark.createDataFrame([("w1", 1, 10)], "week string, k int, v int"), t, ["week"], f"{tmp_path}/t")
+    with pytest.raises(ValueError, match="several updates"):
+        W.merge(spark.createDataFrame([("w1", 2, 1), ("w1", 2, 2)], "week string, k int, v int"), t, ["week", "k"], "week")
+    assert _rows(spark, t, "k", "v") == [(1, 10)]
+
+
+def test_swap_is_mended_after_a_crash(spark, tmp_path):
+    t = name()
+    one = spark.createDataFrame([("w1", 1)], "week string, v int")
+    W.swap(one, t, ["week"], f"{tmp_path}/t")
+    W.swap(one.withColumn("v", F.lit(2)), t, ["week"], f"{tmp_path}/t")
+    assert _rows(spark, t, "v") == [(2,)] and len([p for p in tmp_path.iterdir() if p.name.startswith("t__")]) == 1
+    spark.sql(f"ALTER TABLE {t} RENAME TO {t}__old")
+    W.swap(one.withColumn("v", F.lit(3)), t, ["week"], f"{tmp_path}/t")
+    assert _rows(spark, t, "v") == [(3,)] and not spark.catalog.tableExists(f"{t}__old")
+
+
+def test_range_with_a_quote_in_a_label(spark, tmp_path):
+    t = name()
+    W.overwrite(spark.createDataFrame([("a'1", 1), ("a'2", 2)], "d string, v int"), t, ["d"], f"{tmp_path}/t")
+    W.replace_range(spark.createDataFrame([("a'2", 5)], "d string, v int"), t, "d", "a", "b")
+    assert _rows(spark, t, "d", "v") == [("a'2", 5)]
+
+
 def test_replace_range_drops_empty_days(spark, tmp_path):
     t = name()
     W.overwrite(spark.createDataFrame([("d1", 1), ("d2", 2), ("d3", 3)], "d string, v int"), t, ["d"], f"{tmp_path}/t")

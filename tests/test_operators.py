@@ -352,3 +352,15 @@ def test_assert_schema(frame):
         Q.assert_schema(df.where("a = 2"), ["a"], non_empty=True)
     with pytest.raises(AssertionError):
         Q.assert_same_count(df, df.where("a = 2"))
+
+
+def test_null_segments_and_keys_are_counted(frame):
+    from datetime import date as d
+
+    from funnelspark.operators import census, quality
+
+    rows = [("w1", d(2024, 1, 1), "s", None), ("w1", d(2024, 1, 2), "s", None), ("w1", d(2024, 1, 1), "s", "p"), ("w1", d(2024, 1, 1), None, "p")]
+    weekly = census.weekly_census(frame(rows, "week string, day date, site string, payor string"), "week", "day", ["site"], ["payor"])
+    assert sorted((str(r.site), str(r.payor), r.rows, r.adc) for r in weekly.collect()) == [("None", "p", 1, 1.0), ("s", "None", 2, 1.0), ("s", "p", 1, 0.5)]
+    days = quality.date_coverage(frame([(None, d(2024, 1, 1)), (None, d(2024, 1, 3)), (None, d(2024, 1, 3))], "k string, day date"), ["k"], "day", low=2)
+    assert sorted((r.day.day, r.events, r.status) for r in days.collect()) == [(1, 1, "low"), (2, 0, "zero"), (3, 2, "ok")]
