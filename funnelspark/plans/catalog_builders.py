@@ -45,7 +45,7 @@ def c1(t):
 _BLOCK_SQL = """
   SELECT *, CASE WHEN nationkey = 0 THEN 'Not in CRM' WHEN stage <> 'Admitted' THEN 'Not Admitted in CRM (' || stage || ')'
     WHEN st IS NULL THEN 'No scorable VOB Status (None)' WHEN program = 'AUTOMOBILE' THEN 'Untracked program (AUTOMOBILE)'
-    WHEN st = 'Self Pay' AND lead_type IN ('BD', 'Step Down') THEN 'Self Pay excluded, lead type (' || lead_type || ')'
+    WHEN st = 'Self Pay' AND lead_type IN ('BD', 'Step Down') THEN 'Self Pay excluded (lead type ' || lead_type || ')'
     WHEN st = 'Self Pay' AND program <> 'BUILDING' THEN 'Self Pay excluded (program)' WHEN st = 'Self Pay' THEN 'Self Pay'
     WHEN lead_type IN ('BD', 'Alumni') THEN lead_type || CASE WHEN inp THEN ' Inpt ' ELSE ' Outpt ' END ||
          CASE WHEN c = 'P' AND NOT inp THEN 'P (not scored)' ELSE c END
@@ -55,7 +55,10 @@ _BLOCK_SQL = """
   FROM (SELECT *, program IN ('BUILDING', 'MACHINERY') AS inp, CASE WHEN opportunity_id % 13 <> 0 THEN vob_status END AS st,
                CASE WHEN vob_status IN ('Approved - Green', 'Approved - Yellow') THEN 'G/Y' WHEN vob_status = 'Approved - Red' THEN 'R' ELSE 'P' END AS c,
                CASE WHEN opportunity_id % 7 <> 0 THEN opportunity_id % 15 END AS los FROM opps)"""
-_POINTS_SQL = "CASE block " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in scoring.BLOCK_POINTS.items()) + " ELSE 0 END"
+# Written out, not taken from the operator's table.
+_POINTS_SQL = """CASE WHEN block = 'Standard Inpt G/Y' THEN 10 WHEN block IN ('Standard Inpt R', 'Standard Outpt G/Y', 'BD Inpt G/Y', 'Alumni Inpt G/Y', 'Self Pay') THEN 3
+  WHEN block IN ('Standard Inpt P (listed program)', 'BD Outpt G/Y', 'Alumni Outpt G/Y', 'Approved-Orange (flat)') THEN 2
+  WHEN block IN ('Standard Outpt R', 'BD Inpt R', 'Alumni Inpt R') THEN 1 WHEN block IN ('BD Inpt P', 'BD Outpt R', 'Alumni Inpt P', 'Alumni Outpt R') THEN 0.5 ELSE 0 END"""
 
 
 def _blocks(t):
@@ -83,7 +86,8 @@ def c2(t):
 _CATEGORY_SQL = "CASE WHEN nationkey IN (1, 2) THEN 'strategic_partner' WHEN lead_type = 'Alumni' THEN 'alumni' WHEN lead_type = 'BD' THEN 'bd' ELSE 'standard' END"
 _SCORE3_SQL = f"""
   SELECT *, CASE WHEN c IS NULL THEN 3.0 WHEN category = 'strategic_partner' THEN 2.0 WHEN tier IS NULL THEN 0 ELSE
-    CASE category || '|' || tier || '|' || c {' '.join(f"WHEN '{'|'.join(k)}' THEN {v}" for k, v in scoring.ADMIT_POINTS.items())} ELSE 0 END END AS points
+    CASE WHEN category = 'standard' AND tier = 'inpatient' THEN CASE c WHEN 'GY' THEN 10 WHEN 'R' THEN 3 ELSE 2 END WHEN category = 'standard' THEN CASE c WHEN 'GY' THEN 3 WHEN 'R' THEN 1 ELSE 0 END
+         WHEN tier = 'inpatient' THEN CASE c WHEN 'GY' THEN 3 WHEN 'R' THEN 1 ELSE 0.5 END ELSE CASE c WHEN 'GY' THEN 2 WHEN 'R' THEN 0.5 ELSE 0 END END END AS points
   FROM (SELECT *, {_CATEGORY_SQL} AS category, CASE WHEN program IN ('BUILDING', 'MACHINERY') THEN 'inpatient' WHEN program = 'FURNITURE' THEN 'outpatient' END AS tier,
         CASE WHEN vob_status IN ('Approved - Green', 'Approved - Yellow') THEN 'GY' WHEN vob_status = 'Approved - Red' THEN 'R' WHEN vob_status = 'Approved - Purple' THEN 'P' END AS c FROM opps)"""
 
@@ -156,8 +160,8 @@ def c7(t):
     o = shapes.opportunities(t).where(F.col("stage") == "Admitted").withColumn("rep", F.expr("nullif(closer, 'rep-0')"))
     r = scoring.program_rule
     rules = [
-        ("G/Y tier", r(programs=("program", ["BUILDING", "MACHINERY"]), status=("vob_status", scoring.GREEN_YELLOW)), 10.0),
-        ("Red", r(status=("vob_status", [scoring.RED])), 3.0),
+        ("G/Y tier", r(programs=("program", ["BUILDING", "MACHINERY"]), status=("vob_status", ["Approved - Green", "Approved - Yellow"])), 10.0),
+        ("Red", r(status=("vob_status", ["Approved - Red"])), 3.0),
         ("Rep required", r(level=("lead_type", ["BD", "SEO"]), filled="rep"), 0.5),
         ("Contains", r(contains=("lead_type", "Step")), 2.0),
     ]
