@@ -308,9 +308,9 @@ def j11(t):
     return M.canonical_names(d, "name", m, "raw", "canon").groupBy("name").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _stage_frame(t, kind: str):
-    return t.events.where(F.col("event_type") == kind).select(
-        week_ending(F.col("ts").cast("date")).alias("week"), F.expr("CASE WHEN user_id % 11 <> 0 THEN 'b' || (user_id % 11) END").alias("bucket"), "value"
+def _stage_frame(t, *kinds: str):
+    return t.events.where(F.col("event_type").isin(*kinds)).select(
+        week_ending(F.col("ts").cast("date")).alias("week"), F.expr("CASE WHEN user_id % 11 <> 0 THEN 'b' || (user_id % 11) END").alias("bucket"), "event_type", "value"
     )
 
 
@@ -323,12 +323,9 @@ def _stage_frame(t, kind: str):
            FROM events WHERE event_type <> 'error' GROUP BY 1, 2""",
 )
 def j12(t):
-    yes = F.lit(True)
+    e, kind = _stage_frame(t, "view", "click", "signup", "purchase"), F.col("event_type")
     return funnel(
-        {
-            "leads": (_stage_frame(t, "view"), yes), "opportunities": (_stage_frame(t, "click"), yes),
-            "vobs": (_stage_frame(t, "signup"), F.col("value") > 20), "admits": (_stage_frame(t, "purchase"), yes),
-        },
+        {"leads": (e, kind == "view"), "opportunities": (e, kind == "click"), "vobs": (e, (kind == "signup") & (F.col("value") > 20)), "admits": (e, kind == "purchase")},
         ["week", "bucket"],
     )
 

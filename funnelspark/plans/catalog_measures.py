@@ -160,16 +160,15 @@ def m9b(t):
 
 
 @query(
-    "m10_prior_year", "month_ending:s entity:s rev:f rev_py:f yoy:f",
-    sql="""WITH m AS (SELECT month_ending, entity, sum(amount) AS rev FROM fin_monthly WHERE type = 'Revenue' GROUP BY 1, 2)
-           SELECT a.month_ending, a.entity, a.rev, b.rev AS rev_py, (a.rev - b.rev) / abs(b.rev) AS yoy FROM m a
-           LEFT JOIN m b ON a.entity = b.entity AND b.month_ending = last_day(CAST(a.month_ending - INTERVAL 12 MONTH AS DATE))""",
+    "m10_prior_year", "month_ending:s entity:s type:s amount:f amount_py:f yoy:f",
+    sql="""WITH m AS (SELECT month_ending, entity, type, sum(amount) AS amount FROM fin_monthly GROUP BY 1, 2, 3)
+           SELECT a.month_ending, a.entity, a.type, a.amount, b.amount AS amount_py, CASE WHEN b.amount <> 0 THEN (a.amount - b.amount) / abs(b.amount) END AS yoy FROM m a
+           LEFT JOIN m b ON a.entity = b.entity AND a.type = b.type AND b.month_ending = last_day(CAST(a.month_ending - INTERVAL 12 MONTH AS DATE))""",
     uses=["fin_monthly"],
 )
 def m10(t):
-    m = finance.fin_monthly(shapes.bank(t), shapes.historical(t)).where(F.col("type") == "Revenue")
-    m = m.groupBy("month_ending", "entity").agg(F.sum("amount").alias("rev"))
-    return finance.prior_year(m, ["entity"], "rev").withColumn("yoy", finance.growth(F.col("rev"), F.col("rev_py")))
+    m = finance.fin_monthly(shapes.bank(t), shapes.historical(t)).groupBy("month_ending", "entity", "type").agg(F.sum("amount").alias("amount"))
+    return finance.prior_year(m, ["entity", "type"], "amount").withColumn("yoy", finance.growth(F.col("amount"), F.col("amount_py")))
 
 
 @query(
@@ -262,17 +261,17 @@ def m16(t):
 
 
 @query(
-    "m16_variance", "month_ending:s entity:s actual:f budget:f variance:f variance_pct:f",
-    sql="""WITH a AS (SELECT month_ending, entity, sum(amount) AS actual FROM fin_monthly WHERE type = 'Revenue' GROUP BY 1, 2), b AS (SELECT month_ending, entity, sum(amount) AS budget FROM budget WHERE type = 'Revenue' GROUP BY 1, 2)
-           SELECT month_ending, entity, actual, budget, actual - budget AS variance, (actual - budget) / budget AS variance_pct FROM a FULL OUTER JOIN b USING (month_ending, entity)""",
+    "m16_variance", "month_ending:s entity:s type:s actual:f budget:f variance:f variance_pct:f",
+    sql="""WITH a AS (SELECT month_ending, entity, type, sum(amount) AS actual FROM fin_monthly GROUP BY 1, 2, 3), b AS (SELECT month_ending, entity, type, sum(amount) AS budget FROM budget GROUP BY 1, 2, 3)
+           SELECT month_ending, entity, type, actual, budget, actual - budget AS variance, CASE WHEN budget <> 0 THEN (actual - budget) / budget END AS variance_pct FROM a FULL OUTER JOIN b USING (month_ending, entity, type)""",
     uses=["fin_monthly", "budget"],
 )
 def m16b(t):
-    def rev(df, name):
-        return df.where(F.col("type") == "Revenue").select("month_ending", "entity", F.lit(name).alias("k"), "amount")
+    def rows(df, name):
+        return df.select("month_ending", "entity", "type", F.lit(name).alias("k"), "amount")
 
-    both = rev(finance.fin_monthly(shapes.bank(t), shapes.historical(t)), "actual").unionByName(rev(shapes.budget(t), "budget"))
-    one = both.groupBy("month_ending", "entity").agg(*[F.sum(F.when(F.col("k") == k, F.col("amount"))).alias(k) for k in ("actual", "budget")])
+    both = rows(finance.fin_monthly(shapes.bank(t), shapes.historical(t)), "actual").unionByName(rows(shapes.budget(t), "budget"))
+    one = both.groupBy("month_ending", "entity", "type").agg(*[F.sum(F.when(F.col("k") == k, F.col("amount"))).alias(k) for k in ("actual", "budget")])
     return M.variance(one, "actual", "budget")
 
 
