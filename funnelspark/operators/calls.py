@@ -97,17 +97,18 @@ def add_callbacks(
     """First outbound call to the same number after each call that needs one.
 
     ``as_of_unix`` replaces the clock: an unanswered call younger than ``pending_hours`` is pending.
-    Rows that need no callback pass through the same single shuffle without a key.
+    Only rows that can match (a callback is due and there is a number) enter the window; the others pass by in a union, unshuffled
+    and with their columns pruned.
     """
     talk, ring = F.coalesce("talk_time", F.lit(0)), F.coalesce("ring_time", F.lit(0))
     outbound = calls.where(
         (F.col("event_type") == "voice") & (F.col("direction") == "outbound") & (talk + ring >= min_seconds)
     ).select("id", "caller_number", "unix_time", "agent_id", "outcome")
-    keyed = calls.withColumn("_cb_key", F.when(F.col("needs_callback"), F.col("caller_number")))
-    out = first_in_window(
-        keyed,
+    due = F.coalesce(F.col("needs_callback"), F.lit(False)) & F.col("caller_number").isNotNull() & F.col("unix_time").isNotNull()
+    matched = first_in_window(
+        calls.where(due),
         outbound,
-        base_key="_cb_key",
+        base_key="caller_number",
         base_time=F.col("unix_time"),
         event_key="caller_number",
         event_time=F.col("unix_time"),
@@ -115,7 +116,8 @@ def add_callbacks(
         carry=["agent_id", "outcome"],
         until=days * DAY,
         match="_cb",
-    ).drop("_cb_key")
+    )
+    out = matched.unionByName(calls.where(~due).withColumn("_cb", F.lit(None).cast(matched.schema["_cb"].dataType)))
     hit = F.col("_cb").isNotNull()
     status = (
         F.when(~F.col("needs_callback"), F.lit("no_callback_needed"))
