@@ -6,6 +6,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -25,7 +26,7 @@ def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "4")
     names = sys.argv[1:] or QUERIES
-    spark = build_session("bench", f"local[{cpus}]", spark_ui_enabled="false", spark_sql_shuffle_partitions=str(2 * int(cpus)))
+    spark = build_session("bench", f"local[{cpus}]", spark_ui_enabled="false", spark_sql_shuffle_partitions=str(2 * int(cpus)), spark_checkpoint_dir=tempfile.mkdtemp(prefix="bench-"))
     spark.sparkContext.setLogLevel("ERROR")
     all_queries, seconds = catalog.queries(), {}
     for name in names:

@@ -210,3 +210,22 @@ _YTD = """SELECT entity, type, sum(amount) AS v FROM (SELECT *, year(month_endin
 def model_finance(t):
     m = finance.fin_monthly(shapes.bank(t), shapes.historical(t))
     return models.finance_measures(m, shapes.budget(t), {"E1": 1, "E2": 4, "E3": 10}, date(2000, 6, 30))
+
+
+def _trend_sql(step: str) -> str:
+    return f"""WITH a AS (SELECT facility, CAST(date_trunc('{step}', call_date) AS DATE) AS period, count(*) AS n FROM calls WHERE direction = 'inbound' GROUP BY 1, 2)
+      SELECT a.facility, a.period, a.n AS inbound_calls, b.n AS inbound_calls_prev, (a.n - b.n) / b.n AS inbound_calls_change
+      FROM a LEFT JOIN a b ON a.facility IS NOT DISTINCT FROM b.facility AND CAST(b.period + INTERVAL 1 {step} AS DATE) = a.period"""
+
+
+_TREND = "facility:s period:s inbound_calls:i inbound_calls_prev:i inbound_calls_change:f"
+
+
+@query("model_inbound_week", _TREND, sql=_trend_sql("week"), uses=["calls"])
+def model_inbound_week(t):
+    return models.inbound_trend(shapes.calls(t), ["facility"], "call_date", "week")
+
+
+@query("model_inbound_month", _TREND, sql=_trend_sql("month"), uses=["calls"])
+def model_inbound_month(t):
+    return models.inbound_trend(shapes.calls(t), ["facility"], "call_date", "month")

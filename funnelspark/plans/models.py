@@ -1,4 +1,4 @@
-"""The measures of the report models, by name, as grouped frames.
+"""Measures of the report models, by name, as grouped frames (COVERAGE.md lists those not built).
 
 Each function takes fact frames, the columns to group by and (where a measure looks back) a plain anchor date,
 and returns one row per group with every measure of that model. Measures that share a fact are computed in one
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from funnelspark.operators import census as S
 from funnelspark.operators import finance
-from funnelspark.operators.measures import change, conditional, ratio
+from funnelspark.operators.measures import change, conditional, previous_period, ratio
 
 WINDOW_DAYS = 28
 
@@ -151,6 +151,13 @@ def funnel_measures(funnel: DataFrame, keys: Sequence[str], week: str, anchor: d
     return m.withColumn("vob_to_admit_change_pp", F.coalesce("t4w_vob_to_admit", F.lit(0.0)) - F.coalesce("p4w_vob_to_admit", F.lit(0.0)))
 
 
+def inbound_trend(calls: DataFrame, keys: Sequence[str], day: str, step: str = "week") -> DataFrame:
+    """Inbound calls per week (from Monday) or month, with those of the period before and their change."""
+    period = F.trunc(day, step).alias("period")
+    inbound = calls.where(F.col("direction") == "inbound").groupBy(*keys, period).agg(F.count(F.lit(1)).alias("inbound_calls"))
+    return previous_period(inbound, keys, "period", "inbound_calls", step)
+
+
 def admit_measures(admits: DataFrame, keys: Sequence[str], day: str, anchor: date) -> DataFrame:
     """Verified admissions, all and paid, trailing, prior and change."""
     _, now, prior = _windows(F.col(day), anchor)
