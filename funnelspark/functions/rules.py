@@ -85,6 +85,25 @@ BRIEF_CHANNEL_BY_SOURCE = (
     (r"referral|facility transfer", "Referral"),
     (r"direct|target number|website", "Direct"),
 )
+# The source rule of the dashboard after its operational sources; published names come last.
+DASHBOARD_CHANNEL_BY_SOURCE = (
+    (
+        r"^ppc |^ppc-|^meta |google ads|facebook paid|facebook cta|fb ads|geofencing|linkedin|pmax|performance max",
+        "PPC",
+    ),
+    (r"^print$", "Other"),
+    (r"organic|seo|gmb|bing local", "Organic"),
+    (r"referral|facility transfer", "Referral"),
+    (r"direct|target number|website", "Direct"),
+)
+# Operational sources without an owner's name; callers add those that have one.
+OPERATIONAL_SOURCES = ("billing number", "pre assessments", "other static")
+# The shorter lead-type lists of admissions without a stored lead type.
+ADMIT_LEAD_TYPE_PATTERNS = (
+    (r"alumni|word of mouth|readmission", "Alumni"),
+    (r"google ads|ppc|pmax|paid", "PPC"),
+    (r"internet search|organic|gmb|website|direct site", "SEO"),
+)
 # Lead type by free text, after the referral signal.
 LEAD_TYPE_PATTERNS = (
     (r"transfer|referral|sales rep|business development|3rd party", "BD"),
@@ -123,12 +142,23 @@ DISPOSITIONS = {
 NO_DISPOSITION = "Unknown / no disposition"
 
 
-def channel(label: Column, source: Column, direct_names: Iterable[str] = ()) -> Column:
-    """Channel by label, else by source; ``direct_names`` are published names that count as Direct."""
+def _holds_any(text: Column, parts: Iterable[str]) -> Column:
+    hit = F.lit(False)
+    for p in parts:
+        hit = hit | text.contains(p.lower())
+    return hit
+
+
+def channel(label: Column, source: Column, direct_names: Iterable[str] = (), operational: Iterable[str] = ()) -> Column:
+    """Channel by label, else by source.
+
+    ``direct_names`` are published names that count as Direct; sources that hold one of ``operational`` are Other.
+    """
     lab, src = collapse_spaces(label), collapse_spaces(source)
     names = [n.lower() for n in direct_names]
     by_label = [(lab.rlike(p), v) for p, v in CHANNEL_BY_LABEL]
     by_source = [(src.rlike(p), v) for p, v in CHANNEL_BY_SOURCE]
+    by_source.insert(2, (_holds_any(src, operational), "Other"))
     if names:
         by_label.append((lab.isin(names), "Direct"))
         by_source.append((src.isin(names), "Direct"))
@@ -136,6 +166,22 @@ def channel(label: Column, source: Column, direct_names: Iterable[str] = ()) ->
     return F.coalesce(from_label, first_match(by_source, "Other"))
 
 
+def dashboard_channel(source: Column, direct_names: Iterable[str] = (), operational: Iterable[str] = ()) -> Column:
+    """Channel of the dashboard: operational and print sources are Other, published names Direct."""
+    src = collapse_spaces(source)
+    head = [(src == "", "Unknown"), (src == "outbound calls", "Outbound"), (_holds_any(src, ("ai agent", "tawk to")), "Chat")]
+    other = (_holds_any(src, [*OPERATIONAL_SOURCES, *operational]) | (src == "mat"), "Other")
+    tail = [(src.isin([n.lower() for n in direct_names]), "Direct")] if direct_names else []
+    return first_match([*head, other, *[(src.rlike(p), v) for p, v in DASHBOARD_CHANNEL_BY_SOURCE], *tail], "Other")
+
+
+def admit_lead_type(company: Column, contact: Column, *texts: Column) -> Column:
+    """Lead type of an admission: a referring company or contact is BD, then the first pattern, else ``Other``."""
+    named = (F.trim(text_or_empty(company)) != "") | (F.trim(text_or_empty(contact)) != "")
+    blob = F.lower(F.concat_ws(" ", *[text_or_empty(t) for t in (*texts, company, contact)]))
+    return first_match([(named, "BD"), *[(blob.rlike(p), v) for p, v in ADMIT_LEAD_TYPE_PATTERNS]], "Other")
+
+
 def brief_channel(source: Column) -> Column:
     return classify(collapse_spaces(source), BRIEF_CHANNEL_BY_SOURCE, "Other")
 

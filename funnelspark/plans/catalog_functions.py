@@ -420,6 +420,34 @@ def k16(t):
     )
 
 
+@query(
+    "k16_dashboard_channel", "channel:s n:i",
+    sql=f"""SELECT CASE WHEN s = '' THEN 'Unknown' WHEN s = 'outbound calls' THEN 'Outbound' WHEN contains(s, 'ai agent') OR contains(s, 'tawk to') THEN 'Chat'
+              WHEN contains(s, 'billing number') OR contains(s, 'pre assessments') OR contains(s, 'other static') OR contains(s, 'seo') OR s = 'mat' THEN 'Other'
+              WHEN s LIKE 'ppc %' OR s LIKE 'ppc-%' OR s LIKE 'meta %' OR regexp_matches(s, 'google ads|facebook paid|facebook cta|fb ads|geofencing|linkedin|pmax|performance max') THEN 'PPC'
+              WHEN s = 'print' THEN 'Other' WHEN regexp_matches(s, 'organic|gmb|bing local') THEN 'Organic' WHEN regexp_matches(s, 'referral|facility transfer') THEN 'Referral'
+              WHEN regexp_matches(s, 'direct|target number|website') THEN 'Direct' WHEN s = 'north' THEN 'Direct' ELSE 'Other' END AS channel, count(*) AS n
+            FROM (SELECT {_SRC} AS s FROM calls) GROUP BY 1""",
+    uses=["calls"],
+)
+def k16_dashboard(t):
+    c = rules.dashboard_channel(F.col("source"), ["North"], ["SEO"])
+    return shapes.calls(t).groupBy(c.alias("channel")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "k17_admit_lead_type", "lead_type:s n:i",
+    sql="""SELECT CASE WHEN user_id % 7 = 0 OR user_id % 11 = 0 THEN 'BD' WHEN regexp_matches(s, 'alumni|word of mouth|readmission') THEN 'Alumni'
+             WHEN regexp_matches(s, 'google ads|ppc|pmax|paid') THEN 'PPC' WHEN regexp_matches(s, 'internet search|organic|gmb|website|direct site') THEN 'SEO' ELSE 'Other' END AS lead_type,
+           count(*) AS n FROM (SELECT user_id, lower(coalesce(source, '') || ' ' || coalesce(tracking_label, '')) AS s FROM calls) GROUP BY 1""",
+    uses=["calls"],
+)
+def k17_admit(t):
+    company, contact = F.when(F.col("user_id") % 7 == 0, F.lit("partner")), F.when(F.col("user_id") % 11 == 0, F.lit("somebody")).otherwise(F.lit(" "))
+    c = rules.admit_lead_type(company, contact, F.col("source"), F.col("tracking_label"))
+    return shapes.calls(t).groupBy(c.alias("lead_type")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "k17_lead_type",
     "lead_type:s stored:s n:i",
