@@ -1,6 +1,6 @@
 """Benchmark decontamination with an FM-index per shard of training text.
 
-A shard is one Arrow batch of documents. Its words become symbols of the benchmark's vocabulary; any other word ends a run, and
+A shard is a run of documents of about ``SHARD_BYTES``. Its words become symbols of the benchmark's vocabulary; any other word ends a run, and
 runs shorter than the shortest test phrase cannot hold one and are left out. The shard's suffix array gives a Burrows-Wheeler
 transform, kept as a wavelet matrix with rank counts. All test phrases step backwards through it at once; occurrences are
 located by walking to sampled suffix positions, mapped to document words and merged to removal spans.
@@ -27,6 +27,8 @@ from funnelspark.llm.ragged import ALNUM, LOWER, concat_rows, slices, text_bytes
 WINDOW = 10
 #: Benchmark words of one block (and so of one broadcast, some 40 MB).
 BLOCK_WORDS = 1_000_000
+#: Text of one shard (or one longer text).
+SHARD_BYTES = 8 << 20
 #: Every so many text positions keep their place in the suffix array.
 SAMPLE = 8
 
@@ -225,11 +227,11 @@ def find(docs: DataFrame, bench: DataFrame, text: str = "text") -> DataFrame:
 
         def run(batches, phrases=phrases, fields=[f.name for f in schema.fields]):
             for batch in batches:
-                column = batch.column(text)
-                words, spans, items = scan(column, (p.column(text) for p in slices(batch, text)), phrases.value)
-                spans = [[dict(zip(SPAN.names, s)) for s in row] for row in spans]
-                made = [pa.array(words, pa.int64()), pa.array(spans, _ARROW_SPAN), pa.array(items, pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in fields[:-3]), *made], names=fields)
+                for shard in slices(batch, text, SHARD_BYTES):
+                    words, spans, items = scan(shard.column(text), (p.column(text) for p in slices(shard, text)), phrases.value)
+                    spans = [[dict(zip(SPAN.names, s)) for s in row] for row in spans]
+                    made = [pa.array(words, pa.int64()), pa.array(spans, _ARROW_SPAN), pa.array(items, pa.list_(pa.string()))]
+                    yield pa.RecordBatch.from_arrays([*(shard.column(c) for c in fields[:-3]), *made], names=fields)
 
         out = out.mapInArrow(run, schema)
     spans = F.array_sort(F.concat(*[f"_spans{k}" for k in names]))
@@ -263,7 +265,7 @@ def without_spans(docs: DataFrame, bench: DataFrame, text: str = "text") -> Data
 
     ``n_chars``, where present, follows the new text.
     """
-    held = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs[text].alias("_text"))
+    held = docs.select(F.struct(F.lit(0).alias("_"), *[docs[c] for c in docs.columns if c != text]).alias("_row"), docs[text].alias("_text"))
     found = find(held, bench, "_text")
     raw = F.col("_text").cast("binary")
     edges = F.concat(F.array(F.lit(0).cast("long")), F.flatten(F.transform("spans", lambda s: F.array(s.byte, s.byte_after))), F.array(F.octet_length("_text").cast("long")))
