@@ -4,7 +4,9 @@ A string is 50 bytes; it is removed wherever it also starts in a document of sma
 
 1. *Anchors.* Of the 16-byte grams in a string the one with the smallest hash is its anchor, so equal strings have equal anchors
    at equal places. Anchors (one in some 20 bytes) travel packed by hash block; those of one text only are dropped.
-2. *Contexts.* A text sends, for each anchor that others have too, the bytes of the strings that belong to it.
+2. *Contexts.* A text sends, for each anchor that others have too, the bytes of the strings that belong to it. Equal contexts that a
+   task meets are combined before the shuffle: only the smallest document goes on, the others are decided. Anchors of more than
+   ``HOT`` texts send their strings one by one, dealt out by the hash of the whole string, so no group holds all their texts.
 3. *Suffix sort.* In a hash block the suffixes at the string starts of an anchor are merge-sorted, all anchors of the block at once.
    Two suffixes are compared by the length of their common extension, found by binary search over polynomial prefix hashes;
    neighbours that agree over 50 bytes are verified byte by byte. Each class of equal strings keeps its smallest document.
@@ -30,8 +32,13 @@ from funnelspark.session import materialise
 
 LENGTH = 50
 GRAM = 16
-#: Bytes of text whose anchors or contexts a task packs at a time.
+#: Bytes of text whose anchors, and whose contexts, a task packs at a time.
 FLUSH = 16 << 20
+CONTEXT_FLUSH = 4 << 20
+#: Texts from which on an anchor's strings are dealt out one by one.
+HOT = 50_000
+#: Strings that are sorted at a time (or those of one anchor).
+SORTED = 200_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
@@ -146,7 +153,7 @@ def anchor_blocks(docs: DataFrame, blocks: int) -> DataFrame:
     return docs.mapInArrow(run, PACKED)
 
 
-def _shared(key, table: pa.Table, buckets: int) -> pa.Table:
+def _shared(key, table: pa.Table, buckets: int, hottest: int) -> pa.Table:
     """Anchors of more than one text, by bucket of texts."""
     e = _gathered(table)
     order = np.argsort(e["hash"], kind="stable")
@@ -158,24 +165,40 @@ def _shared(key, table: pa.Table, buckets: int) -> pa.Table:
     fresh = np.concatenate(([True], (h[1:] != h[:-1]) | (k[1:] != k[:-1]))) if len(h) else np.zeros(0, bool)
     h, k = h[fresh], k[fresh]
     column = np.cumsum(np.concatenate(([0], h[1:] != h[:-1]))) if len(h) else np.zeros(0, np.int64)
-    many = (np.bincount(column) > 1)[column] if len(h) else fresh
-    h, k = h[many], k[many]
+    count = np.bincount(column)[column] if len(h) else column
+    h, k, hot = h[count > 1], k[count > 1], count[count > 1] > hottest
     own, at = np.unique(k, return_inverse=True)
-    packed = _rows(1, (k.view(np.uint64) % np.uint64(buckets)).astype(np.int32), own, own, at, h) if len(h) else None
+    ranges = np.column_stack((hot, hot)).astype(np.uint8)
+    packed = _rows(1, (k.view(np.uint64) % np.uint64(buckets)).astype(np.int32), own, own, at, h, np.zeros(len(h), np.int32), ranges, (np.zeros(0, np.uint8), at * 0, at * 0)) if len(h) else None
     return pa.Table.from_batches([packed] if packed else [], _SCHEMA)
 
 
 def _by_text(key, table: pa.Table) -> pa.Table:
-    """(tk, sorted shared anchors) of a bucket of texts."""
+    """(tk, sorted shared anchors, those of them that are hot) of a bucket of texts."""
     e = _gathered(table)
     order = np.lexsort((e["hash"], e["key"]))
-    k, h = e["key"][order], e["hash"][order]
+    k, h, hot = e["key"][order], e["hash"][order], e["range"][order, 0] > 0
     cut = [0, *(np.flatnonzero(k[1:] != k[:-1]) + 1).tolist(), len(k)]
-    return pa.table({"tk": pa.array(k[cut[:-1]], pa.int64()), "shared": pa.array([binary(h[a:b]) for a, b in zip(cut, cut[1:])], pa.binary())})
+    return pa.table({"tk": pa.array(k[cut[:-1]], pa.int64()), "shared": pa.array([binary(h[a:b]) for a, b in zip(cut, cut[1:])], pa.binary()), "hot": pa.array([binary(h[a:b][hot[a:b]]) for a, b in zip(cut, cut[1:])], pa.binary())})
 
 
 def contexts(rows: DataFrame, blocks: int) -> DataFrame:
-    """Packed contexts of the shared anchors of (doc_id, tk, text, shared)."""
+    """Packed contexts of the shared anchors of (doc_id, tk, text, shared, hot), and under negative blocks what is decided at once."""
+
+    def combined(keys, docs, at, h, place, ranges, hot, data, start, end):
+        whole = mix(Prefixes(data).of(start, end) ^ mix(h + ranges[:, 0] * np.uint64(256) + ranges[:, 1]))
+        order = np.lexsort((docs[at], whole))
+        first = np.maximum.accumulate(np.where(np.concatenate(([True], whole[order][1:] != whole[order][:-1])), np.arange(len(order)), 0))
+        lead = order[first]
+        _verify(data, start[order], start[lead], (end - start)[order], (end - start)[lead])
+        later = docs[at[order]] > docs[at[lead]]
+        done, rest = order[later], order[~later]
+        if len(done):
+            block = np.full(len(done), -1 - int(abs(keys[0]) % blocks), np.int32)
+            yield _rows(0, block, keys, docs, at[done], h[done], (place[done] - ranges[done, 0]).astype(np.int32), ranges[done], (data[:0], done * 0, done * 0))
+        packed = _rows(1, _block_of(np.where(hot, whole, h)[rest], blocks), keys, docs, at[rest], h[rest], place[rest], ranges[rest], (data, start[rest], end[rest]))
+        if packed:
+            yield packed
 
     def run(batches):
         keys, docs, parts, size = [], [], [], 0
@@ -185,17 +208,21 @@ def contexts(rows: DataFrame, blocks: int) -> DataFrame:
             if parts:
                 at = np.concatenate([np.full(len(p[0]), i) for i, p in enumerate(parts)])
                 base = np.cumsum([0] + [len(p[3]) for p in parts[:-1]])
-                h, place, ranges = (np.concatenate([p[i] for p in parts]) for i in (0, 1, 2))
+                h, place, ranges, hot = (np.concatenate([p[i] for p in parts]) for i in (0, 1, 2, 4))
                 start = np.concatenate([p[1] - p[2][:, 0] + b for p, b in zip(parts, base)])
+                # A context of a hot anchor becomes one of each string.
+                times = np.where(hot, ranges[:, 1].astype(np.int64) + 1, 1)
+                one = np.repeat(np.arange(len(h)), times)
+                step = np.arange(len(one)) - np.repeat(np.cumsum(times) - times, times)
+                at, h, place, start, hot = at[one], h[one], place[one], start[one] + step, hot[one]
+                ranges = np.column_stack((ranges[one, 0] - step, np.where(hot, 0, ranges[one, 1]))).astype(np.uint8)
                 end = start + ranges[:, 1] + LENGTH
-                packed = _rows(1, _block_of(h, blocks), np.array(keys, np.int64), np.array(docs, np.int64), at, h, place, ranges, (np.concatenate([p[3] for p in parts]), start, end))
-                if packed:
-                    yield packed
+                yield from combined(np.array(keys, np.int64), np.array(docs, np.int64), at, h, place, ranges, hot, np.concatenate([p[3] for p in parts]), start, end)
             keys, docs, parts, size = [], [], [], 0
 
         for batch in batches:
             for part in slices(batch, "text"):
-                tk, ids, shared = (part.column(c).to_pylist() for c in ("tk", "doc_id", "shared"))
+                tk, ids, shared, hot = (part.column(c).to_pylist() for c in ("tk", "doc_id", "shared", "hot"))
                 for r, data, h, low in anchors(part.column("text")):
                     some = np.frombuffer(shared[r], np.uint64)
                     found = np.minimum(np.searchsorted(some, low), len(some) - 1)
@@ -216,15 +243,15 @@ def contexts(rows: DataFrame, blocks: int) -> DataFrame:
                     p = place[cut]
                     # From the first start to the anchor, and to the last start; both are under LENGTH.
                     ranges = np.column_stack((p - start[cut], start[last] - start[cut])).astype(np.uint8)
-                    parts.append((h[p], p.astype(np.int32), ranges, data))
+                    parts.append((h[p], p.astype(np.int32), ranges, data, np.isin(h[p], np.frombuffer(hot[r], np.uint64))))
                     keys.append(tk[r])
                     docs.append(ids[r])
                     size += len(data)
-                if size >= FLUSH:
+                if size >= CONTEXT_FLUSH:
                     yield from flush()
         yield from flush()
 
-    return rows.select("doc_id", "tk", "text", "shared").mapInArrow(run, PACKED)
+    return rows.select("doc_id", "tk", "text", "shared", "hot").mapInArrow(run, PACKED)
 
 
 def _extension(prefix: Prefixes, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -286,9 +313,32 @@ def sort_suffixes(data: np.ndarray, prefix: Prefixes, suffix: np.ndarray, group:
     return order
 
 
-def _spans(key, table: pa.Table) -> pa.Table:
-    """(doc_id, tk, a, b): removed bytes of each text, from the strings of one block of anchors."""
+def _spans(key, table: pa.Table, most: int) -> pa.Table:
+    """(doc_id, tk, a, b): removed bytes of each text, from the strings of one block of anchors, a bounded number at a time."""
     e = _gathered(table)
+    start = e["place"].astype(np.int64)
+    if key[0].as_py() < 0:
+        return _removed(e["doc"], e["key"], start, start + e["range"][:, 1] + LENGTH)
+    size = e["range"][:, 1].astype(np.int64) + LENGTH
+    begin = np.cumsum(size) - size
+    order = np.argsort(e["hash"], kind="stable")
+    h = e["hash"][order]
+    part = np.cumsum(size[order] - LENGTH + 1) // most
+    first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+    cut = first[np.concatenate(([True], part[first][1:] != part[first][:-1]))]
+    out = []
+    for a, b in zip(cut, np.append(cut[1:], len(h))):
+        o = order[a:b]
+        flat = np.repeat(begin[o] - np.cumsum(size[o]) + size[o], size[o]) + np.arange(int(size[o].sum()))
+        out.append(_sorted_spans({c: v[flat] if c == "bytes" else v[o] for c, v in e.items()}))
+    return pa.concat_tables(out)
+
+
+def _removed(doc: np.ndarray, tk: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.Table:
+    return pa.table({"doc_id": pa.array(doc, pa.int64()), "tk": pa.array(tk, pa.int64()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _sorted_spans(e: dict[str, np.ndarray]) -> pa.Table:
     n = len(e["hash"])
     width = e["range"][:, 1].astype(np.int64)
     size = width + LENGTH
@@ -337,7 +387,7 @@ def _spans(key, table: pa.Table) -> pa.Table:
     cut = np.concatenate(([True], (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1))) if len(row) else np.zeros(0, bool)
     last = np.flatnonzero(np.append(cut[1:], True)) if len(row) else row
     rows = order[row[cut]]
-    return pa.table({"doc_id": pa.array(e["doc"][rows], pa.int64()), "tk": pa.array(e["key"][rows], pa.int64()), "a": pa.array(start[cut], pa.int64()), "b": pa.array(start[last] + LENGTH, pa.int64())})
+    return _removed(e["doc"][rows], e["key"][rows], start[cut], start[last] + LENGTH)
 
 
 def _verify(data: np.ndarray, a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> None:
@@ -352,7 +402,7 @@ def _verify(data: np.ndarray, a: np.ndarray, b: np.ndarray, size_a: np.ndarray,
             raise ArithmeticError("two different byte strings share a 64-bit hash; choose another base")
 
 
-def find(docs: DataFrame, text: str = "text") -> DataFrame:
+def find(docs: DataFrame, text: str = "text", hot: int = HOT, most: int = SORTED) -> DataFrame:
     """(doc_id, text, copy, spans) of every row: whether an earlier document has the whole text, and the removed stretches, unmerged."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = 2 * parts
@@ -362,18 +412,18 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
     least = ids.groupBy("tk").agg(F.min("doc_id").alias("least"))
     copies = ids.join(least, "tk").where(F.col("doc_id") > F.col("least")).select("doc_id", "tk", F.lit(True).alias("copy")).distinct()
 
-    shared = anchor_blocks(keyed, blocks).groupBy("block").applyInArrow(lambda k, t: _shared(k, t, parts), PACKED)
-    shared = shared.groupBy("block").applyInArrow(lambda k, t: _by_text(k, t), "tk long, shared binary")
-    shared = shared.join(least, "tk").select(F.col("least").alias("doc_id"), "tk", "shared")
+    shared = anchor_blocks(keyed, blocks).groupBy("block").applyInArrow(lambda k, t: _shared(k, t, parts, hot), PACKED)
+    shared = shared.groupBy("block").applyInArrow(lambda k, t: _by_text(k, t), "tk long, shared binary, hot binary")
+    shared = shared.join(least, "tk").select(F.col("least").alias("doc_id"), "tk", "shared", "hot")
     # Both joins to the texts have the same keys, so their one shuffle serves both.
-    found = contexts(keyed.join(shared, ["doc_id", "tk"]), blocks).groupBy("block").applyInArrow(lambda k, t: _spans(k, t), "doc_id long, tk long, a long, b long")
+    found = contexts(keyed.join(shared, ["doc_id", "tk"]), blocks).groupBy("block").applyInArrow(lambda k, t: _spans(k, t, most), "doc_id long, tk long, a long, b long")
     spans = found.groupBy("doc_id", "tk").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
     out = keyed.join(spans, ["doc_id", "tk"], "left").join(copies, ["doc_id", "tk"], "left")
     out = out.select("doc_id", "text", F.coalesce("copy", F.lit(False)).alias("copy"), F.coalesce("spans", F.array().cast("array<struct<a:bigint,b:bigint>>")).alias("spans"))
     return out.unionByName(raw.where(F.col("doc_id").isNull()).select("doc_id", "text", F.lit(False).alias("copy"), F.array().cast("array<struct<a:bigint,b:bigint>>").alias("spans")))
 
 
-def dedup(docs: DataFrame, text: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, text: str = "text", hot: int = HOT, most: int = SORTED) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes left; cutting may split a character)."""
 
     def run(batches):
@@ -398,4 +448,4 @@ def dedup(docs: DataFrame, text: str = "text") -> DataFrame:
                 arrays = [part.column("doc_id"), pa.array(np.diff(offsets)), *(pa.array(v, t) for v, t in zip(out, types))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    return find(docs, text).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return find(docs, text, hot, most).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
