@@ -36,10 +36,10 @@ def _graph(x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     n, k = len(x), min(k, len(x) - 1)
     square = (x * x).sum(1)
     near = []
-    for a in range(0, n, 512):
-        d = square[None] - 2 * x[a : a + 512] @ x.T
+    for a in range(0, n, 128):
+        d = square[None] - 2 * x[a : a + 128] @ x.T
         d[np.arange(d.shape[0]), np.arange(a, a + d.shape[0])] = np.inf
-        near.append(np.argpartition(d, k - 1, axis=1)[:, :k] if k else np.zeros((d.shape[0], 0), int))
+        near.append(np.argpartition(d, k - 1, axis=1)[:, :k].copy() if k else np.zeros((d.shape[0], 0), int))
     v = np.concatenate(near).reshape(-1)
     u = np.repeat(np.arange(n), k)
     key = np.unique(np.concatenate((u * n + v, v * n + u)))
