@@ -66,6 +66,11 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_mixing_positions(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "taken", F.transform("positions", lambda p: F.round(p, 9)).alias("positions"))
+
+
 # Overlaps of all pairs that share a shingle, then reachability.
 OP1_SQL = r"""
 WITH RECURSIVE w AS (
@@ -145,10 +150,20 @@ SELECT doc_id, size::bigint AS size, source_size::bigint AS source_size, target,
        (passes * size + greatest(0, least(size, round(target - passes * source_size) - placed)))::bigint AS taken FROM r
 """
 
+# The same rows with one training time a pass: the default schedules have one segment each, so their integral is inverted in closed form.
+OP10_POSITIONS_SQL = OP10_SQL[: OP10_SQL.rindex("SELECT doc_id")].replace("t.target, floor", "t.target, t.rank, floor").replace("SELECT source, source_size, CASE", "SELECT source, source_size, rank, CASE").rstrip() + r"""
+, k AS (
+  SELECT *, (passes * size + greatest(0, least(size, round(target - passes * source_size) - placed)))::bigint AS taken,
+         [1.6, 1.0, 0.4][(rank % 3 + 1)::int]::double AS w0, [0.4, 1.0, 1.6][(rank % 3 + 1)::int]::double AS w1 FROM r
+)
+SELECT doc_id, taken, CASE WHEN taken = 0 THEN [] ELSE list_transform(range(0, ceil(taken / size)::bigint),
+         lambda e: round(least(1.0, 2 * ((placed + e * source_size) / target) / (w0 + sqrt(greatest(w0 * w0 + 2 * (w1 - w0) * ((placed + e * source_size) / target), 0)))), 9)) END AS positions FROM k
+"""
+
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_ngram_jaccard, op2_toxicity, op3_token_counts, op4_decontaminate, op5_quality, op6_ann, op7_pii, op8_langid, op9_suffix_dedup, op10_mixing)}
+    return {f.__name__: f for f in (op1_ngram_jaccard, op2_toxicity, op3_token_counts, op4_decontaminate, op5_quality, op6_ann, op7_pii, op8_langid, op9_suffix_dedup, op10_mixing, op10_mixing_positions)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_jaccard": OP1_SQL, "op4_decontaminate": OP4_SQL, "op9_suffix_dedup": OP9_SQL, "op10_mixing": OP10_SQL}
+    return {"op1_ngram_jaccard": OP1_SQL, "op4_decontaminate": OP4_SQL, "op9_suffix_dedup": OP9_SQL, "op10_mixing": OP10_SQL, "op10_mixing_positions": OP10_POSITIONS_SQL}

@@ -4,7 +4,7 @@ Each source has a target number of words (its share of all words, capped at ``mo
 shared again by weight). Its documents are taken in a keyed order, whole passes first, then part of a further pass, so a
 document is taken floor or ceil of target / size times; the one at the edge gives the words still missing. The schedule of
 a source (piecewise linear weight over time 0..1) is integrated to a cumulative demand; a document's place in its source's
-demand is inverted to a training time, and all documents are range-sorted by it.
+demand is inverted to a training time for every pass it is taken in, and all documents are range-sorted by the first of these.
 
 All sums are two-level: a source's documents fall into 4,096 cells by their keyed hash; running totals go over cells
 (a few thousand rows a source), then inside a cell, so a source with a third of all rows is spread over all tasks.
@@ -79,10 +79,11 @@ def _segments(knots: tuple[tuple[float, float], ...]) -> Column:
 
 
 def mix(docs: DataFrame, most_epochs: float = 3.0, seed: int = 7, schedules=SCHEDULES, text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, size, source_size, target, taken, position (training time of its first words).
+    """One row per row of ``docs``: doc_id, source, size, source_size, target, taken, position, positions.
 
-    Texts are read once; sizes and order keys (some 60 bytes a row) are kept in the shared folder.
-    Rows come range-sorted by position; those never taken are last, with a NULL position.
+    ``positions`` are the training times of the row's first words in every pass it is taken in (a partial last pass included);
+    ``position`` is the first of them. Texts are read once; sizes and order keys (some 60 bytes a row) are kept in the shared folder.
+    Rows come range-sorted by position; those never taken are last, with a NULL position and no positions.
     """
     key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit(""))))
     rows = docs.select("doc_id", "source", word_count(F.col(text)).alias("size"), key.alias("_h"))
@@ -107,7 +108,20 @@ def _mixed(rows: DataFrame, most_epochs: float, schedules) -> DataFrame:
     joined = (
         joined.withColumn("_at", at).withColumn("_passes", passes).withColumn("_rest", rest)
         .withColumn("taken", F.col("_passes") * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), F.col("_rest") - F.col("_at"))))
-        .withColumn("position", F.when(F.col("taken") > 0, _inverse_demand(F.col("_at") / F.col("target"), F.element_at(kinds, (F.col("rank") % len(schedules) + 1).cast("int")))))
+        .withColumn("_knots", F.element_at(kinds, (F.col("rank") % len(schedules) + 1).cast("int")))
+        # Passes a row is taken in: whole ones, and the partial one if the words missing reach it.
+        .withColumn("_last", F.when(F.col("taken") > 0, F.ceil(F.col("taken") / F.col("size")).cast("long") - 1))
+        .withColumn("position", F.when(F.col("taken") > 0, _inverse_demand(F.col("_at") / F.col("target"), F.col("_knots"))))
     )
-    out = joined.select("doc_id", "source", "size", "source_size", "target", "taken", "position", "_h")
+    time = lambda k: _inverse_demand((F.col("_at") + k * F.col("source_size")) / F.col("target"), F.col("_knots"))
+    positions = F.when(F.col("taken") > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.col("_last")), time)).otherwise(F.array().cast("array<double>"))
+    out = joined.withColumn("positions", positions).select("doc_id", "source", "size", "source_size", "target", "taken", "position", "positions", "_h")
     return out.repartitionByRange(F.col("position").asc_nulls_last(), "_h").sortWithinPartitions(F.col("position").asc_nulls_last(), "_h").drop("_h")
+
+
+def schedule(mixed: DataFrame) -> DataFrame:
+    """The rows of :func:`mix` once per pass they are taken in: doc_id, source, epoch (from 0), words taken in it, position; range-sorted by position."""
+    each = mixed.select("doc_id", "source", "size", "taken", F.posexplode("positions").alias("epoch", "position"))
+    words = F.least(F.col("size"), F.col("taken") - F.col("epoch") * F.col("size"))
+    each = each.select("doc_id", "source", "epoch", words.alias("words"), "position")
+    return each.repartitionByRange("position", "epoch", "doc_id").sortWithinPartitions("position", "epoch", "doc_id")

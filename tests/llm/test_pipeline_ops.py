@@ -448,6 +448,29 @@ def test_mixing(spark, odd, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_mixing_positions_of_every_pass(spark):
+    """Sources taken up to three times have a position for each pass, and their words add up to what is taken."""
+    rng = random.Random(8)
+    rows = [(i, " ".join("w" for _ in range(rng.randrange(30))), "b" if i % 9 == 0 else "c" if i % 9 == 1 else "a") for i in range(900)]
+    mixed = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    got, each = mixed.collect(), mixing.schedule(mixed).collect()
+    words, epochs = collections.Counter(), collections.defaultdict(set)
+    for e in each:
+        assert e["words"] > 0
+        words[e["doc_id"]] += e["words"]
+        epochs[e["source"]].add(e["epoch"])
+    assert [e["position"] for e in each] == sorted(e["position"] for e in each)
+    for r in got:
+        assert words[r["doc_id"]] == r["taken"] and r["positions"] == sorted(r["positions"])
+        assert (r["positions"] or [None])[0] == r["position"]
+        assert len(r["positions"]) == (math.ceil(r["taken"] / r["size"]) if r["taken"] else 0)
+    most = {r["source"]: r["target"] / r["source_size"] for r in got}
+    assert max(most.values()) > 2 and all(len(epochs[s]) == math.ceil(m - 1e-9) for s, m in most.items())
+    # Late training has every source: the last pass of each reaches to the end.
+    for s in most:
+        assert max(e["position"] for e in each if e["source"] == s) > 0.97
+
+
 # Pipeline
 
 
