@@ -19,6 +19,11 @@ def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.join_components(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op1_ngram_links(spark: SparkSession, folder: str) -> DataFrame:
+    members, _ = ngram_join.join_links(table(spark, folder, "documents").select("doc_id", "text"))
+    return members.drop("key")
+
+
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, folder, "labels"))
@@ -85,6 +90,12 @@ WITH RECURSIVE w AS (
 SELECT w.doc_id, coalesce(n.n, 0)::bigint AS n_shingles, c.component_id
 FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) c USING (doc_id)
 """
+# The same with the number of links of each document.
+OP1_LINKS_SQL = OP1_SQL[: OP1_SQL.rindex("SELECT w.doc_id")] + r"""
+SELECT w.doc_id, coalesce(n.n, 0)::bigint AS n_shingles, c.component_id, coalesce(k.k, 0)::bigint AS n_links
+FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) c USING (doc_id)
+LEFT JOIN (SELECT a AS doc_id, count(*) AS k FROM l GROUP BY a) k USING (doc_id)
+"""
 
 # Windows of ten item words met with windows of document words, one length at a time.
 OP4_SQL = r"""
@@ -162,8 +173,8 @@ SELECT doc_id, taken, CASE WHEN taken = 0 THEN [] ELSE list_transform(range(0, c
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_ngram_jaccard, op2_toxicity, op3_token_counts, op4_decontaminate, op5_quality, op6_ann, op7_pii, op8_langid, op9_suffix_dedup, op10_mixing, op10_mixing_positions)}
+    return {f.__name__: f for f in (op1_ngram_jaccard, op1_ngram_links, op2_toxicity, op3_token_counts, op4_decontaminate, op5_quality, op6_ann, op7_pii, op8_langid, op9_suffix_dedup, op10_mixing, op10_mixing_positions)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_jaccard": OP1_SQL, "op4_decontaminate": OP4_SQL, "op9_suffix_dedup": OP9_SQL, "op10_mixing": OP10_SQL, "op10_mixing_positions": OP10_POSITIONS_SQL}
+    return {"op1_ngram_jaccard": OP1_SQL, "op1_ngram_links": OP1_LINKS_SQL, "op4_decontaminate": OP4_SQL, "op9_suffix_dedup": OP9_SQL, "op10_mixing": OP10_SQL, "op10_mixing_positions": OP10_POSITIONS_SQL}

@@ -10,6 +10,8 @@
    the largest partial count; overlaps are counted and links that reach ``percent * union`` join components. A second product covers every pair of rows of
    different components, so no link that could change a component is left out, and near copies are not paired all with all.
 4. *Components* by smallest labels with pointer jumping, as joins; nothing of it reaches the driver.
+5. *All links*, where they are asked for: every pair of rows that meet in their first columns is verified, whatever component it is in.
+   The rows of a column are dealt into cells and meet cell by cell, so no task holds a hot column. As many pairs come out as there are.
 
 Defined results: NULL and empty texts have no n-grams and are linked with nothing (their component is their own id); a text of
 fewer than ``n`` words has its whole word sequence as its one n-gram; repeated rows are one row of the matrix; rows without an id
@@ -33,6 +35,8 @@ FLUSH = 1_000_000
 CLASSES = 6
 #: Candidate pairs formed at a time inside a column block.
 CHUNK = 1 << 20
+#: Rows of a column that meet at a time where all links are asked for; hotter columns are dealt into cells of about so many.
+CELL = 1000
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 #: ``extra`` is per entry; ``more`` per row of the matrix: document ids (kind 0) or how connected it is.
@@ -378,15 +382,27 @@ def components(links: DataFrame, label: str) -> DataFrame:
             return state
 
 
-def join_components(docs: DataFrame, n: int = 5, percent: int = 75, text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id of every row: components of documents with Jaccard similarity >= percent / 100."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = parts
-    packed = incidence(docs, blocks, n, text).groupBy("block").applyInArrow(lambda k, t: _frequent(k, t, parts, percent), PACKED)
+def _incidence_rows(docs: DataFrame, blocks: int, n: int, percent: int, text: str) -> tuple[DataFrame, DataFrame]:
+    """Packed columns with the documents of each row (kind 0), and the rows that could reach a size bound."""
+    packed = incidence(docs, blocks, n, text).groupBy("block").applyInArrow(lambda k, t: _frequent(k, t, blocks, percent), PACKED)
     packed = materialise(packed, "ngram-columns")
     sets = packed.where("kind = 1").groupBy("block").applyInArrow(lambda k, t: _rows(k, t, percent), SETS)
-    sets = materialise(sets, "ngram-rows")
+    return packed, materialise(sets, "ngram-rows")
+
+
+def _members(packed: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, key) of every document: its row of the matrix."""
 
+    def rows(batches):
+        for batch in batches:
+            for k, s, d in zip(*(batch.column(c).to_pylist() for c in ("keys", "sizes", "more"))):
+                yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(np.frombuffer(s, np.int32), pa.int64()), pa.array(np.frombuffer(k, np.int64))], names=["doc_id", "n_shingles", "key"])
+
+    return packed.where("kind = 0").mapInArrow(rows, "doc_id long, n_shingles long, key long")
+
+
+def _component_links(sets: DataFrame, blocks: int, percent: int) -> DataFrame:
+    """(key, label): components of the rows, from enough verified pairs to join them."""
     alone = sets.withColumn("label", F.col("key"))
     near = first_columns(alone, blocks).groupBy("block").applyInArrow(lambda k, t: _hubs(k, t, percent), "a long, b long, met int")
     near = near.groupBy("a", "b").agg(F.sum("met").alias("met")).groupBy("a").agg(F.max_by("b", F.struct("met", "b")).alias("b"))
@@ -398,18 +414,70 @@ def join_components(docs: DataFrame, n: int = 5, percent: int = 75, text: str =
     more = materialise(linked(rest.select("a", "b").distinct(), sets, percent), "ngram-links")
     if not more.isEmpty():
         labels = components(links.union(more), "ngram-all")
+    return labels
 
-    def rows(batches):
-        for batch in batches:
-            for k, s, d in zip(*(batch.column(c).to_pylist() for c in ("keys", "sizes", "more"))):
-                yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(np.frombuffer(s, np.int32), pa.int64()), pa.array(np.frombuffer(k, np.int64))], names=["doc_id", "n_shingles", "key"])
 
-    members = packed.where("kind = 0").mapInArrow(rows, "doc_id long, n_shingles long, key long")
+def _with_components(members: DataFrame, labels: DataFrame) -> DataFrame:
     some = members.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
     some = some.join(labels, "key", "left").select("key", "least", F.coalesce("label", "key").alias("label"))
     names = some.groupBy("label").agg(F.min("least").alias("component_id"))
     some = some.join(names, "label").select("key", "component_id")
-    return members.join(some, "key", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return members.join(some, "key", "left").withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
+
+
+def join_components(docs: DataFrame, n: int = 5, percent: int = 75, text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id of every row: components of documents with Jaccard similarity >= percent / 100."""
+    blocks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed, sets = _incidence_rows(docs, blocks, n, percent, text)
+    return _with_components(_members(packed), _component_links(sets, blocks, percent)).select("doc_id", "n_shingles", "component_id")
+
+
+def _all_links(sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b), a < b: every pair of rows whose overlap reaches percent of the union, once."""
+
+    def run(batches):
+        for batch in batches:
+            for k, size, need, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                h = np.frombuffer(raw, np.int64)
+                first = h[: len(h) - need + 1]
+                m = len(first)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(first), pa.array(np.full(m, k)), pa.array(np.full(m, size, np.int32)), pa.array((len(h) - np.arange(m)).astype(np.int32))], names=["h", "key", "size", "left"]
+                )
+
+    entries = materialise(sets.select("key", "size", "need", "hashes").mapInArrow(run, "h long, key long, size int, left int"), "ngram-first")
+    cells = entries.groupBy("h").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("h", F.ceil(F.col("rows") / CELL).cast("int").alias("cells"))
+    # A row goes to its own cell with every cell of the column; two rows meet where their two cells do.
+    dealt = entries.join(cells, "h").withColumn("own", F.pmod(F.xxhash64("key"), F.col("cells")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+    dealt = dealt.select("h", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "key", "size", "left")
+    x, y = (dealt.select("h", "lo", "hi", *(F.col(c).alias(f"{c}_{s}") for c in ("own", "key", "size", "left"))) for s in "ab")
+    size_a, size_b = F.col("size_a").cast("long"), F.col("size_b").cast("long")
+    met = x.join(y, ["h", "lo", "hi"]).where(
+        (F.col("key_a") < F.col("key_b"))
+        & ((F.col("lo") == F.col("hi")) | (F.col("own_a") != F.col("own_b")))
+        & (100 * F.least(size_a, size_b) >= percent * F.greatest(size_a, size_b))
+        & ((100 + percent) * F.least("left_a", "left_b").cast("long") >= percent * (size_a + size_b))
+    )
+    return linked(met.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct(), sets, percent)
+
+
+def join_links(docs: DataFrame, n: int = 5, percent: int = 75, text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """All links: (doc_id, n_shingles, key, component_id, n_links) of every row, and (a, b) of all linked pairs of distinct n-gram sets.
+
+    Documents of one ``key`` have one n-gram set and are linked with each other; ``n_links`` counts the other documents that a
+    document is linked with, exact copies included.
+    """
+    blocks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed, sets = _incidence_rows(docs, blocks, n, percent, text)
+    links = materialise(_all_links(sets, percent), "ngram-all-links")
+    members = _with_components(_members(packed), components(links, "ngram-all"))
+    copies = members.where("n_shingles > 0").groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
+    both = links.union(links.select("b", "a")).toDF("key", "other")
+    linked_to = both.join(copies.toDF("other", "copies"), "other").groupBy("key").agg(F.sum("copies").alias("linked"))
+    counts = copies.join(linked_to, "key", "left").select("key", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
+    out = members.join(counts, "key", "left").withColumn("n_links", F.when(F.col("n_shingles") > 0, F.col("n_links")).otherwise(F.lit(0)))
+    return out.select("doc_id", "n_shingles", "key", "component_id", "n_links"), links
 
 
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 75, text: str = "text") -> DataFrame:

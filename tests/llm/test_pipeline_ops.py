@@ -139,6 +139,31 @@ def test_near_copies_are_not_paired_all_with_all(spark):
     assert sum(seen) < 2000
 
 
+@pytest.mark.parametrize("seed,percent,cell", [(1, 75, 1000), (3, 50, 3), (4, 100, 1000)])
+def test_ngram_links_are_all_pairs(spark, monkeypatch, seed, percent, cell):
+    """Every pair within a group is a link, not only those that join it; columns dealt into cells lose none and repeat none."""
+    monkeypatch.setattr(ngram_join, "CELL", cell)
+    rows = near_copies(seed)
+    base = [f"v{i}" for i in range(60)]
+    rows += [(2000 + i, " ".join([*base[: i % 20], f"x{i % 12}", *base[i % 20 + 1 :]])) for i in range(30)] + [(3000, None), (3001, "")]
+    sets = {}
+    for d, t in rows:
+        w = [lower(x) for x in spaced(t)]
+        sets[d] = frozenset(tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))) if w else frozenset()
+    near = lambda x, y: x and y and 100 * len(x & y) >= percent * len(x | y)
+    want = {d: sum(1 for e in sets if e != d and near(sets[d], sets[e])) for d in sets}
+    distinct = list(set(sets.values()))
+    pairs = sum(1 for i, x in enumerate(distinct) for y in distinct[:i] if near(x, y))
+    members, links = ngram_join.join_links(spark.createDataFrame(rows, "doc_id long, text string"), percent=percent)
+    members, links = members.collect(), links.collect()
+    assert {r["doc_id"]: r["n_links"] for r in members} == want
+    assert len(links) == len({(r["a"], r["b"]) for r in links}) == pairs and all(r["a"] < r["b"] for r in links)
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in members), key=str) == components(rows, percent=percent)
+    of = {r["doc_id"]: r["key"] for r in members}
+    found = {frozenset((r["a"], r["b"])) for r in links}
+    assert all(of[d] == of[e] or ({of[d], of[e]} in found) == bool(near(sets[d], sets[e])) for d in sets for e in sets)
+
+
 # Op 2
 
 
