@@ -24,7 +24,7 @@ from funnelspark.llm.ragged import LOWER, text_bytes, word_spans
 
 #: Words on each side that make up the context of a hit.
 WINDOW = 6
-#: Terms of the lexicon at most; also bounds the automaton.
+#: Terms of one automaton; a larger lexicon is several automata, run one after another.
 TERMS = 200
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = _WORD[128:] = True
@@ -129,6 +129,24 @@ class Automaton:
         return self.term[out], self.edits[out]
 
 
+class Lexicon:
+    """All ``terms``, in automata of at most ``size`` of them; matches as one automaton of all would."""
+
+    def __init__(self, terms: list[str], size: int = TERMS) -> None:
+        self.terms = sorted({t.encode() for t in terms if t})
+        self.starts = range(0, len(self.terms), size)
+        self.parts = [Automaton([t.decode() for t in self.terms[k : k + size]]) for k in self.starts]
+
+    def match(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Nearest term (or -1) and edits of each word of folded bytes; of equally near terms the first."""
+        term, edits = np.full(len(start), -1, np.int32), np.full(len(start), 99, np.int32)
+        for first, part in zip(self.starts, self.parts):
+            t, e = part.match(data, start, end)
+            better = e < edits
+            term[better], edits[better] = t[better] + first, e[better]
+        return term, edits
+
+
 def _is_word(data: np.ndarray, start: np.ndarray, end: np.ndarray, words: tuple[str, ...]) -> np.ndarray:
     out = np.zeros(len(start), bool)
     for w in words:
@@ -140,7 +158,7 @@ def _is_word(data: np.ndarray, start: np.ndarray, end: np.ndarray, words: tuple[
     return out
 
 
-def features(column: pa.Array, automaton: Automaton) -> np.ndarray:
+def features(column: pa.Array, automaton: Automaton | Lexicon) -> np.ndarray:
     """One row of :data:`FEATURES` per text."""
     data, offsets = text_bytes(column)
     n = len(offsets) - 1
@@ -192,7 +210,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, rounds: int = 30
 
 
 class Model:
-    def __init__(self, automaton: Automaton, weights: np.ndarray) -> None:
+    def __init__(self, automaton: Automaton | Lexicon, weights: np.ndarray) -> None:
         self.automaton, self.weights = automaton, weights
 
     def score(self, column: pa.Array) -> np.ndarray:
@@ -201,11 +219,11 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(features(column, self.automaton) @ self.weights, -30, 30)))
 
 
-def lexicon(rows: DataFrame, terms: int = TERMS, least: int = 8, purity: float = 0.8) -> list[str]:
+def lexicon(rows: DataFrame, least: int = 8, purity: float = 0.8) -> list[str]:
     """Words of ``rows`` (doc_id, text, label) that many documents use in contexts of their own, nearly all of label 1.
 
     A context (the words before and after) belongs to the first document that has it, so copies of a text and repetitive
-    texts count once. One aggregation over contexts; at most ``terms`` words reach the driver.
+    texts count once. One aggregation over contexts; the words found reach the driver, as many as the labelled sample bears out.
     """
     words = F.regexp_extract_all(F.lower("text"), F.lit("([a-z0-9\\x80-\\x{10FFFF}]+)"), 1)
     padded = rows.select("doc_id", "label", F.concat(F.array(F.lit("")), words, F.array(F.lit(""))).alias("_w")).where(F.size("_w") > 2)
@@ -216,13 +234,13 @@ def lexicon(rows: DataFrame, terms: int = TERMS, least: int = 8, purity: float =
     by_doc = first.groupBy("word", F.col("_d.doc_id").alias("doc_id")).agg(F.max("_d.label").alias("label"))
     by_word = by_doc.groupBy("word").agg(F.sum("label").alias("bad"), F.count(F.lit(1)).alias("n"))
     good = by_word.where((F.col("bad") >= least) & (F.col("bad") >= purity * F.col("n")))
-    return [r["word"] for r in good.orderBy(F.desc("bad"), "word").limit(terms).collect()]
+    return [r["word"] for r in good.orderBy(F.desc("bad"), "word").collect()]
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 3, held: int = 1, sample: int = 10_000) -> Model:
     """Fits on at most ``sample`` labelled rows outside the held-out fold: lexicon by Spark, weights from 64-byte feature rows."""
     rows = labelled_sample(docs, labels, label, modulus, held, sample)
-    automaton = Automaton(lexicon(rows))
+    automaton = Lexicon(lexicon(rows))
     found = append(rows, "text", [("features", T.ArrayType(T.DoubleType()))], lambda: lambda c: [features(c, automaton).tolist()])
     got = found.select("doc_id", "label", "features").toPandas()
     if got.empty:

@@ -216,6 +216,25 @@ def test_toxicity_held_out(spark):
     assert got[got["toxic"] == 1]["predicted"].mean() > 0.7
 
 
+def test_lexicon_has_every_term(spark):
+    """More qualifying terms than one automaton holds: all are learned, and a text with only the rarest of them is a hit."""
+    rng = random.Random(9)
+    terms = sorted({"".join(rng.choice("bcdfghklmnprstvz") + rng.choice("aeiou") for _ in range(2)) + "x" for _ in range(400)})[:230]
+    rows = []
+    for k, t in enumerate(terms):
+        rows += [(100 * k + j, f"p{k}q{j} {t} r{k}q{j}", 1) for j in range(8 if k == 100 else 9)]
+    rows += [(10**6 + j, f"u{j} plain v{j}", 0) for j in range(300)]
+    found = toxicity.lexicon(spark.createDataFrame(rows, "doc_id long, text string, label int"))
+    assert len(terms) > toxicity.TERMS and set(found) == set(terms)
+    x = toxicity.features(pa.array([f"so {terms[100]} there", "so plain there"]), toxicity.Lexicon(found))
+    assert x[:, toxicity.FEATURES.index("abuse")].astype(bool).tolist() == [True, False]
+    few, words = terms[:40], [w for t in terms for w in (t, t[1:], t + "a")]
+    data, end = np.frombuffer("".join(words).encode(), np.uint8), np.cumsum([len(w) for w in words])
+    start = end - [len(w) for w in words]
+    whole, parts = (a.match(data, start, end) for a in (toxicity.Automaton(few), toxicity.Lexicon(few, 7)))
+    assert (whole[0] == parts[0]).all() and (whole[1] == parts[1]).all() and (whole[0] >= 0).any()
+
+
 # Ops 3, 5, 8
 
 
