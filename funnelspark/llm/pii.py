@@ -84,15 +84,23 @@ def _fill(raw: Column, digits: Column) -> Column:
     return F.aggregate(F.filter(F.split(raw, ""), lambda c: c != ""), start, step, lambda s: s.out)
 
 
-def _name(h: Column, gender: Column, script: Column, words: Column) -> Column:
-    """A made-up name: given name with an ending by gender, then a family name, where the original has two words."""
-    def pick(k: int) -> Column:
-        i = F.conv(F.substring(h, 1 + 4 * k, 4), 16, 10).cast("int") % len(_LATIN) + 1
+def _name(h: Column, gender: Column, script: Column, words: Column, attempt: Column) -> Column:
+    """A made-up name: given name with an ending by gender, then a family name, where the original has two words.
+
+    Each further attempt has a syllable more, so there are more made-up names than any corpus has names.
+    """
+    def syllable(digits: Column) -> Column:
+        i = F.conv(digits, 16, 10).cast("int") % len(_LATIN) + 1
         return F.when(script == "cyrillic", F.element_at(F.array(*map(F.lit, _CYRILLIC)), i)).otherwise(F.element_at(F.array(*map(F.lit, _LATIN)), i))
 
+    def pick(k: int) -> Column:
+        return syllable(F.substring(h, 1 + 4 * k, 4))
+
     ending = F.when(script == "cyrillic", F.when(gender == "f", F.lit("на")).otherwise(F.lit("н"))).otherwise(F.when(gender == "f", F.lit("na")).otherwise(F.lit("n")))
-    family_end = F.when(script == "cyrillic", F.when(gender == "f", F.lit("ва")).otherwise(F.lit("в"))).otherwise(F.lit("r"))
-    given, family = F.concat(pick(0), pick(1), ending), F.concat(pick(2), pick(3), pick(4), family_end)
+    family_end = F.when(script == "cyrillic", F.when(gender == "f", F.lit("ва")).otherwise(F.lit("в"))).otherwise(F.when((gender == "f") & (words == 1), F.lit("ra")).otherwise(F.lit("r")))
+    further = F.transform(F.sequence(F.lit(1), attempt), lambda k: syllable(F.substring(F.sha2(F.concat_ws("|", h, k.cast("string")), 256), 1, 4)))
+    more = F.when(attempt > 0, F.array_join(further, "")).otherwise(F.lit(""))
+    given, family = F.concat(pick(0), pick(1), ending), F.concat(pick(2), pick(3), pick(4), more, family_end)
     return F.when(words > 1, F.concat(given, F.lit(" "), family)).otherwise(family)
 
 
@@ -100,7 +108,7 @@ def keyed_hash(kind: Column, core: Column, attempt: Column, key: str) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(key), kind, core, attempt.cast("string")), 256)
 
 
-def surrogate_core(kind: Column, core: Column, gender: Column, h: Column) -> Column:
+def surrogate_core(kind: Column, core: Column, gender: Column, h: Column, attempt: Column) -> Column:
     """Replacement of a core, made from its keyed hash; the same for every mention of it."""
     d = _digits(h)
     n = F.length(core)
@@ -119,7 +127,7 @@ def surrogate_core(kind: Column, core: Column, gender: Column, h: Column) -> Col
         .when(kind == "secret", F.substring(F.concat(h, F.sha2(h, 256)), F.lit(1), n))
         .when(kind == "ip", F.concat_ws(".", octet(0, 1, 223), octet(1, 0, 256), octet(2, 0, 256), octet(3, 1, 254)))
         .when(kind == "card", F.concat(body, off.cast("string")))
-        .when(kind == "name", _name(h, gender, script, F.size(F.split(core, " "))))
+        .when(kind == "name", _name(h, gender, script, F.size(F.split(core, " ")), attempt))
         .otherwise(F.substring(d, F.lit(1), n))
     )
 
@@ -150,11 +158,11 @@ def _phone_core(kind: Column, raw: Column, core: Column) -> Column:
     return F.when(kind == "phone", F.concat(F.lit("+"), country.cast("string"), F.lit(":"), core)).otherwise(core)
 
 
-def _final(kind: Column, core: Column, gender: Column, h: Column) -> Column:
+def _final(kind: Column, core: Column, gender: Column, h: Column, attempt: Column) -> Column:
     """Replacement as compared by the collision check: phones with their country code as it stays."""
     plain = F.regexp_replace(core, r"^\+\d:", "")
     code = F.when(kind == "phone", F.substring(core, 2, 1).cast("int")).otherwise(F.lit(0))
-    new = surrogate_core(kind, plain, gender, h)
+    new = surrogate_core(kind, plain, gender, h, attempt)
     return F.when(kind == "phone", F.concat(F.substring(core, 1, 3), F.substring(plain, F.lit(1), code), F.substring(new, code + 1, F.length(new)))).otherwise(new)
 
 
@@ -167,7 +175,7 @@ def attempts(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     # A name met under both titles is one entity; it is given the gender met first in the alphabet.
     cores = found.groupBy("kind", "core").agg(F.min("gender").alias("gender"))
     hashed = lambda df: df.withColumn("_h", keyed_hash(F.col("kind"), F.col("core"), F.col("attempt"), key))
-    final = _final(F.col("kind"), F.col("core"), F.col("gender"), F.col("_h"))
+    final = _final(F.col("kind"), F.col("core"), F.col("gender"), F.col("_h"), F.col("attempt"))
     state = materialise(hashed(cores.withColumn("attempt", F.lit(0))).withColumn("new", final).drop("_h"), "pii-cores")
     known = cores.select("kind", F.col("core").alias("new")).withColumn("real", F.lit(True))
     while True:
@@ -201,9 +209,9 @@ def replace(docs: DataFrame, key: str, text: str = "text", count: str | None = N
     seen = F.transform(seen, lambda x: F.struct(x.raw.alias("raw"), x.kind.alias("kind"), x.core.alias("core"), F.try_element_at(F.col("tried"), F.concat_ws("|", x.kind, x.core)).alias("tried")))
     seen = F.transform(seen, lambda x: F.struct(
         x.raw.alias("raw"), x.kind.alias("kind"), F.regexp_replace(x.core, r"^\+\d:", "").alias("core"), F.coalesce(x.tried.gender, gender_of(x.kind, x.raw)).alias("gender"),
-        keyed_hash(x.kind, x.core, F.coalesce(x.tried.attempt, F.lit(0)), key).alias("h"),
+        keyed_hash(x.kind, x.core, F.coalesce(x.tried.attempt, F.lit(0)), key).alias("h"), F.coalesce(x.tried.attempt, F.lit(0)).alias("attempt"),
     ))
-    seen = F.transform(seen, lambda x: F.struct(x.raw.alias("raw"), x.kind.alias("kind"), surrogate_core(x.kind, x.core, x.gender, x.h).alias("new")))
+    seen = F.transform(seen, lambda x: F.struct(x.raw.alias("raw"), x.kind.alias("kind"), surrogate_core(x.kind, x.core, x.gender, x.h, x.attempt).alias("new")))
     new = F.transform(seen, lambda x: _shown(x.kind, x.raw, x.new))
     pieces = F.zip_with(F.split("_text", _ANY, -1), F.concat(new, F.array(F.lit(""))), lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))))
     out = held.withColumn("_new", F.when(F.size("_found") > 0, F.array_join(pieces, "")).otherwise(F.col("_text")))

@@ -456,6 +456,24 @@ def test_suffixes_are_sorted():
     assert key == sorted(key) and sorted(order.tolist()) == list(range(1200))
 
 
+def test_more_names_than_short_surrogates(spark, monkeypatch):
+    """Two syllables make eight short names a gender: the check ends all the same, with names of more syllables and the gender in them."""
+    monkeypatch.setattr(pii, "_LATIN", ["ba", "be"])
+    monkeypatch.setattr(pii, "_CYRILLIC", ["ба", "бе"])
+    rounds, write = [], pii.materialise
+
+    def counted(df, label):
+        rounds.append(label)
+        assert len(rounds) < 40
+        return write(df, label)
+
+    monkeypatch.setattr(pii, "materialise", counted)
+    rows = [(i, f"{t} {'ABCDEFGHIJ'[i // 10]}{'abcdefghij'[i % 10]}{e}") for t, e, a, b in (("Mr", "q", 0, 20), ("Mrs", "w", 20, 40)) for i in range(a, b)]
+    got = [r["text"] for r in pii.surrogates(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(set(g.split(" ")[1] for g in got)) == 40
+    assert all(re.fullmatch(r"Mr (B[ae])(b[ae]){2,}r|Mrs (B[ae])(b[ae]){2,}ra", g) for g in got)
+
+
 # Op 10
 
 
