@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from funnelspark.llm import ann, decontaminate, langid, mixing, ngram_join, pii, quality, suffix_dedup, token_counts, toxicity
+from funnelspark.llm import ann, decontaminate, langid, merkle, mixing, ngram_join, pii, quality, suffix_dedup, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,6 +76,12 @@ def op10_mixing_positions(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "taken", F.transform("positions", lambda p: F.round(p, 9)).alias("positions"))
 
 
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select(*merkle.FIELDS)
+    text = F.when(merkle.sampled(F.col("doc_id")), merkle.lowered(F.col("text"))).otherwise(F.col("text"))
+    return merkle.prove(docs, {"text": text})
+
+
 # Overlaps of all pairs that share a shingle, then reachability.
 OP1_SQL = r"""
 WITH RECURSIVE w AS (
@@ -171,10 +177,54 @@ SELECT doc_id, taken, CASE WHEN taken = 0 THEN [] ELSE list_transform(range(0, c
          lambda e: round(least(1.0, 2 * ((placed + e * source_size) / target) / (w0 + sqrt(greatest(w0 * w0 + 2 * (w1 - w0) * ((placed + e * source_size) / target), 0)))), 9)) END AS positions FROM k
 """
 
+# crc32 by a table of 256 steps: {bytes} is a list of whole numbers.
+CRC_TABLE = """crc_steps(i, k, c) AS (
+  SELECT i, 0, i FROM range(256) t(i) UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc_steps WHERE k < 8
+), crc_table AS MATERIALIZED (SELECT list(c::bigint ORDER BY i) AS t FROM crc_steps WHERE k = 8
+)"""
+CRC = "xor(list_reduce(list_prepend(4294967295::bigint, {bytes}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+# Levels by recursion on the runs of 16; then every leaf climbs them, one recursive step a level.
+OP13_SQL = r"""
+WITH RECURSIVE """ + CRC_TABLE + r""", d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, lang, n_chars, text,
+         """ + CRC.format(bytes="list_transform(range(1, length(doc_id::varchar) + 1), lambda i: ascii(substr(doc_id::varchar, i, 1))::bigint)") + r""" % 5 = 0 AS tamper
+  FROM documents, crc_table
+), f AS (
+  SELECT r, doc_id, source, tamper, text, concat(coalesce(octet_length(encode(doc_id::varchar)) || ':' || doc_id, '-'), coalesce(octet_length(encode(source)) || ':' || source, '-'),
+         coalesce(octet_length(encode(lang)) || ':' || lang, '-'), coalesce(octet_length(encode(n_chars::varchar)) || ':' || n_chars, '-')) AS head FROM d
+), leaf AS MATERIALIZED (
+  SELECT r, doc_id, source, sha256(concat(head, coalesce(octet_length(encode(text)) || ':' || text, '-'))) AS leaf,
+         sha256(concat(head, coalesce(octet_length(encode(text)) || ':' || CASE WHEN tamper THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END, '-'))) AS tampered FROM f
+), placed AS MATERIALIZED (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n FROM leaf
+), low(tree, level, pos, n, h) AS (
+  SELECT tree, 0, pos, n, leaf FROM placed
+  UNION ALL SELECT tree, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY pos)) FROM low WHERE n > 1 GROUP BY tree, level, pos // 16, n
+), high(level, pos, n, h) AS (
+  SELECT 0, tree, count(*) OVER (), h FROM low WHERE n = 1
+  UNION ALL SELECT level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY pos)) FROM high WHERE n > 1 GROUP BY level, pos // 16, n
+), nodes AS MATERIALIZED (
+  SELECT tree, level, pos, n, h FROM low UNION ALL SELECT -1, level, pos, n, h FROM high
+), linked AS MATERIALIZED (
+  SELECT tree, level, pos, n, coalesce(string_agg(h, '') OVER (PARTITION BY tree, level, pos // 16 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+         coalesce(string_agg(h, '') OVER (PARTITION BY tree, level, pos // 16 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM nodes
+), climb(r, own, tree, level, pos, h, passed, done) AS (
+  SELECT r, tree, tree, 0, pos, tampered, '', false FROM placed
+  UNION ALL
+  SELECT c.r, c.own, CASE WHEN k.n = 1 THEN -1 ELSE c.tree END, CASE WHEN k.n = 1 THEN 0 ELSE c.level + 1 END, CASE WHEN k.n > 1 THEN c.pos // 16 ELSE c.own END,
+         CASE WHEN k.n = 1 THEN c.h ELSE sha256(concat(k.before, c.h, k.after)) END, CASE WHEN k.n = 1 THEN c.passed ELSE concat(c.passed, k.before, k.after) END, k.n = 1 AND c.tree = -1
+  FROM climb c JOIN linked k ON k.tree = c.tree AND k.level = c.level AND k.pos = c.pos WHERE NOT c.done
+)
+SELECT p.doc_id, p.leaf, s.h AS subroot, t.h AS root, sha256(c.passed) AS proof_sha256, c.h AS folded_root, c.h = t.h AS verified
+FROM climb c JOIN placed p USING (r) JOIN low s ON s.tree = p.tree AND s.n = 1 JOIN high t ON t.n = 1 WHERE c.done
+"""
+
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_ngram_jaccard, op1_ngram_links, op2_toxicity, op3_token_counts, op4_decontaminate, op5_quality, op6_ann, op7_pii, op8_langid, op9_suffix_dedup, op10_mixing, op10_mixing_positions)}
+    return {f.__name__: f for f in (op1_ngram_jaccard, op1_ngram_links, op2_toxicity, op3_token_counts, op4_decontaminate, op5_quality, op6_ann, op7_pii, op8_langid, op9_suffix_dedup, op10_mixing, op10_mixing_positions, op13_merkle)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_jaccard": OP1_SQL, "op1_ngram_links": OP1_LINKS_SQL, "op4_decontaminate": OP4_SQL, "op9_suffix_dedup": OP9_SQL, "op10_mixing": OP10_SQL, "op10_mixing_positions": OP10_POSITIONS_SQL}
+    return {"op1_ngram_jaccard": OP1_SQL, "op1_ngram_links": OP1_LINKS_SQL, "op4_decontaminate": OP4_SQL, "op9_suffix_dedup": OP9_SQL, "op10_mixing": OP10_SQL, "op10_mixing_positions": OP10_POSITIONS_SQL, "op13_merkle": OP13_SQL}
