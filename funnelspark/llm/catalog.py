@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from funnelspark.llm import ann, decontaminate, langid, merkle, mixing, ngram_join, pii, quality, suffix_dedup, token_counts, toxicity
+from funnelspark.llm import ann, decontaminate, langid, merkle, mixing, ngram_join, pii, quality, simhash, suffix_dedup, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,6 +76,10 @@ def op10_mixing_positions(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "taken", F.transform("positions", lambda p: F.round(p, 9)).alias("positions"))
 
 
+def op11_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select(*merkle.FIELDS)
     text = F.when(merkle.sampled(F.col("doc_id")), merkle.lowered(F.col("text"))).otherwise(F.col("text"))
@@ -223,7 +227,7 @@ FROM climb c JOIN placed p USING (r) JOIN low s ON s.tree = p.tree AND s.n = 1 J
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_ngram_jaccard, op1_ngram_links, op2_toxicity, op3_token_counts, op4_decontaminate, op5_quality, op6_ann, op7_pii, op8_langid, op9_suffix_dedup, op10_mixing, op10_mixing_positions, op13_merkle)}
+    return {f.__name__: f for f in (op1_ngram_jaccard, op1_ngram_links, op2_toxicity, op3_token_counts, op4_decontaminate, op5_quality, op6_ann, op7_pii, op8_langid, op9_suffix_dedup, op10_mixing, op10_mixing_positions, op11_simhash, op13_merkle)}
 
 
 def oracle_sql() -> dict[str, str]:
