@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from funnelspark.llm import ann, decontaminate, langid, merkle, mixing, ngram_join, pii, quality, simhash, suffix_dedup, token_counts, toxicity
+from funnelspark.llm import ann, decontaminate, langid, merkle, mixing, ngram_join, pii, quality, simhash, spelling, suffix_dedup, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,6 +80,10 @@ def op11_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents").select("doc_id", "text"), spelling.altered)
+
+
 def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select(*merkle.FIELDS)
     text = F.when(merkle.sampled(F.col("doc_id")), merkle.lowered(F.col("text"))).otherwise(F.col("text"))
@@ -188,6 +192,33 @@ CRC_TABLE = """crc_steps(i, k, c) AS (
 )"""
 CRC = "xor(list_reduce(list_prepend(4294967295::bigint, {bytes}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
 
+# Words one edit apart by what is left when one letter is taken out of each (replaced) or of the longer one.
+OP12_SQL = r"""
+WITH RECURSIVE """ + CRC_TABLE + r""", runs AS (
+  SELECT run, hex(encode(concat(coalesce(doc_id::varchar, ''), ':', run))) AS x
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+  WHERE length(run) >= 7
+), hashed AS (
+  SELECT run, """ + CRC.format(bytes="list_transform(range(0, length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::bigint)") + r""" AS h FROM runs, crc_table
+), w AS MATERIALIZED (
+  SELECT word, count(*) AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN concat(substr(run, 1, h % length(run)), substr(run, h % length(run) + 2)) ELSE run END AS word FROM hashed
+  ) WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2
+), less AS MATERIALIZED (
+  SELECT word, n, i, concat(substr(word, 1, i - 1), substr(word, i + 1)) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)
+), near AS (
+  SELECT x.word, y.word AS other, y.n FROM less x JOIN less y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word
+  UNION SELECT x.word, y.word, y.n FROM less x JOIN w y ON x.rest = y.word
+  UNION SELECT y.word, x.word, x.n FROM less x JOIN w y ON x.rest = y.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS other, max(n) AS most FROM near GROUP BY word
+), f AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * n THEN other END AS form, CASE WHEN most >= 10 * n THEN most END AS form_n FROM w LEFT JOIN best USING (word)
+), r(word, last) AS (SELECT word, word FROM f UNION ALL SELECT r.word, f.form FROM r JOIN f ON f.word = r.last WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, r.last AS root, f.n::bigint AS n, f.n_near::bigint AS n_near, f.form_n::bigint AS form_n
+FROM f JOIN r USING (word) JOIN f e ON e.word = r.last WHERE e.form IS NULL
+"""
+
 # Levels by recursion on the runs of 16; then every leaf climbs them, one recursive step a level.
 OP13_SQL = r"""
 WITH RECURSIVE """ + CRC_TABLE + r""", d AS (
@@ -227,8 +258,8 @@ FROM climb c JOIN placed p USING (r) JOIN low s ON s.tree = p.tree AND s.n = 1 J
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_ngram_jaccard, op1_ngram_links, op2_toxicity, op3_token_counts, op4_decontaminate, op5_quality, op6_ann, op7_pii, op8_langid, op9_suffix_dedup, op10_mixing, op10_mixing_positions, op11_simhash, op13_merkle)}
+    return {f.__name__: f for f in (op1_ngram_jaccard, op1_ngram_links, op2_toxicity, op3_token_counts, op4_decontaminate, op5_quality, op6_ann, op7_pii, op8_langid, op9_suffix_dedup, op10_mixing, op10_mixing_positions, op11_simhash, op12_spelling, op13_merkle)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_jaccard": OP1_SQL, "op1_ngram_links": OP1_LINKS_SQL, "op4_decontaminate": OP4_SQL, "op9_suffix_dedup": OP9_SQL, "op10_mixing": OP10_SQL, "op10_mixing_positions": OP10_POSITIONS_SQL, "op13_merkle": OP13_SQL}
+    return {"op1_ngram_jaccard": OP1_SQL, "op1_ngram_links": OP1_LINKS_SQL, "op4_decontaminate": OP4_SQL, "op9_suffix_dedup": OP9_SQL, "op10_mixing": OP10_SQL, "op10_mixing_positions": OP10_POSITIONS_SQL, "op12_spelling": OP12_SQL, "op13_merkle": OP13_SQL}
