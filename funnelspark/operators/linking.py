@@ -100,63 +100,73 @@ def nearest_with_confidence(
     )
 
 
+def _gram_length(threshold: int) -> int:
+    """The longest grams of which two names at the threshold still share one: (2q - 1) t >= 200 (q - 1)."""
+    return next(q for q in (5, 4, 3, 2) if (2 * q - 1) * threshold >= 200 * (q - 1))
+
+
+def _named_grams(rows: DataFrame, block: str, name: str, q: int) -> DataFrame:
+    """(block, name, size, letters, gram, at) of distinct names. The k-th copy of a gram in a name is a gram of its own; ``at`` is NULL where
+    there are copies. ``letters`` has a bit set for each letter and copy: an insertion or deletion changes at most one of them."""
+    ends = ["\u0002" * (q - 1), "\u0003" * (q - 1)]
+    names = rows.where(F.col(block).isNotNull() & (F.length(name) > 0)).select(F.col(block).alias("block"), F.col(name).alias("name")).distinct()
+    padded = names.withColumn("size", F.length("name")).withColumn("padded", F.concat(F.lit(ends[0]), "name", F.lit(ends[1])))
+    grams = padded.withColumn("grams", F.transform(F.sequence(F.lit(1), F.col("size") + (q - 1)), lambda i: F.substring("padded", i, F.lit(q))))
+    copies = lambda x, of: F.size(F.filter(of, lambda y: y == x))
+    letters = grams.withColumn("letters", F.transform(F.sequence(F.lit(1), F.col("size")), lambda i: F.substring("name", i, F.lit(1))))
+    bit = F.transform("letters", lambda x, i: F.pmod(F.hash(x, copies(x, F.slice("letters", F.lit(1), i))), F.lit(64)))
+    set_bit = lambda mask, b: mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), b))
+    grams = letters.withColumn("letters", F.aggregate(bit, F.lit(0).cast("long"), set_bit))
+    marked = F.transform(
+        "grams",
+        lambda x, i: F.struct(
+            F.concat(x, copies(x, F.slice("grams", F.lit(1), i)).cast("string")).alias("gram"), F.when(copies(x, F.col("grams")) == 1, i).alias("at")
+        ),
+    )
+    return grams.select("block", "name", "size", "letters", F.inline(marked))
+
+
+def candidate_pairs(left: DataFrame, right: DataFrame, block: str, name: str, threshold: int) -> DataFrame:
+    """(block, left_name, right_name), each pair once: names that share a rare gram and are close enough by letters and edit distance to be scored.
+
+    A superset of all pairs with an indel ratio of at least ``threshold`` = t. Such names of lengths m and n have a common subsequence of
+    c >= t (m + n) / 200 letters: m - c deletions break at most q grams each, n - c insertions q - 1 each. So in an order common
+    to all names, the rarest grams first, both have a shared gram among their first q (m - c) + (q - 1) (n - c) + 1, at places
+    shifted by no more than the insertions and deletions, and their letters differ in no more copies than ``most`` = m + n - 2c. Only
+    these grams are indexed and looked up; the letters are compared as bits of one word, then the edit distance (never above ``most``),
+    inside the join. What leaves it hardly grows with the block; the rows met inside it do, as the squares of the grams' frequencies.
+    """
+    t, q = int(threshold), _gram_length(int(threshold))
+    probe, index = _named_grams(left, block, name, q), _named_grams(right, block, name, q)
+    often = index.groupBy("gram").agg(F.count(F.lit(1)).alias("often"))
+
+    def first(grams: DataFrame) -> DataFrame:
+        rarest = Window.partitionBy("block", "name").orderBy(F.coalesce("often", F.lit(0)), "gram")
+        ranked = grams.join(often, "gram", "left").withColumn("rank", F.row_number().over(rarest) - 1)
+        return ranked.where(F.expr(f"rank <= {q} * size * {200 - 2 * t} div {200 - t}"))
+
+    a = first(probe).select("block", "gram", F.col("name").alias("left_name"), F.col("size").alias("m"), F.col("letters").alias("x"), F.col("at").alias("i"), F.col("rank").alias("j"))
+    b = first(index).select("block", "gram", F.col("name").alias("right_name"), F.col("size").alias("n"), F.col("letters").alias("y"), F.col("at").alias("k"), F.col("rank").alias("l"))
+    common = f"(({t} * (m + n) + 199) div 200)"
+    gone, come = f"(m - {common})", f"(n - {common})"
+    fits = (
+        f"bit_count(x ^ y) <= {gone} + {come} AND {gone} >= 0 AND {come} >= 0 AND j <= {q} * {gone} + {q - 1} * {come} AND l <= {q} * {come} + {q - 1} * {gone}"
+        f" AND coalesce(k - i BETWEEN -{gone} AND {come}, true)"
+    )
+    met = a.join(b, ["block", "gram"]).where(fits).where(F.levenshtein("left_name", "right_name") <= F.expr(f"{gone} + {come}"))
+    return met.select("block", "left_name", "right_name").distinct()
+
+
 def similar_pairs(left: DataFrame, right: DataFrame, block: str, name: str, threshold: int) -> DataFrame:
     """All (block, left name, right name) pairs with an indel ratio of at least ``threshold``, scored.
 
-    Exact, without pairing a whole block. A ratio of ``t`` allows at most ``(100-t)(m+n)/100`` single
-    character insertions and deletions between lengths ``m`` and ``n``. A right name cut into one more
-    piece than that bound keeps a piece unbroken, at a position shifted by no more than the bound allows,
-    so the two sides meet on (block, length, piece number, piece text). Names are made distinct first.
+    Exact, without scoring a whole block: only :func:`candidate_pairs` are scored. Names are made distinct first.
     """
     if not 67 <= threshold <= 100:
         raise ValueError("threshold must be between 67 and 100")
-    t = int(threshold)
-    index = (
-        right.where(F.col(block).isNotNull() & (F.length(name) > 0))
-        .select(F.col(block).alias("block"), F.col(name).alias("right_name"))
-        .distinct()
-        .withColumn("n", F.length("right_name"))
-    )
-    bound = f"(({100 - t}) * (n + n * {200 - t} div {t}) div 100)"
-    pieces = f"""
-        transform(sequence(0, int({bound})), i -> named_struct(
-            'i', int(i),
-            'piece', substring(right_name, int(i * n div ({bound} + 1)) + 1,
-                               int((i + 1) * n div ({bound} + 1)) - int(i * n div ({bound} + 1)))))
-    """
-    index = index.select("block", "right_name", "n", F.expr(f"inline({pieces})"))
-    probe = (
-        left.where(F.col(block).isNotNull() & (F.length(name) > 0))
-        .select(F.col(block).alias("block"), F.col(name).alias("left_name"))
-        .distinct()
-        .withColumn("m", F.length("left_name"))
-    )
-    # lengths a right name may have, then piece numbers, then shifts of the piece
-    probe = probe.select(
-        "block",
-        "left_name",
-        "m",
-        F.expr(f"explode(sequence(int((m * {t} + {199 - t}) div {200 - t}), int(m * {200 - t} div {t})))").alias("n"),
-    )
-    probe = probe.select(
-        "*",
-        F.expr(f"int(({100 - t}) * (m + n) div 100)").alias("d"),
-        F.expr(f"int({bound})").alias("cut"),
-    ).select("*", F.expr("explode(sequence(0, cut))").alias("i"))
-    probe = probe.select(
-        "block",
-        "left_name",
-        "m",
-        "n",
-        "i",
-        F.expr("int(i * n div (cut + 1))").alias("p"),
-        F.expr("int((i + 1) * n div (cut + 1)) - int(i * n div (cut + 1))").alias("q"),
-        F.expr("explode(sequence(int(ceil((m - n - d) / 2)), int(floor((m - n + d) / 2))))").alias("s"),
-    ).where("p + s >= 0 and p + s + q <= m")
-    probe = probe.select("block", "left_name", "n", "i", F.expr("substring(left_name, p + s + 1, q)").alias("piece")).distinct()
-    pairs = probe.join(index, ["block", "n", "i", "piece"]).select("block", "left_name", "right_name").distinct()
+    pairs = candidate_pairs(left, right, block, name, threshold)
     scored = pairs.withColumn("score", name_ratio(F.col("left_name"), F.col("right_name")))
-    return scored.where(F.col("score") >= t)
+    return scored.where(F.col("score") >= int(threshold))
 
 
 def block_match(

@@ -13,7 +13,7 @@ from funnelspark.operators.dedupe import canonical_members
 from funnelspark.operators.finance import weekly_targets
 from funnelspark.operators.funnel import align_on, align_stages, funnel
 from funnelspark.operators.intervals import first_in_window, reverse_link
-from funnelspark.operators.linking import Tier, block_match, nearest_with_confidence, reasoned_match, tiered_link
+from funnelspark.operators.linking import Tier, block_match, nearest_with_confidence, reasoned_match, similar_pairs, tiered_link
 from funnelspark.functions.dates import week_ending
 from funnelspark.plans import shapes
 from funnelspark.plans.registry import query
@@ -216,6 +216,27 @@ def j6(t):
     )
 
 
+_WORDS_SQL = "SELECT DISTINCT substr(w, 1, 1) AS block, w AS name FROM (SELECT unnest(regexp_extract_all(text, '[a-z]+')) AS w FROM {}) WHERE length(w) >= 6"
+
+
+@query(
+    "j6_similar_words",
+    "block:s left_name:s right_name:s score:f",
+    sql=f"""
+      WITH a AS ({_WORDS_SQL.format("benchmark")}), b AS ({_WORDS_SQL.format("documents")}),
+      near AS (SELECT block, a.name AS x, b.name AS y FROM a JOIN b USING (block) WHERE levenshtein(a.name, b.name) <= 0.12 * (length(a.name) + length(b.name)))
+      SELECT block, x AS left_name, y AS right_name, score FROM (SELECT *, {ratio_sql('x', 'y')} AS score FROM near) WHERE score >= 88""",
+)
+def j6_words(t):
+    """Words of one text collection that another spells alike; every word is a name, its first letter the block."""
+
+    def words(texts):
+        w = texts.select(F.explode(F.regexp_extract_all("text", F.lit("[a-z]+"), F.lit(0))).alias("name")).where(F.length("name") >= 6)
+        return w.select(F.substring("name", 1, 1).alias("block"), "name")
+
+    return similar_pairs(words(t.benchmark), words(t.documents), "block", "name", 88)
+
+
 @query(
     "j7_fuzzy_reasoned",
     "base_id:i cand_id:i match_method:s",

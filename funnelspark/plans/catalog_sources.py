@@ -126,6 +126,35 @@ def s1_unreadable(t):
     return good.join(bad, "status", "left").withColumn("bad", F.coalesce("bad", F.lit(0)))
 
 
+def _write_shapes(t, label: str) -> str:
+    """Orders as JSON files of four shapes (indented lines, several values on a line, an array with an element a line, values over several lines); one file in five ends in a cut-off value."""
+    path = scratch_dir(t.spark, label)
+    o = t.orders.select(F.floor(F.col("o_orderkey") / 300).alias("page"), F.to_json(F.struct(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("total"), F.col("o_orderpriority").alias("tier"))).alias("x"))
+    pages = o.groupBy("page").agg(F.collect_list("x").alias("x"))
+    shape = F.col("page") % 4
+    text = (
+        F.when(shape == 0, F.concat_ws("\n", F.transform("x", lambda v: F.concat(F.lit(" "), v)))).when(shape == 1, F.concat_ws("", "x"))
+        .when(shape == 2, F.concat(F.lit("[\n"), F.concat_ws(",\n", "x"), F.lit("\n]"))).otherwise(F.replace(F.concat_ws("\n", "x"), F.lit(","), F.lit(",\n ")))
+    )
+    tail = F.when(F.col("page") % 5 == 0, F.lit("\n" + '{"id":')).otherwise(F.lit(""))
+    pages.select(shape.alias("shape"), F.concat(text, tail).alias("value")).write.partitionBy("shape").option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+_SHAPES_SQL = """SELECT (o_orderkey // 300) % 4 AS shape, count(*) AS n, sum(o_totalprice) AS total, count(DISTINCT CASE WHEN (o_orderkey // 300) % 5 = 0 THEN o_orderkey // 300 END) AS bad
+                 FROM orders GROUP BY 1"""
+_SHAPE = r"shape=(\d)"
+
+
+@query("s1_json_shapes", "shape:i n:i total:f bad:i", sql=_SHAPES_SQL)
+def s1_shapes(t):
+    path, schema = _write_shapes(t, "s1-shapes"), "id bigint, total double, tier string"
+    shape = F.regexp_extract("path", _SHAPE, 1).cast("int").alias("shape")
+    good = J.read_with_path(t.spark, path, schema, on_bad="skip").groupBy(shape).agg(F.count("id").alias("n"), F.sum("total").alias("total"))
+    bad = J.dead_letters(t.spark, path, schema).groupBy(shape).agg(F.count(F.lit(1)).alias("bad"))
+    return good.join(bad, "shape", "left").withColumn("bad", F.coalesce("bad", F.lit(0)))
+
+
 @query(
     "s4_struct_flatten", "id:i customer_key:i tier:s total_int:i",
     sql="SELECT o_orderkey AS id, o_custkey AS customer_key, lower(o_orderpriority) AS tier, CAST(trunc(o_totalprice) AS BIGINT) AS total_int FROM orders",
@@ -472,6 +501,19 @@ def r1(t):
     return _by_day(t.spark.table(name))
 
 
+@query("r1_json_stream", "shape:i n:i total:f bad:i", sql=_SHAPES_SQL)
+def r1_stream(t):
+    """The same files as a stream: rows and rejects go to two tables, some files a batch; the first batch is delivered twice."""
+    path, rows, rejects = _write_shapes(t, "r1-shapes"), scratch_dir(t.spark, "r1-rows"), scratch_dir(t.spark, "r1-rejects")
+    lines = R.json_lines(t.spark, path, files_per_batch=7)
+    q = R.ingest_json(lines, "id bigint, total double, tier string", rows, rejects, scratch_dir(t.spark, "r1-lines-checkpoint"), redeliver_first=True)
+    q.awaitTermination()
+    shape = F.regexp_extract("path", _SHAPE, 1).cast("int").alias("shape")
+    good = t.spark.read.parquet(rows).groupBy(shape).agg(F.count("id").alias("n"), F.sum("total").alias("total"))
+    bad = t.spark.read.parquet(rejects).groupBy(shape).agg(F.count(F.lit(1)).alias("bad"))
+    return good.join(bad, "shape", "left").withColumn("bad", F.coalesce("bad", F.lit(0)))
+
+
 @query("r2_latest_on_arrival", "day:s n:i value:f versions:i", sql=_ARRIVAL_SQL)
 def r2(t):
     path, log = _arrivals(t, "r2"), scratch_dir(t.spark, "r2-log")

@@ -6,30 +6,39 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-PATH_DATE = r"/(\d{4}-\d{2}-\d{2})/"
+from funnelspark.session import scratch_dir
+from funnelspark.sources.json_values import read_values
 
+PATH_DATE = r"/(\d{4}-\d{2}-\d{2})/"
 
-def _values(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str) -> DataFrame:
-    """(path, value, bad) of every JSON value of every file.
 
-    A file is one value, an array of values, or one value a line. Nothing is dropped: what does not parse is a row with its
-    text in ``bad``.
-    """
+def parse_values(values: DataFrame, schema: StructType | str) -> DataFrame:
+    """(path, value, bad) of (path, text, broken): nothing is dropped, what does not parse is a row with its text in ``bad``."""
     schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     marked = StructType([*schema.fields, StructField("_bad", StringType())])
-    text = spark.read.text([paths] if isinstance(paths, str) else list(paths), wholetext=True)
-    # Several lines that begin a value: each is one.
-    lines = F.when(F.regexp_count("value", F.lit(r"(?m)^[\{\[]")) > 1, F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "")).otherwise(F.array("value"))
-    each = text.select(F.col("_metadata.file_path").alias("path"), F.explode(lines).alias("text")).where(F.trim("text") != "")
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
-    many = F.from_json("text", ArrayType(marked), options)
-    each = each.withColumn("value", F.when(F.ltrim("text").startswith("["), many).otherwise(F.array(F.from_json("text", marked, options))))
-    each = each.withColumn("value", F.coalesce("value", F.array(F.lit(None).cast(marked))))
-    rows = each.select("path", "text", F.explode("value").alias("value"))
-    bad = F.when(F.col("value").isNull(), F.col("text")).otherwise(F.col("value._bad"))
-    return rows.select("path", F.struct(*[F.col(f"value.`{f.name}`").alias(f.name) for f in schema.fields]).alias("value"), bad.alias("bad"))
+    parsed = values.withColumn("value", F.from_json("text", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
+    bad = F.when(F.col("broken") | F.col("value").isNull(), F.col("text")).otherwise(F.col("value._bad"))
+    return parsed.select("path", F.struct(*[F.col(f"value.`{f.name}`").alias(f.name) for f in schema.fields]).alias("value"), bad.alias("bad"))
+
+
+def _values(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str) -> DataFrame:
+    """(path, value, bad) of every JSON value of every file, however values and lines lie (:mod:`json_values`)."""
+    return parse_values(read_values(spark, paths if isinstance(paths, str) else list(paths)), schema)
+
+
+def infer_schema(spark: SparkSession, paths: str | Sequence[str]) -> StructType:
+    """Schema of all values that parse, from one pass that writes them a line each to the shared folder."""
+    values = read_values(spark, paths if isinstance(paths, str) else list(paths)).where(~F.col("broken"))
+    path = scratch_dir(spark, "json-lines")
+    values.select(F.translate("text", "\r\n", "  ").alias("value")).write.text(path)
+    return spark.read.json(path).schema
+
+
+def dead_letters(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str) -> DataFrame:
+    """(path, text) of everything in the files that is not a JSON value of the schema."""
+    return _values(spark, paths, schema).where(F.col("bad").isNotNull()).select("path", F.col("bad").alias("text"))
 
 
 def unreadable(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str, records: str | None = None) -> DataFrame:
@@ -51,6 +60,11 @@ def _checked(rows: DataFrame, on_bad: str) -> DataFrame:
     return rows.withColumn("value", value)
 
 
+def read_with_path(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str, on_bad: str = "raise") -> DataFrame:
+    """Every value of the files with the ``path`` it stands in."""
+    return _checked(_values(spark, paths, schema), on_bad).select("path", "value.*")
+
+
 def read_pages(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -66,7 +80,7 @@ def read_pages(
     :func:`unreadable` lists such files. Pass ``schema`` for large drops: inferring it reads every file once more.
     """
     if schema is None:
-        schema = spark.read.option("multiLine", True).json([path] if isinstance(path, str) else list(path)).schema
+        schema = infer_schema(spark, path)
     text = F.regexp_extract("path", date_pattern, 1)
     raw = _checked(_values(spark, path, schema), on_bad).select(
         F.try_to_timestamp(text, F.lit(date_format)).cast("date").alias("snapshot_date"), F.explode(f"value.{records}").alias("rec")
@@ -84,7 +98,7 @@ def read_roots(
     frames, skipped = [], []
     for name, path in roots.items():
         try:
-            own = schema if schema is not None else spark.read.option("multiLine", True).json(path).schema
+            own = schema if schema is not None else infer_schema(spark, path)
             frames.append(_checked(_values(spark, path, own), on_bad).select("value.*").withColumn(tag, F.lit(name)))
         except Exception as err:  # a missing root must not stop the others
             skipped.append((name, type(err).__name__))

@@ -10,18 +10,52 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from funnelspark.operators.dedupe import latest
+from funnelspark.session import materialise
 from funnelspark.sinks.tables import upsert_newest
+from funnelspark.sources.json_pages import parse_values
+from funnelspark.sources.json_values import split_values, text_lines
 
 
-def json_stream(spark: SparkSession, path: str, schema: StructType | str, files_per_batch: int = 1000) -> DataFrame:
-    """New JSON files as a stream; the checkpoint remembers what was read."""
-    return (
-        spark.readStream.schema(schema)
-        .option("multiLine", True)
-        .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .json(path)
-    )
+def json_lines(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
+    """Lines of new JSON files as a stream, with their file and split; the checkpoint remembers what was read."""
+    source = spark.readStream.option("recursiveFileLookup", True).option("maxFilesPerTrigger", files_per_batch)
+    return text_lines(source.text(path))
+
+
+def json_batch(lines: DataFrame, schema: StructType | str) -> tuple[DataFrame, DataFrame]:
+    """(rows with ``path``, rejects (path, text)) of the lines of one batch. A batch holds whole files, so no value is cut by its end."""
+    parsed = materialise(parse_values(split_values(lines), schema), "json-batch")
+    rows = parsed.where("bad is null").select("path", "value.*")
+    return rows, parsed.where("bad is not null").select("path", F.col("bad").alias("text"))
+
+
+def ingest_json(
+    lines: DataFrame,
+    schema: StructType | str,
+    rows: str,
+    rejects: str,
+    checkpoint: str,
+    shape: Callable[[DataFrame], DataFrame] | None = None,
+    redeliver_first: bool = False,
+) -> StreamingQuery:
+    """Read what has arrived: every value of every file as a row of ``rows``, what does not parse as a row of ``rejects``.
+
+    Both folders are partitioned by ``batch_id`` and a batch overwrites its own partition, so one that is delivered again after a failure
+    (``redeliver_first`` forces that) leaves both as they were. A batch without rejects clears its partition of them.
+    ``shape`` turns the rows of a batch into those of the table.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        good, bad = json_batch(batch, schema)
+        for frame, path in ((shape(good) if shape else good, rows), (bad, rejects)):
+            frame.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    def deliver(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        if redeliver_first and batch_id == 0:
+            write(batch, batch_id)
+
+    return lines.writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def ingest_available(

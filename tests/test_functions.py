@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from funnelspark.functions import dates, rules, text
-from funnelspark.functions.fuzzy import _common_length, name_ratio
+from funnelspark.functions.fuzzy import common_length, name_ratio
 
 
 def values(frame, rows, schema, *cols):
@@ -138,12 +138,13 @@ def _lcs(a, b):
     return row[-1]
 
 
-def test_common_length_matches_table():
+def test_common_length_matches_table(frame):
+    """Either text shorter, both beyond a machine word, letters of all widths, empty and NULL."""
     rng = random.Random(1)
-    for _ in range(400):
-        a = "".join(rng.choice("abcé ") for _ in range(rng.randrange(0, 90)))
-        b = "".join(rng.choice("abcé ") for _ in range(rng.randrange(0, 90)))
-        assert _common_length(a, b) == _lcs(a, b)
+    text = lambda most: "".join(rng.choice("abcé 🙂") for _ in range(rng.randrange(0, most)))
+    pairs = [(text(20), text(20)) for _ in range(150)] + [(text(90), text(90)) for _ in range(60)] + [("a" * n, "ba" * n) for n in (61, 62, 63, 64, 70)]
+    got = values(frame, [*pairs, (None, "a"), ("a", None)], "a string, b string", common_length(F.col("a"), F.col("b")))
+    assert got == [_lcs(a, b) for a, b in pairs] + [None, None]
 
 
 def test_name_ratio(frame):

@@ -64,6 +64,69 @@ def test_every_value_of_every_file_is_read(spark, tmp_path):
     assert bad == {"cut.json": 1, "half.json": 1}
 
 
+SHAPES = {
+    "indented": (' {"id":1}\n {"id":2}', [1, 2], 0),
+    "on_a_line": ('{"id":3}{"id":4} {"id":5}\n', [3, 4, 5], 0),
+    "element_a_line": ('[\n{"id":6},\n{"id":7}\n]\n', [6, 7], 0),
+    "pretty": (json.dumps([{"id": 8, "x": {"y": [1, "}{"]}}, {"id": 9}], indent=2), [8, 9], 0),
+    "pretty_objects": (json.dumps({"id": 10}, indent=1) + "\n" + json.dumps({"id": 11}, indent=1), [10, 11], 0),
+    "strings": ('{"id":12,"x":"a\\"}{[\\\\"}\r\n{"id":13,"x":"]"}', [12, 13], 0),
+    "garbage": ('{"id":14} oops\n{"id":15}', [14, 15], 1),
+    "cut_lines": ('{"id":16}\n{"id":17,"x":{"a":[\n{"id":18}\n{"id":19}\n{"id":\n{"id":20}', [16, 18, 19, 20], 2),
+    "cut_array": ('[{"id":21},\n{"id":22},\n{"id":2', [21, 22], 2),
+    "cut_pretty": (json.dumps({"id": 23, "x": [{"id": 99}, {"id": 98}]}, indent=1)[:-6], [], 1),
+    "empty": ("", [], 0), "blank": ("\n \n", [], 0), "nothing": ("[]", [], 0), "marked": ('\ufeff{"id":24}', [24], 0), "scalar": ('7\n{"id":25}', [25], 1),
+    "two_arrays": ('[{"id":26}]\n[{"id":27},{"id":28}]', [26, 27, 28], 0),
+}
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_values_and_lines_in_any_shape(spark, tmp_path, split):
+    """Every shape, with files in one split and with every file cut into splits of a few bytes."""
+    for n, (text, _, _) in SHAPES.items():
+        (tmp_path / f"{n}.json").write_bytes(text.encode())
+    conf = {"spark.sql.files.maxPartitionBytes": "16", "spark.sql.files.openCostInBytes": "1"} if split else {}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        rows = J._values(spark, str(tmp_path), "id bigint").collect()
+        letters = J.dead_letters(spark, str(tmp_path), "id bigint").count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    got, bad = {n: [] for n in SHAPES}, dict.fromkeys(SHAPES, 0)
+    for r in rows:
+        n = r.path.rsplit("/", 1)[1][: -len(".json")]
+        if r.bad is None:
+            got[n].append(r.value.id)
+        else:
+            bad[n] += 1
+    assert {n: sorted(v) for n, v in got.items()} == {n: v[1] for n, v in SHAPES.items()}
+    assert {n for n, v in bad.items() if v} == {n for n, v in SHAPES.items() if v[2]}
+    assert letters == sum(bad.values())
+    if not split:
+        assert bad == {n: v[2] for n, v in SHAPES.items()}
+
+
+def test_large_line_file_is_read_by_many_tasks(spark, tmp_path):
+    with open(tmp_path / "a.json", "w") as f:
+        f.writelines(f'{{"id":{i},"x":"{"y" * 80}"}}\n' if i % 1000 else '{"id":\n' for i in range(120_000))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        values = J._values(spark, str(tmp_path), "id bigint, x string")
+        assert values.rdd.getNumPartitions() > 5
+        assert values.groupBy(F.col("bad").isNull().alias("good")).count().orderBy("good").collect() == [(False, 120), (True, 119_880)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_schema_of_all_values(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"id":1}{"id":2,"later":"x"}\n{"id":')
+    df = J.infer_schema(spark, str(tmp_path))
+    assert df.simpleString() == "struct<id:bigint,later:string>"
+
+
 def test_all_files_of_the_newest_drop(spark, tmp_path):
     for f in ("census_20240101_010101/a.json", "census_20240101_230000/a.json", "census_20240101_230000/b.json"):
         (tmp_path / f).parent.mkdir(exist_ok=True)
@@ -191,3 +254,23 @@ def test_stream_newest_copy_wins_in_any_order(spark, tmp_path):
     drop("2.json", {"id": 1, "day": "d1", "v": "late", "at": 4}, {"id": 2, "day": "d1", "v": "c", "at": 2}, {"id": 3, "day": "d2", "v": "x", "at": 1})
     assert run() == [(1, "new"), (2, "c"), (3, "x")]
     assert run() == [(1, "new"), (2, "c"), (3, "x")]
+
+
+def test_json_stream_keeps_rejects_and_replays(spark, tmp_path):
+    """Several values a file, broken ones, a second delivery of the first batch, files that come later."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for n in ("indented", "on_a_line", "element_a_line", "garbage", "cut_lines"):
+        (folder / f"{n}.json").write_bytes(SHAPES[n][0].encode())
+    rows, rejects = f"{tmp_path}/rows", f"{tmp_path}/rejects"
+
+    def run(first=False):
+        lines = R.json_lines(spark, str(folder), files_per_batch=2)
+        R.ingest_json(lines, "id bigint", rows, rejects, f"{tmp_path}/checkpoint", lambda df: df.select("id"), redeliver_first=first).awaitTermination()
+        return sorted(r.id for r in spark.read.parquet(rows).collect()), spark.read.parquet(rejects).count()
+
+    want = [*range(1, 8), 14, 15, 16, 18, 19, 20], 3
+    assert run(True) == want
+    assert run() == want
+    (folder / "later.json").write_text('[{"id":30}]\n{"id":')
+    assert run() == ([*want[0], 30], 4)

@@ -1,5 +1,6 @@
 """Table operators against brute force and hand-made cases."""
 
+import itertools
 import random
 from datetime import date, timedelta
 
@@ -169,23 +170,29 @@ def test_similar_pairs_equal_brute_force(frame):
 
     rng = random.Random(11)
     word = lambda: "".join(rng.choice("abcd") for _ in range(rng.randrange(1, 12)))
-    for t in (67, 80, 88, 100):
-        left = [(rng.choice("XY"), word()) for _ in range(120)]
+    for t in (67, 73, 80, 81, 86, 88, 90, 100):
+        left = [(rng.choice("XY"), word()) for _ in range(120)] + [("X", "aaaaaaaaaaa"), ("X", "ababababab"), (None, "abc"), ("X", None), ("X", "")]
         right = [(rng.choice("XY"), word()) for _ in range(120)]
-        right += [(b, w[:-1] + rng.choice("abcd")) for b, w in left if len(w) > 3]
+        right += [(b, w[:-1] + rng.choice("abcd")) for b, w in left if w and len(w) > 3]
         got = L.similar_pairs(frame(left, "b string, n string"), frame(right, "b string, n string"), "b", "n", t)
         expect = set()
         for b, x in set(left):
             for c, y in set(right):
-                if b == c and x and y and 200.0 * _lcs(x, y) / (len(x) + len(y)) >= t:
+                if b is not None and b == c and x and y and 200.0 * _lcs(x, y) / (len(x) + len(y)) >= t:
                     expect.add((b, x, y))
         assert {(r.block, r.left_name, r.right_name) for r in got.collect()} == expect
 
 
-def test_similar_pairs_do_not_pair_the_block(frame):
-    names = [("X", f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{i * 7919 % 9973:04d}{i * 31 % 89:02d}") for i in range(600)]
-    df = frame(names, "b string, n string")
-    assert L.similar_pairs(df, df, "b", "n", 95).count() >= 600
+@pytest.mark.parametrize("threshold", [80, 88])
+def test_scored_pairs_do_not_grow_with_the_block(frame, threshold):
+    """Made-up person names, 500 and 8,000 of them in one block: next to none is scored but the name itself and those truly near."""
+    rng = random.Random(5)
+    parts = ["".join(p) for p in itertools.product("bdfgklmnprstvz", "aeiou", ["", "l", "n", "r", "s"])]
+    name = lambda: " ".join("".join(rng.choice(parts) for _ in range(rng.randrange(2, 4))) for _ in range(2))
+    for n in (500, 8000):
+        df = frame([("X", name()) for _ in range(n)], "b string, n string")
+        scored = L.candidate_pairs(df, df, "b", "n", threshold).where("left_name <> right_name").count()
+        assert scored < 2 * n
 
 
 def test_tiered_link_prefers_tier_then_date(frame):
