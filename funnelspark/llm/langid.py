@@ -3,13 +3,18 @@
 Fitting takes at most ``sample`` texts with a language outside the held-out fold (bounded, 4,000 by default), computes inverse
 document frequencies and clusters each language's unit vectors by spherical k-means. Scoring reads every whole text, without a shuffle.
 
-Defined results: NULL texts and texts without a letter are ``und`` with score 0; equal cosines go to the alphabetically first
+Letters and the marks that belong to them are told by Unicode category; words are runs of both.
+
+Defined results: NULL texts and texts without a letter (symbols, digits, marks alone) are ``und`` with score 0; equal cosines go to the alphabetically first
 language; a text further from every centroid than ``reach`` times the training distances is flagged ``rejected`` but keeps its
 nearest language; without training rows everything is ``und``.
 """
 
 from __future__ import annotations
 
+import functools
+import unicodedata
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -19,16 +24,36 @@ from funnelspark.llm.ragged import LOWER, text_bytes, word_spans
 
 #: Hash cells of the n-gram space (character 1-, 2- and 3-grams with word edges).
 CELLS = 1 << 13
-_LETTER = np.zeros(256, bool)
-_LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
+#: Texts of one dense table of counts.
+STEP = 32
+
+
+@functools.cache
+def _kinds() -> np.ndarray:
+    """1 for letters, 2 for marks, 0 for all other code points."""
+    return np.array([{"L": 1, "M": 2}.get(unicodedata.category(chr(c))[0], 0) for c in range(0x110000)], np.uint8)
+
+
+def _kind_of_bytes(data: np.ndarray) -> np.ndarray:
+    """Kind of the character that each byte of a UTF-8 text is part of."""
+    begin = np.flatnonzero((data & 0xC0) != 0x80)
+    size = np.diff(np.append(begin, len(data)))
+    code = data[begin].astype(np.int32) & np.array([0, 0x7F, 0x1F, 0x0F, 0x07], np.int32)[np.minimum(size, 4)]
+    for k in (1, 2, 3):
+        more = np.flatnonzero(size > k)
+        code[more] = code[more] << 6 | data[begin[more] + k] & 0x3F
+    return np.repeat(_kinds()[np.minimum(code, 0x10FFFF)], size)
 
 
 def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
     """Row and hash cell of every n-gram of bytes (1 to 4) inside the words of each text; words are padded by an edge mark."""
     data, offsets = text_bytes(column)
     n = len(offsets) - 1
-    inside = _LETTER[data]
-    start, end, row = word_spans(data, offsets, inside)
+    kind = _kind_of_bytes(data)
+    start, end, row = word_spans(data, offsets, kind > 0)
+    if len(start):  # a run of marks alone is no word
+        word = np.add.reduceat(kind == 1, start, dtype=np.int64) > 0
+        start, end, row = start[word], end[word], row[word]
     if not len(start):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), n
     size = end - start + 1
@@ -66,25 +91,28 @@ class Centroids:
     def __init__(self, languages: list[str], idf: np.ndarray, centre: np.ndarray, of: np.ndarray, reach: np.ndarray) -> None:
         self.languages, self.idf, self.centre, self.of, self.reach = languages, idf, centre, of, reach
 
-    def cosines(self, table: np.ndarray) -> np.ndarray:
-        v = table * self.idf
-        norm = np.linalg.norm(v, axis=1, keepdims=True)
-        return v @ self.centre.T / np.maximum(norm, 1e-12)
-
-    def predict(self, column: pa.Array, step: int = 128) -> list:
+    def cosines(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Cosine of each text to each centroid, summed over the text's n-grams only, and whether it has any."""
+        row, cell, n = grams(column)
+        table = np.bincount(row.astype(np.int64) * CELLS + cell, minlength=n * CELLS)
+        at = np.flatnonzero(table)
+        row, cell = at // CELLS, at % CELLS
+        weight = np.log1p(table[at]) * self.idf[cell]
+        norm = np.sqrt(np.bincount(row, weight * weight, n))
+        dots = [np.bincount(row, weight * c[cell], n) for c in self.centre]
+        return np.stack(dots, axis=1) / np.maximum(norm, 1e-12)[:, None], norm > 0
+
+    def predict(self, column: pa.Array, step: int = STEP) -> list:
+        if not self.languages:
+            return [["und"] * len(column), [0.0] * len(column), [True] * len(column)]
         lang, score, rejected = [], [], []
         for a in range(0, len(column), step):
-            part = column.slice(a, step)
-            table = counts(part)
-            some = table.any(axis=1)
-            if not self.languages:
-                some[:] = False
-            c = self.cosines(table) if self.languages else np.zeros((len(part), 1))
+            c, some = self.cosines(column.slice(a, step))
             best = c.argmax(axis=1)
-            top = c[np.arange(len(part)), best]
+            top = c[np.arange(len(c)), best]
             lang += [self.languages[self.of[b]] if s else "und" for b, s in zip(best, some)]
             score += np.where(some, np.clip(top, 0, 1), 0.0).tolist()
-            rejected += (~some | (top < (self.reach[best] if self.languages else 0))).tolist()
+            rejected += (~some | (top < self.reach[best])).tolist()
         return [lang, score, rejected]
 
 
@@ -122,8 +150,8 @@ def train(docs: DataFrame, modulus: int = 4, held: int = 2, sample: int = 4_000,
     def sparse():
         def run(column: pa.Array) -> list:
             cells, values = [], []
-            for a in range(0, len(column), 128):
-                for r in counts(column.slice(a, 128)):
+            for a in range(0, len(column), STEP):
+                for r in counts(column.slice(a, STEP)):
                     at = np.flatnonzero(r)
                     cells.append(at.astype(np.int16).tobytes())
                     values.append(r[at].astype(np.float16).tobytes())
