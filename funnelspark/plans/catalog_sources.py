@@ -22,6 +22,7 @@ from funnelspark.sinks import tables as W
 from funnelspark.sources import json_pages as J
 from funnelspark.sources import tables as S
 from funnelspark.streaming import ingest as R
+from funnelspark.streaming import state as K
 
 ORDER_REC = "struct<id:bigint,customer:struct<key:bigint,tier:string>,status:string,total:double,modified:string>"
 PAGE_SCHEMA = f"result struct<data: array<{ORDER_REC}>>"
@@ -521,3 +522,35 @@ def r2(t):
     R.append_available(stream, log, scratch_dir(t.spark, "r2-checkpoint")).awaitTermination()
     arrived = t.spark.read.schema(_ARRIVAL).parquet(log)
     return _by_day(R.latest_view(arrived, ["id"], "ingested_at"))
+
+
+_SCD2_SQL = """
+  SELECT *, snap AS valid_from, row_number() OVER (PARTITION BY o_custkey ORDER BY snap) AS version, lead(snap) OVER (PARTITION BY o_custkey ORDER BY snap) - 1 AS valid_to
+  FROM (SELECT *, lag(status || urgent) OVER (PARTITION BY o_custkey ORDER BY snap) AS prev FROM (
+    SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS snap, o_orderstatus AS status, substr(o_orderpriority, 1, 1) < '4' AS urgent FROM orders
+    QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) = 1))
+  WHERE prev IS NULL OR prev <> status || urgent"""
+
+
+@query("scd2_on_arrival", "o_custkey:i o_orderkey:i valid_from:s valid_to:s version:i status:s urgent:i", sql=_SCD2_SQL)
+def scd2_on_arrival(t):
+    """Order snapshots arrive as one drop a year; each updates the open versions and settles those that end."""
+    drops, store, checkpoint = (scratch_dir(t.spark, f"scd2-{n}") for n in ("drops", "store", "checkpoint"))
+    rows = t.orders.select(
+        "o_custkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("snap"), F.col("o_orderstatus").alias("status"), (F.substring("o_orderpriority", 1, 1) < "4").alias("urgent")
+    )
+    first, last = rows.agg(F.min(F.year("snap")), F.max(F.year("snap"))).first()
+    for year in range(first, last + 1):
+        rows.where(F.year("snap") == year).write.parquet(f"{drops}/{year}")
+        stream = t.spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).parquet(drops)
+        K.on_arrival(stream, checkpoint, lambda df, b: K.apply_snapshots(df, b, store, "o_custkey", "snap", modified="o_orderkey")).awaitTermination()
+    return K.version_history(t.spark, store)
+
+
+@query("r2_latest_state", "day:s n:i value:f versions:i", sql=_ARRIVAL_SQL)
+def r2_state(t):
+    """The same arrivals, deduplicated as they come: the state holds one row per id, the newest."""
+    path, store = _arrivals(t, "r2-state"), scratch_dir(t.spark, "r2-store")
+    stream = t.spark.readStream.schema(_ARRIVAL).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 4).json(path)
+    K.on_arrival(stream, scratch_dir(t.spark, "r2-state-checkpoint"), lambda df, b: K.apply_latest(df, b, store, ["id"], "ingested_at")).awaitTermination()
+    return _by_day(K.current_rows(t.spark, store))
