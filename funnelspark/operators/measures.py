@@ -21,13 +21,27 @@ def change(cur: Column, prev: Column) -> Column:
 def conditional(df: DataFrame, keys: Sequence[str], sums: Mapping[str, tuple[Column, Column]] | None = None,
                 counts: Mapping[str, Column] | None = None, distinct: Mapping[str, Column] | None = None,
                 means: Mapping[str, Column] | None = None, medians: Mapping[str, Column] | None = None) -> DataFrame:
-    """Plain, filtered, distinct, mean and median measures in one aggregate."""
+    """Plain, filtered, distinct, mean and median measures per key.
+
+    Several distinct counts in one aggregate would send every row once per count. Each is a narrow aggregate of its own instead, of
+    its column only, met with the others by key; ``df`` is read again for it, so store a frame that is costly to compute.
+    """
     aggs = [F.sum(F.when(c, v)).alias(n) for n, (v, c) in (sums or {}).items()]
     aggs += [F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in (counts or {}).items()]
-    aggs += [F.count_distinct(c).alias(n) for n, c in (distinct or {}).items()]
     aggs += [F.avg(c).alias(n) for n, c in (means or {}).items()]
     aggs += [F.median(c).alias(n) for n, c in (medians or {}).items()]
-    return df.groupBy(*keys).agg(*aggs)
+    apart = dict(distinct or {})
+    if len(apart) < 2 or not keys:
+        aggs += [F.count_distinct(c).alias(n) for n, c in apart.items()]
+        apart = {}
+    out = df.groupBy(*keys).agg(*aggs) if aggs else df.select(*keys).distinct()
+    for n, c in apart.items():
+        one = df.select(*keys, c.alias("_v")).where("_v is not null").distinct().groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count(F.lit(1)).alias(n))
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+        out = out.join(one, same, "left").drop(*[f"_{k}" for k in keys]).withColumn(n, F.coalesce(n, F.lit(0)))
+    return out.select(*keys, *(sums or {}), *(counts or {}), *(distinct or {}), *(means or {}), *(medians or {}))
 
 
 def anchor_date(maxima: Sequence[DataFrame]) -> DataFrame:

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from funnelspark.functions import dates
 from funnelspark.operators import census as S
-from funnelspark.operators import finance, measures as M, scoring
+from funnelspark.operators import finance, measures as M, mergeable, scoring
 from funnelspark.plans import shapes
 from funnelspark.plans.registry import query
+from funnelspark.session import materialise
 from funnelspark.sources.tables import literal_table
 
 _WEEK = "CAST(ts AS DATE) + CAST((4 - dayofweek(ts) + 7) % 7 AS INTEGER)"
@@ -59,6 +60,34 @@ def m3(t):
     )
 
 
+@query(
+    "m3_trailing_distinct", "facility:s day:s distinct_1d:i distinct_7d:i distinct_28d:i",
+    sql="""WITH d AS (SELECT DISTINCT facility, call_date FROM calls)
+           SELECT d.facility, d.call_date AS day, count(DISTINCT CASE WHEN c.call_date = d.call_date THEN caller_number END) AS distinct_1d,
+                  count(DISTINCT CASE WHEN c.call_date > d.call_date - 7 THEN caller_number END) AS distinct_7d, count(DISTINCT caller_number) AS distinct_28d
+           FROM d JOIN calls c ON c.facility IS NOT DISTINCT FROM d.facility AND c.call_date BETWEEN d.call_date - 27 AND d.call_date GROUP BY 1, 2""",
+    uses=["calls"],
+)
+def m3_trailing(t):
+    """Callers of a day, a week and 28 days, all from one table of daily bitmaps."""
+    calls = shapes.calls(t)
+    ids = mergeable.dense_ids(calls, "caller_number")
+    return mergeable.trailing_distinct(mergeable.daily_bitmaps(calls, ["facility"], "call_date", "caller_number", ids), ["facility"], [1, 7, 28])
+
+
+@query(
+    "m4_trailing_median", "facility:s day:s q_14d:f q_28d:f",
+    sql="""WITH b AS (SELECT facility, call_date, callback_minutes AS m FROM full_calls WHERE callback_minutes IS NOT NULL), d AS (SELECT DISTINCT facility, call_date FROM b)
+           SELECT d.facility, d.call_date AS day, median(m) FILTER (WHERE b.call_date > d.call_date - 14) AS q_14d, median(m) AS q_28d
+           FROM d JOIN b ON b.facility IS NOT DISTINCT FROM d.facility AND b.call_date BETWEEN d.call_date - 27 AND d.call_date GROUP BY 1, 2""",
+    uses=["full_calls"],
+)
+def m4_trailing(t):
+    """Median callback minutes of 14 and 28 days, from one table of daily counts of whole minutes."""
+    daily = mergeable.daily_histogram(shapes.full_calls(t), ["facility"], "call_date", F.col("callback_minutes"))
+    return mergeable.trailing_quantile(materialise(daily, "minutes"), ["facility"], [14, 28])
+
+
 @query(
     "m4_median", "facility:s median_minutes:f",
     sql="SELECT facility, median(callback_minutes) FILTER (WHERE callback_status = 'called_back') AS median_minutes FROM full_calls GROUP BY 1",

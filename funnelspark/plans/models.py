@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from funnelspark.operators import census as S
 from funnelspark.operators import finance
 from funnelspark.operators.measures import change, conditional, previous_period, ratio
+from funnelspark.session import materialise
 
 WINDOW_DAYS = 28
 
@@ -27,7 +28,15 @@ def _windows(day: Column, anchor: date) -> tuple[Column, Column, Column]:
 
 
 def call_measures(calls: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Event counts, outcomes, talk time and callback measures."""
+    """Event counts, outcomes, talk time and callback measures.
+
+    The columns that are measured are stored first: distinct counts read them again, and callbacks are costly to find.
+    """
+    used = [
+        "outcome", "direction", "event_type", "callback_status", "talk_time", "is_voice", "needs_callback", "callback_by_same_agent", "is_new_caller",
+        "caller_number", "agent_id", "callback_minutes",
+    ]
+    calls = materialise(calls.select(*dict.fromkeys([*keys, *used])), "call-measures")
     o, d, kind = F.col("outcome"), F.col("direction"), F.col("event_type")
     voice = kind == "voice"
     inbound = voice & (d == "inbound")
