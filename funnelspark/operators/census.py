@@ -87,6 +87,50 @@ def average_census(weekly: DataFrame, keys: Sequence[str]) -> DataFrame:
     return weekly.groupBy(*keys).agg(F.avg("adc").alias("adc"), F.count(F.lit(1)).alias("weeks"))
 
 
+_LEVELS = ("site and segment", "site", "segment", "total")
+
+
+def _by_level(cells: DataFrame, keys: Sequence[str], site: str, segment: str, value: str) -> DataFrame:
+    """Sums of ``value`` per ``keys`` at four levels: site and segment, site, segment, total. A rolled-up column is NULL; ``level`` tells."""
+    sets = [[*keys, site, segment], [*keys, site], [*keys, segment], [*keys]]
+    which = F.grouping(site) * 2 + F.grouping(segment)
+    # grouping bits: 0 both kept, 1 segment rolled up, 2 site rolled up, 3 both
+    level = F.element_at(F.array(*map(F.lit, _LEVELS)), which.cast("int") + 1)
+    return cells.groupingSets(sets, *keys, site, segment).agg(F.sum(value).alias(value), level.alias("level"))
+
+
+def census_frame(
+    census: DataFrame, budget: DataFrame, *, week: str, month: str, day: str, site: str, segment: str, amount: str, start: str, cutoff: str
+) -> DataFrame:
+    """Average daily census by site and segment, site, segment and in total, beside its budget: one row per member of each level.
+
+    ``actual`` and ``budget`` are those of the month ``cutoff``; the year to date runs from ``start`` to ``cutoff``. Actuals are means of weekly
+    values whose denominator is the census dates of week and site, so segments and sites add up; budgets of a level are sums of its
+    members, the year to date their mean over months, ``peak_budget`` the largest month of all. A member known to one side only
+    has NULL on the other, and variances need both.
+    """
+    def actual(rows: DataFrame, name: str) -> DataFrame:
+        cells = weekly_census(rows, week, day, [site], [segment])
+        return _by_level(cells, [week], site, segment, "adc").groupBy("level", site, segment).agg(F.avg("adc").alias(name))
+
+    span = F.col(month).between(start, cutoff)
+    months = _by_level(budget, [month], site, segment, amount)
+    planned = months.groupBy("level", site, segment).agg(
+        F.max(F.when(F.col(month) == cutoff, F.col(amount))).alias("budget"), F.avg(F.when(span, F.col(amount))).alias("ytd_budget"), F.max(amount).alias("peak_budget")
+    )
+    names = ["actual", "ytd_actual", "budget", "ytd_budget", "peak_budget"]
+    out = None
+    for part in (actual(census.where(F.col(month) == cutoff), "actual"), actual(census.where(span), "ytd_actual"), planned):
+        part = part.select("level", site, segment, *(F.col(n) if n in part.columns else F.lit(None).cast("double").alias(n) for n in names))
+        out = part if out is None else out.union(part)
+    # The three meet in one sum, where rolled-up and NULL members are equal.
+    out = out.groupBy("level", site, segment).agg(*(F.max(n).alias(n) for n in names))
+    for now, plan, name in (("actual", "budget", "variance"), ("ytd_actual", "ytd_budget", "ytd_variance")):
+        gap = F.col(now) - F.col(plan)
+        out = out.withColumns({name: gap, f"{name}_pct": F.try_divide(gap, F.nullif(F.col(plan), F.lit(0)))})
+    return out
+
+
 def utilisation(adc: DataFrame, beds: Mapping[str, int], site: str) -> DataFrame:
     """ADC over licensed beds; a site without a bed count stays NULL."""
     n = F.create_map(*[F.lit(x) for kv in beds.items() for x in kv])[F.col(site)]

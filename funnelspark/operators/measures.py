@@ -118,10 +118,10 @@ def era_target(tgt: DataFrame, day: object, cut: object, before: str, after: str
     )
 
 
-def budget_ytd(budget: DataFrame, category: str, month: str, value: str, start: str, cutoff: str) -> DataFrame:
+def budget_ytd(budget: DataFrame, category: str | Sequence[str], month: str, value: str, start: str, cutoff: str) -> DataFrame:
     """Mean monthly budget from ``start`` to the cutoff month, and the peak month, per category."""
     span = F.col(month).between(F.lit(start), F.lit(cutoff))
-    return budget.groupBy(category).agg(
+    return budget.groupBy(*([category] if isinstance(category, str) else category)).agg(
         ratio(F.sum(F.when(span, F.col(value))), F.count_if(span)).alias("ytd_budget"), F.max(value).alias("peak_budget")
     )
 

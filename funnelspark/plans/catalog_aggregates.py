@@ -11,6 +11,7 @@ from funnelspark.functions import dates, rules
 from funnelspark.operators import calls as C
 from funnelspark.operators import census as S
 from funnelspark.operators import dedupe as D
+from funnelspark.operators import identity
 from funnelspark.operators import history as H
 from funnelspark.operators import mapping as M
 from funnelspark.operators import quality as Q
@@ -167,6 +168,23 @@ def a7(t):
     return D.merged_members(t.part, "p_name", "p_brand")
 
 
+@query(
+    "a7_identity_closure", "id:i canonical:i group_size:i",
+    sql="""WITH RECURSIVE e AS (
+             SELECT c_custkey AS a, c_custkey + 1 AS b FROM customer WHERE c_nationkey % 4 <> 0 UNION ALL SELECT c_custkey + 2, c_custkey FROM customer WHERE c_nationkey % 5 = 1
+           ), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r AS (SELECT a AS x, a AS y FROM u UNION SELECT r.x, u.b FROM r JOIN u ON u.a = r.y),
+           g AS (SELECT x, min(y) AS least, count(*) AS group_size FROM r GROUP BY x),
+           best AS (SELECT least, first(x ORDER BY coalesce(c_acctbal, 1e18), x) AS canonical FROM g LEFT JOIN customer ON c_custkey = x GROUP BY least)
+           SELECT x AS id, canonical, group_size FROM g JOIN best USING (least)""",
+)
+def a7_closure(t):
+    """Alias pairs of customers, chained and closed to cycles; the member with the least balance names the group."""
+    c = t.customer
+    pairs = c.where("c_nationkey % 4 <> 0").select(F.col("c_custkey").alias("a"), (F.col("c_custkey") + 1).alias("b"))
+    pairs = pairs.union(c.where("c_nationkey % 5 = 1").select(F.col("c_custkey") + 2, F.col("c_custkey")))
+    return identity.canonical_ids(pairs, "a", "b", c.select(F.col("c_custkey").alias("id"), "c_acctbal"), F.col("c_acctbal"))
+
+
 @query(
     "a8_coverage",
     "facility:s patient_days:i unique_ids:i from_date:s to_date:s",

@@ -6,13 +6,14 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from funnelspark.functions import dates
+from funnelspark.functions import dates, rules
 from funnelspark.operators import calls as C
 from funnelspark.operators import census as S
 from funnelspark.operators import dedupe as D
 from funnelspark.operators import dims, finance, scoring
 from funnelspark.operators import quality as Q
 from funnelspark.plans import shapes
+from funnelspark.plans.catalog_functions import BRIEF_SQL
 from funnelspark.plans.registry import query
 from funnelspark.sources.tables import literal_table, normalise_sheet
 
@@ -300,16 +301,16 @@ def c15(t):
 
 @query(
     "c16_commentary", "commentary:s",
-    sql="""
+    sql=f"""
       WITH g AS (SELECT agent_id, count(*) FILTER (WHERE call_date BETWEEN DATE '2024-01-23' AND DATE '2024-01-29') AS a, count(*) FILTER (WHERE call_date BETWEEN DATE '2024-01-16' AND DATE '2024-01-22') AS b
-                 FROM calls WHERE k % 3 = 0 GROUP BY 1),
+                 FROM (SELECT *, {BRIEF_SQL} AS channel FROM calls) WHERE channel = 'PPC' GROUP BY 1),
       d AS (SELECT *, CAST(round(100.0 * ((a - b) / b)) AS INTEGER) AS p, row_number() OVER (ORDER BY a - b, agent_id) AS rn FROM g WHERE b > 0 AND a / b - 1 < -0.15)
       SELECT CASE WHEN count(*) > 0 THEN count(*) || CASE WHEN count(*) = 1 THEN ' rep' ELSE ' reps' END || ' down sharply week over week - ' ||
              string_agg(agent_id || ' ' || CASE WHEN p >= 0 THEN '+' ELSE '' END || p || '%', ' . ' ORDER BY rn) FILTER (WHERE rn <= 3) END AS commentary FROM d""",
     uses=["calls"],
 )
 def c16(t):
-    paid = shapes.calls(t).where(F.col("k") % 3 == 0)
+    paid = shapes.calls(t).where(rules.brief_channel(F.col("source")) == "PPC")
     wow = C.week_over_week(paid, "agent_id", date(2024, 1, 29))
     return C.commentary(wow, "agent_id", [F.col("last7") - F.col("prior7"), F.col("agent_id")], "rep", "reps")
 

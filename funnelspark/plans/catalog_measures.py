@@ -278,15 +278,53 @@ def m15b(t):
     return S.average_census(S.weekly_census(c, "week", "census_date", ["month", "facility"]), ["month", "facility"])
 
 
+_PERIOD = "'p' || ((day({}) - 1) // 10)"
+_FRAME_SQL = f"""
+  WITH c AS (SELECT facility, payor, census_date, census_date + CAST(7 - dayofweek(census_date) AS INTEGER) AS week, {_PERIOD.format("census_date")} AS period FROM census),
+  span AS (SELECT 'actual' AS what, * FROM c WHERE period = 'p2' UNION ALL SELECT 'ytd', * FROM c WHERE period BETWEEN 'p1' AND 'p2'),
+  dates AS (SELECT what, week, facility, count(DISTINCT census_date) AS dates FROM span GROUP BY ALL),
+  cells AS (
+    SELECT d.what, d.week, d.facility, p.payor, count(s.payor) / any_value(d.dates) AS adc
+    FROM dates d JOIN (SELECT DISTINCT what, facility, payor FROM span) p USING (what, facility) LEFT JOIN span s ON s.what = d.what AND s.week = d.week AND s.facility = d.facility AND s.payor = p.payor
+    GROUP BY 1, 2, 3, 4),
+  levels AS (
+    SELECT what, week, facility, payor, sum(adc) AS adc, ['site and segment', 'site', 'segment', 'total'][1 + grouping(facility, payor)] AS level
+    FROM cells GROUP BY GROUPING SETS ((what, week, facility, payor), (what, week, facility), (what, week, payor), (what, week))),
+  a AS (SELECT level, facility, payor, avg(adc) FILTER (WHERE what = 'actual') AS actual, avg(adc) FILTER (WHERE what = 'ytd') AS ytd_actual FROM levels GROUP BY ALL),
+  b0 AS (SELECT 'F' || (o_custkey % 6) AS facility, 'P' || (o_orderkey % 3) AS payor, {_PERIOD.format("o_orderdate")} AS period, sum(o_totalprice) / 1e6 AS amount FROM orders GROUP BY ALL),
+  b1 AS (
+    SELECT facility, payor, period, sum(amount) AS amount, ['site and segment', 'site', 'segment', 'total'][1 + grouping(facility, payor)] AS level
+    FROM b0 GROUP BY GROUPING SETS ((period, facility, payor), (period, facility), (period, payor), (period))),
+  b AS (SELECT level, facility, payor, max(amount) FILTER (WHERE period = 'p2') AS budget, avg(amount) FILTER (WHERE period BETWEEN 'p1' AND 'p2') AS ytd_budget, max(amount) AS peak_budget FROM b1 GROUP BY ALL)
+  SELECT coalesce(a.level, b.level) AS level, coalesce(a.facility, b.facility) AS facility, coalesce(a.payor, b.payor) AS payor, actual, ytd_actual, budget, ytd_budget, peak_budget,
+         actual - budget AS variance, (actual - budget) / nullif(budget, 0) AS variance_pct, ytd_actual - ytd_budget AS ytd_variance, (ytd_actual - ytd_budget) / nullif(ytd_budget, 0) AS ytd_variance_pct
+  FROM a FULL JOIN b ON a.level = b.level AND a.facility IS NOT DISTINCT FROM b.facility AND a.payor IS NOT DISTINCT FROM b.payor"""
+
+
+@query(
+    "m15_census_frame",
+    "level:s facility:s payor:s actual:f ytd_actual:f budget:f ytd_budget:f peak_budget:f variance:f variance_pct:f ytd_variance:f ytd_variance_pct:f",
+    sql=_FRAME_SQL, uses=["census"],
+)
+def m15_frame(t):
+    """Ten-day periods stand for months: the events span one."""
+    period = lambda d: F.concat(F.lit("p"), F.floor((F.dayofmonth(d) - 1) / 10).cast("string"))
+    census = shapes.census(t).select("facility", "payor", "census_date", dates.week_ending_strict(F.col("census_date")).alias("week"), period("census_date").alias("period"))
+    budget = t.orders.select(
+        F.expr("'F' || (o_custkey % 6)").alias("facility"), F.expr("'P' || (o_orderkey % 3)").alias("payor"), period("o_orderdate").alias("period"), (F.col("o_totalprice") / 1e6).alias("amount")
+    )
+    return S.census_frame(census, budget, week="week", month="period", day="census_date", site="facility", segment="payor", amount="amount", start="p1", cutoff="p2")
+
+
 @query(
-    "m16_budget_context", "entity:s ytd_budget:f peak_budget:f",
-    sql="""SELECT entity, sum(amount) FILTER (WHERE strftime(month_ending, '%Y-%m') BETWEEN '2000-01' AND '2000-06') / count(*) FILTER (WHERE strftime(month_ending, '%Y-%m') BETWEEN '2000-01' AND '2000-06') AS ytd_budget,
-           max(amount) AS peak_budget FROM budget WHERE type = 'Revenue' GROUP BY 1""",
+    "m16_budget_context", "entity:s type:s ytd_budget:f peak_budget:f",
+    sql="""SELECT entity, type, sum(amount) FILTER (WHERE strftime(month_ending, '%Y-%m') BETWEEN '2000-01' AND '2000-06') / count(*) FILTER (WHERE strftime(month_ending, '%Y-%m') BETWEEN '2000-01' AND '2000-06') AS ytd_budget,
+           max(amount) AS peak_budget FROM budget GROUP BY 1, 2""",
     uses=["budget"],
 )
 def m16(t):
-    b = shapes.budget(t).where(F.col("type") == "Revenue").withColumn("month", F.date_format("month_ending", "yyyy-MM"))
-    return M.budget_ytd(b, "entity", "month", "amount", "2000-01", "2000-06")
+    b = shapes.budget(t).withColumn("month", F.date_format("month_ending", "yyyy-MM"))
+    return M.budget_ytd(b, ["entity", "type"], "month", "amount", "2000-01", "2000-06")
 
 
 @query(
