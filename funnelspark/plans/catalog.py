@@ -10,6 +10,7 @@ from funnelspark.plans import (  # noqa: F401  (importing registers the queries)
     catalog_aggregates,
     catalog_builders,
     catalog_functions,
+    catalog_jobs,
     catalog_joins,
     catalog_measures,
     catalog_models,
