@@ -286,6 +286,26 @@ def idle_rep_flags(scorecard: DataFrame, rep: str = "agent_id", min_needed: int
     )
 
 
+def form_status(calls: DataFrame, window_days: int = 2) -> DataFrame:
+    """(call_date, forms, not_called): forms a day, and those whose number nobody called within the window.
+
+    Copies of a form (number, time, source, state and label equal) count once; a form without a number cannot be called.
+    """
+    one = ["caller_number", "unix_time", "source", "state", "tracking_label", "call_date"]
+    forms = calls.where(F.col("event_type") == "form_fill").select(*one).distinct()
+    made = calls.where((F.col("event_type") == "voice") & (F.col("direction") == "outbound"))
+    made = made.select(F.col("id").alias("_id"), F.col("caller_number").alias("_called"), F.col("unix_time").alias("_at"))
+    seen = exists_within(forms, made, key="caller_number", event_key="_called", time="unix_time", event_time="_at", event_id="_id", seconds=window_days * DAY)
+    return seen.groupBy("call_date").agg(F.count(F.lit(1)).alias("forms"), count_where(F.col("was_called") == 0).alias("not_called"))
+
+
+def form_flags(status: DataFrame) -> DataFrame:
+    """Days with forms that were not called back."""
+    return status.where("not_called > 0").select(
+        F.lit("forms_not_called").alias("flag"), F.lit("day").alias("kind"), F.concat_ws(" ", "call_date", F.format_string("%d of %d", "not_called", "forms")).alias("subject")
+    )
+
+
 def level_flags(totals: DataFrame, miss_pct: float = 15, median_minutes: float = 60, callback_pct: float = 50) -> DataFrame:
     """Flags of the one-row day totals: miss rate, median callback minutes, callback rate."""
     rows = F.array(
@@ -581,12 +601,17 @@ def rep_table(calls: DataFrame, latest: date, rep: str = "agent_id", name: str =
     )
 
 
-def payload(sections: Mapping[str, DataFrame]) -> DataFrame:
-    """Small report frames as one JSON document per section (section, body)."""
+def payload(sections: Mapping[str, DataFrame], most_rows: int = 10_000) -> DataFrame:
+    """Small report frames as one JSON document per section (section, body).
+
+    A section is one text in one task, so one of more than ``most_rows`` rows is an error; no more than that is gathered to tell.
+    """
     parts = []
     for name, df in sections.items():
-        rows = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("row"))
-        parts.append(rows.agg(F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list("row")), ","), F.lit("]")).alias("body")).select(F.lit(name).alias("section"), "body"))
+        rows = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("row")).limit(most_rows + 1)
+        body = F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list("row")), ","), F.lit("]"))
+        checked = F.when(F.count(F.lit(1)) > most_rows, F.raise_error(F.lit(f"section {name} has more than {most_rows} rows")).cast("string")).otherwise(body)
+        parts.append(rows.agg(checked.alias("body")).select(F.lit(name).alias("section"), "body"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -285,6 +285,34 @@ def a13(t):
     return D.union_all(drops, slow, idle, level)
 
 
+@query(
+    "a13_form_flags", "flag:s kind:s subject:s",
+    sql="""WITH f AS (SELECT DISTINCT caller_number, unix_time, source, state, tracking_label, call_date FROM classified WHERE event_type = 'form_fill'),
+           s AS (SELECT f.call_date, count(*) AS forms, count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM classified o WHERE o.caller_number = f.caller_number AND o.event_type = 'voice'
+                   AND o.direction = 'outbound' AND o.unix_time BETWEEN f.unix_time AND f.unix_time + 172800)) AS not_called FROM f GROUP BY 1)
+           SELECT 'forms_not_called' AS flag, 'day' AS kind, call_date || ' ' || not_called || ' of ' || forms AS subject FROM s WHERE not_called > 0""",
+    uses=["classified"],
+)
+def a13_forms(t):
+    return C.form_flags(C.form_status(C.classify_calls(shapes.calls(t))))
+
+
+@query(
+    "a13_source_flags", "flag:s kind:s subject:s",
+    sql=f"""
+      WITH s AS (SELECT source, count(*) FILTER (WHERE call_date = {_D}) AS n, round(count(*) FILTER (WHERE call_date <> {_D}) / 4, 1) AS b
+                 FROM (SELECT *, {BRIEF_SQL} AS channel FROM calls) WHERE channel = 'PPC' AND (call_date = {_D} OR call_date IN {_BASE}) GROUP BY 1)
+      SELECT 'volume_drop' AS flag, 'PPC' AS kind, source AS subject FROM s WHERE b >= 10 AND n <= b
+      UNION ALL SELECT 'sustained_drop', 'source', source FROM ({_SUSTAINED_SQL.replace("user_id", "source").replace("0.6", "1.1")})""",
+    uses=["calls"],
+)
+def a13_sources(t):
+    """Paid sources below their weekday mean on the day, and sources no more than a tenth above it for two days: the sample has no deeper drops."""
+    c = shapes.calls(t).withColumn("channel", rules.brief_channel(F.col("source")))
+    drops = C.volume_drop_flags(C.weekday_baseline(c.where("channel = 'PPC'"), "source", DAY), "source", "PPC", min_base=10, ratio=1.0)
+    return D.union_all(drops, C.sustained_flags(C.sustained_drop(c, "source", DAY, days=2, ratio=1.1), "source", "source"))
+
+
 @query(
     "a14_rep_scorecard",
     "agent_id:s answered:i missed:i quick_hangup:i outbound:i outbound_connected:i talk_hrs:f callbacks_made:i callbacks_needed:i base_answered:f "
