@@ -16,7 +16,7 @@ from funnelspark.session import build_session  # noqa: E402
 
 QUERIES = [
     "a1_daily_stats", "x1_latest_wins", "scd2_history", "j1_lookback_first_touch", "j2_followup", "j4_tiered_linking",
-    "j6_fuzzy_blocked", "j12_funnel_weekly", "a3_spend_weekly", "a4_stage_counts", "m5_trailing28", "m15_adc", "c2_block_score",
+    "j6_fuzzy_blocked", "j6_similar_words", "j12_funnel_weekly", "a3_spend_weekly", "a4_stage_counts", "m5_trailing28", "m15_adc", "c2_block_score",
     "c12_fin_unified", "w5_merge",
 ]
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
