@@ -165,7 +165,8 @@ def similar_pairs(left: DataFrame, right: DataFrame, block: str, name: str, thre
     if not 67 <= threshold <= 100:
         raise ValueError("threshold must be between 67 and 100")
     pairs = candidate_pairs(left, right, block, name, threshold)
-    scored = pairs.withColumn("score", name_ratio(F.col("left_name"), F.col("right_name")))
+    # Out of an explode: a filter on a plain column would be moved below it and score every pair twice.
+    scored = pairs.select("*", F.explode(F.array(name_ratio(F.col("left_name"), F.col("right_name")))).alias("score"))
     return scored.where(F.col("score") >= int(threshold))
 
 
