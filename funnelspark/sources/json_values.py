@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from funnelspark.session import materialise
 
 _STRING = re.compile(r'"(?:[^"\\]|\\.)*"')
-_SPACE = re.compile(r"[ \t\r\n﻿]*")
+_SPACE = re.compile(r"[ \t\r\n\ufeff]*")
 _decode = json.JSONDecoder().raw_decode
 _VALUES = "path string, text string, broken boolean"
 
@@ -45,7 +45,7 @@ class Splitter:
         todo = deque([line])
         while todo:
             line = todo.popleft()
-            head = line.strip(" \t\r\n﻿")
+            head = line.strip(" \t\r\n\ufeff")
             if not head:
                 continue
             opens = head[0] in "{["
@@ -59,7 +59,7 @@ class Splitter:
             self.depth += bare.count("{") + bare.count("[") - bare.count("}") - bare.count("]")
             self.held.append(line)
             self.last = head[-1]
-            if self.depth <= (1 if self.array or self.held[0].lstrip(" \t﻿")[0] == "[" else 0):
+            if self.depth <= (1 if self.array or self.held[0].lstrip(" \t\ufeff")[0] == "[" else 0):
                 again = yield from self._cut()
                 todo.extendleft(reversed(again))
 

@@ -371,3 +371,23 @@ def test_null_segments_and_keys_are_counted(frame):
     assert sorted((str(r.site), str(r.payor), r.rows, r.adc) for r in weekly.collect()) == [("None", "p", 1, 1.0), ("s", "None", 2, 1.0), ("s", "p", 1, 0.5)]
     days = quality.date_coverage(frame([(None, d(2024, 1, 1)), (None, d(2024, 1, 3)), (None, d(2024, 1, 3))], "k string, day date"), ["k"], "day", low=2)
     assert sorted((r.day.day, r.events, r.status) for r in days.collect()) == [(1, 1, "low"), (2, 0, "zero"), (3, 2, "ok")]
+
+
+def test_payload_refuses_long_sections(frame):
+    df = frame([(i,) for i in range(5)], "n int")
+    assert C.payload({"a": df}, most_rows=5).first().body.count("n") == 5
+    with pytest.raises(Exception, match="section a has more than 4 rows"):
+        C.payload({"a": df}, most_rows=4).collect()
+
+
+def test_forms_that_nobody_called(frame):
+    day, other = date(2024, 1, 1), date(2024, 1, 2)
+    calls = frame(
+        [
+            (1, "n1", 100, "form_fill", "form", day), (2, "n1", 100, "form_fill", "form", day), (3, "n2", 100, "form_fill", "form", day), (4, None, 100, "form_fill", "form", other),
+            (5, "n1", 100, "voice", "outbound", day), (6, "n2", 99, "voice", "outbound", day), (7, "n2", 100 + 2 * 86400 + 1, "voice", "outbound", day), (8, "n2", 200, "voice", "inbound", day),
+        ],
+        "id int, caller_number string, unix_time long, event_type string, direction string, call_date date",
+    ).withColumns({c: F.lit("x") for c in ("source", "state", "tracking_label")})
+    got = {r.call_date: (r.forms, r.not_called) for r in C.form_status(calls).collect()}
+    assert got == {day: (2, 1), other: (1, 1)}
