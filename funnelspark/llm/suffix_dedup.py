@@ -3,17 +3,19 @@
 A string is 50 bytes; it is removed wherever it also starts in a document of smaller id. The steps:
 
 1. *Anchors.* Of the 16-byte grams in a string the one with the smallest hash is its anchor, so equal strings have equal anchors
-   at equal places. Anchors (one in some 20 bytes) travel packed by hash block; those of one text only are dropped.
+   at equal places. Anchors (one in some 20 bytes) travel packed by hash block, with 48 bits of their hashes; those of one text only
+   are dropped. Two grams of one hash only make a context travel for nothing.
 2. *Contexts.* A text sends, for each anchor that others have too, the bytes of the strings that belong to it. Equal contexts that a
    task meets are combined before the shuffle: only the smallest document goes on, the others are decided. Anchors of more than
    ``HOT`` texts send their strings one by one, dealt out by the hash of the whole string, so no group holds all their texts.
 3. *Suffix sort.* In a hash block the suffixes at the string starts of an anchor are merge-sorted, all anchors of the block at once.
    Two suffixes are compared by the length of their common extension, found by binary search over polynomial prefix hashes;
-   neighbours that agree over 50 bytes are verified byte by byte. Each class of equal strings keeps its smallest document.
+   neighbours that agree over 50 bytes are verified byte by byte. Where bytes differ although hashes agree, the work at hand is done
+   again with the next base of ``bases``. Each class of equal strings keeps its smallest document.
 4. Spans go back to their documents and are merged.
 
-Texts that are equal as a whole (by a 64-bit hash and their length) take part once, with their smallest id; their later copies are
-removed whole.
+Texts that are equal as a whole (by two 64-bit hashes and their length) take part once, with their smallest id; their later copies
+are removed whole. The texts are shuffled once, for the contexts and for the result.
 
 Defined results: NULL texts are empty; texts under 50 bytes lose nothing; a row without id neither loses anything nor counts as
 earlier; rows of one id do not take from each other.
@@ -39,24 +41,43 @@ CONTEXT_FLUSH = 4 << 20
 HOT = 50_000
 #: Strings that are sorted at a time (or those of one anchor).
 SORTED = 200_000
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+#: Bytes of text that share a hash block, and texts that share a bucket; each is one task's work.
+BLOCK_BYTES = 256 << 20
+BUCKET_TEXTS = 250_000
+#: Odd bases of the polynomial hashes; a further one is taken where hashes agree and bytes do not.
+BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
+#: Anchor hashes travel with their upper 48 bits.
+_KEPT_BITS = np.uint64(0xFFFFFFFFFFFF0000)
+
+
+class Collision(ArithmeticError):
+    """Two different byte strings share a hash."""
+
+
+def settled(work, bases):
+    """``work(base)`` with the first base under which no two different strings share a hash."""
+    for base in bases:
+        try:
+            return work(base)
+        except Collision:
+            continue
+    raise Collision("different byte strings share their hashes under every base given")
 
 
 class Prefixes:
     """Polynomial prefix hashes of a byte buffer: the hash of any stretch in a few operations."""
 
-    def __init__(self, data: np.ndarray) -> None:
+    def __init__(self, data: np.ndarray, base: int = BASES[0]) -> None:
         n = len(data)
-        self.sum = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(n, _BASE)[:n], dtype=np.uint64)))
-        self.back = powers(n + 1, _INVERSE)
+        self.sum = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(n, np.uint64(base))[:n], dtype=np.uint64)))
+        self.back = powers(n + 1, np.uint64(pow(base, -1, 1 << 64)))
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return (self.sum[end] - self.sum[start]) * self.back[start]
 
     def grams(self, size: int) -> np.ndarray:
         n = len(self.sum) - size
-        return mix((self.sum[size:] - self.sum[:n]) * self.back[:n]) if n > 0 else np.zeros(0, np.uint64)
+        return mix((self.sum[size:] - self.sum[:n]) * self.back[:n]) & _KEPT_BITS if n > 0 else np.zeros(0, np.uint64)
 
 
 def _least(h: np.ndarray, w: int) -> np.ndarray:
@@ -78,6 +99,26 @@ def anchors(column: pa.Array):
             yield r, data[a:b], h, _least(h, LENGTH - GRAM + 1)
 
 
+def _packed_hashes(h: np.ndarray) -> bytes:
+    return binary(np.ascontiguousarray(h).astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:])
+
+
+def _hashes(packed: bytes) -> np.ndarray:
+    six = np.frombuffer(packed, np.uint8).reshape(-1, 6)
+    eight = np.zeros((len(six), 8), np.uint8)
+    eight[:, 2:] = six
+    return eight.view("<u8").ravel()
+
+
+def _packed_owners(at: np.ndarray) -> bytes:
+    """Ascending numbers from zero, without gaps, as one bit each: whether the next number begins."""
+    return binary(np.packbits(np.diff(at, prepend=at[:1]).astype(bool)))
+
+
+def _owners(packed: bytes, n: int) -> np.ndarray:
+    return np.cumsum(np.unpackbits(np.frombuffer(packed, np.uint8), count=n), dtype=np.int64)
+
+
 PACKED = "kind int, block int, keys binary, docs binary, at binary, hashes binary, place binary, ranges binary, bytes binary"
 _SCHEMA = pa.schema([("kind", pa.int32()), ("block", pa.int32()), *((c, pa.binary()) for c in ("keys", "docs", "at", "hashes", "place", "ranges", "bytes"))])
 
@@ -89,19 +130,20 @@ def _block_of(h: np.ndarray, blocks: int) -> np.ndarray:
 def _rows(kind, block, keys, docs, at, hashes, place=None, ranges=None, texts=None) -> pa.RecordBatch | None:
     """One packed row per block; ``texts`` are (start, end) cuts of a byte buffer, in the order of the entries."""
     order = np.argsort(block, kind="stable")
-    block, at, hashes = block[order], at[order], hashes[order]
+    all_at, all_hashes = at, hashes
+    block, at = block[order], at[order]
     cut = np.flatnonzero(np.diff(block)) + 1
     cols: list[list] = [[] for _ in _SCHEMA.names]
     for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(block)]):
         if a == b:
             continue
-        own, local = np.unique(at[a:b], return_inverse=True)
-        row = [kind, int(block[a]), binary(keys[own]), binary(docs[own]), binary(local.astype(np.uint32)), binary(hashes[a:b]), b"", b"", b""]
+        o = order[a:b][np.argsort(at[a:b], kind="stable")]
+        own, local = np.unique(all_at[o], return_inverse=True)
+        row = [kind, int(block[a]), binary(keys[own]), binary(docs[own]), _packed_owners(local), _packed_hashes(all_hashes[o]), b"", b"", b""]
         if place is not None:
-            o = order[a:b]
             size = texts[2][o] - texts[1][o]
             flat = np.repeat(texts[1][o] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
-            row[6:] = binary(place[o]), binary(ranges[o]), binary(texts[0][flat])
+            row[6:] = binary(place[o]), binary(ranges[o]), pa.compress(binary(texts[0][flat]), codec="zstd", asbytes=True) if len(flat) else b""
         for c, v in zip(cols, row):
             c.append(v)
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _SCHEMA.types)], schema=_SCHEMA) if cols[0] else None
@@ -110,37 +152,41 @@ def _rows(kind, block, keys, docs, at, hashes, place=None, ranges=None, texts=No
 def _gathered(table: pa.Table) -> dict[str, np.ndarray]:
     out: dict[str, list] = {c: [] for c in ("key", "doc", "hash", "place", "range", "bytes")}
     for k, d, a, h, p, r, t in zip(*(table.column(c).to_pylist() for c in _SCHEMA.names[2:])):
-        a = np.frombuffer(a, np.uint32)
+        h = _hashes(h)
+        a = _owners(a, len(h))
+        r = np.frombuffer(r, np.uint8).reshape(-1, 2)
         out["key"].append(np.frombuffer(k, np.int64)[a])
-        out["doc"].append(np.frombuffer(d, np.int64)[a])
-        out["hash"].append(np.frombuffer(h, np.uint64))
+        d = np.frombuffer(d, np.uint8)
+        out["doc"].append(d.view(np.int64 if len(d) == len(k) else np.uint32)[a])
+        out["hash"].append(h)
         out["place"].append(np.frombuffer(p, np.int32))
-        out["range"].append(np.frombuffer(r, np.uint8).reshape(-1, 2))
-        out["bytes"].append(np.frombuffer(t, np.uint8))
+        out["range"].append(r)
+        out["bytes"].append(np.frombuffer(pa.decompress(t, int(r[:, 1].sum()) + LENGTH * len(r), codec="zstd", asbytes=True) if t else b"", np.uint8))
     return {c: np.concatenate(v) for c, v in out.items()}
 
 
 def anchor_blocks(docs: DataFrame, blocks: int) -> DataFrame:
-    """Distinct anchors of (doc_id, text, tk), packed by hash block. Copies inside one flush are sent once."""
+    """Distinct anchors of (text, tk, check), packed by hash block. Copies inside one flush are sent once."""
 
     def run(batches):
-        keys: dict[int, int] = {}
+        keys: dict[tuple[int, int], int] = {}
         hashes: list[np.ndarray] = []
         held = 0
 
         def flush():
             nonlocal held
             if hashes:
-                own = np.fromiter(keys, np.int64, len(keys))
+                own = np.array(list(keys), np.int64)
+                check = (own[:, 1].astype(np.uint64) >> np.uint64(32)).astype(np.uint32)
                 h = np.concatenate(hashes)
-                yield _rows(1, _block_of(h, blocks), own, own, np.repeat(np.arange(len(own)), [len(x) for x in hashes]), h)
+                yield _rows(1, _block_of(h, blocks), own[:, 0], check, np.repeat(np.arange(len(own)), [len(x) for x in hashes]), h)
             keys.clear()
             hashes.clear()
             held = 0
 
         for batch in batches:
             for part in slices(batch, "text"):
-                tk = part.column("tk").to_pylist()
+                tk = list(zip(part.column("tk").to_pylist(), part.column("check").to_pylist()))
                 for r, data, _, low in anchors(part.column("text")):
                     if tk[r] not in keys:
                         keys[tk[r]] = r
@@ -150,7 +196,7 @@ def anchor_blocks(docs: DataFrame, blocks: int) -> DataFrame:
                     yield from flush()
         yield from flush()
 
-    return docs.mapInArrow(run, PACKED)
+    return docs.select("text", "tk", "check").mapInArrow(run, PACKED)
 
 
 def _shared(key, table: pa.Table, buckets: int, hottest: int) -> pa.Table:
@@ -160,43 +206,57 @@ def _shared(key, table: pa.Table, buckets: int, hottest: int) -> pa.Table:
     h = e["hash"][order]
     same = h[1:] == h[:-1]
     order = order[np.concatenate(([False], same)) | np.concatenate((same, [False]))]
-    order = order[np.lexsort((e["key"][order], e["hash"][order]))]
-    h, k = e["hash"][order], e["key"][order]
-    fresh = np.concatenate(([True], (h[1:] != h[:-1]) | (k[1:] != k[:-1]))) if len(h) else np.zeros(0, bool)
+    order = order[np.lexsort((e["doc"][order], e["key"][order], e["hash"][order]))]
+    h, k, c = e["hash"][order], e["key"][order], e["doc"][order]
+    fresh = np.concatenate(([True], (h[1:] != h[:-1]) | (k[1:] != k[:-1]) | (c[1:] != c[:-1]))) if len(h) else np.zeros(0, bool)
     h, k = h[fresh], k[fresh]
     column = np.cumsum(np.concatenate(([0], h[1:] != h[:-1]))) if len(h) else np.zeros(0, np.int64)
     count = np.bincount(column)[column] if len(h) else column
     h, k, hot = h[count > 1], k[count > 1], count[count > 1] > hottest
     own, at = np.unique(k, return_inverse=True)
     ranges = np.column_stack((hot, hot)).astype(np.uint8)
-    packed = _rows(1, (k.view(np.uint64) % np.uint64(buckets)).astype(np.int32), own, own, at, h, np.zeros(len(h), np.int32), ranges, (np.zeros(0, np.uint8), at * 0, at * 0)) if len(h) else None
+    packed = _rows(1, np.mod(k, buckets).astype(np.int32), own, own, at, h, np.zeros(len(h), np.int32), ranges, (np.zeros(0, np.uint8), at * 0, at * 0)) if len(h) else None
     return pa.Table.from_batches([packed] if packed else [], _SCHEMA)
 
 
-def _by_text(key, table: pa.Table) -> pa.Table:
-    """(tk, sorted shared anchors, those of them that are hot) of a bucket of texts."""
-    e = _gathered(table)
+def _by_text(key, table: pa.Table, least: pa.Table) -> pa.Table:
+    """(doc_id, tk, sorted shared anchors, those of them that are hot) of a bucket of texts, for the smallest document of each text."""
+    e = _gathered(table) if table.num_rows else {"hash": np.zeros(0, np.uint64), "key": np.zeros(0, np.int64), "range": np.zeros((0, 2), np.uint8)}
     order = np.lexsort((e["hash"], e["key"]))
     k, h, hot = e["key"][order], e["hash"][order], e["range"][order, 0] > 0
-    cut = [0, *(np.flatnonzero(k[1:] != k[:-1]) + 1).tolist(), len(k)]
-    return pa.table({"tk": pa.array(k[cut[:-1]], pa.int64()), "shared": pa.array([binary(h[a:b]) for a, b in zip(cut, cut[1:])], pa.binary()), "hot": pa.array([binary(h[a:b][hot[a:b]]) for a, b in zip(cut, cut[1:])], pa.binary())})
+    doc, tk = (least.column(c).to_numpy() for c in ("least", "tk"))
+    a, b = np.searchsorted(k, tk), np.searchsorted(k, tk, "right")
+    some = np.flatnonzero(a < b)
+    shared, hottest = ([_packed_hashes(v) for v in values] for values in ([h[a[i] : b[i]] for i in some], [h[a[i] : b[i]][hot[a[i] : b[i]]] for i in some]))
+    return pa.table({"doc_id": pa.array(doc[some], pa.int64()), "tk": pa.array(tk[some], pa.int64()), "shared": pa.array(shared, pa.binary()), "hot": pa.array(hottest, pa.binary())})
 
 
-def contexts(rows: DataFrame, blocks: int) -> DataFrame:
+def contexts(rows: DataFrame, blocks: int, bases: tuple[int, ...] = BASES) -> DataFrame:
     """Packed contexts of the shared anchors of (doc_id, tk, text, shared, hot), and under negative blocks what is decided at once."""
 
     def combined(keys, docs, at, h, place, ranges, hot, data, start, end):
-        whole = mix(Prefixes(data).of(start, end) ^ mix(h + ranges[:, 0] * np.uint64(256) + ranges[:, 1]))
-        order = np.lexsort((docs[at], whole))
-        first = np.maximum.accumulate(np.where(np.concatenate(([True], whole[order][1:] != whole[order][:-1])), np.arange(len(order)), 0))
-        lead = order[first]
-        _verify(data, start[order], start[lead], (end - start)[order], (end - start)[lead])
+        def hashed(base):
+            return mix(Prefixes(data, base).of(start, end) ^ mix(h + ranges[:, 0] * np.uint64(256) + ranges[:, 1]))
+
+        def leaders(base):
+            whole = hashed(base)
+            order = np.lexsort((docs[at], whole))
+            first = np.maximum.accumulate(np.where(np.concatenate(([True], whole[order][1:] != whole[order][:-1])), np.arange(len(order)), 0))
+            lead = order[first]
+            _verify(data, start[order], start[lead], (end - start)[order], (end - start)[lead])
+            if (h[order] != h[lead]).any() or (ranges[order] != ranges[lead]).any():
+                raise Collision
+            return order, lead
+
+        order, lead = settled(leaders, bases)
+        # Strings of hot anchors are dealt out by the first base in every task, whatever base told them apart here.
+        dealt = np.where(hot, hashed(bases[0]), h) if hot.any() else h
         later = docs[at[order]] > docs[at[lead]]
         done, rest = order[later], order[~later]
         if len(done):
             block = np.full(len(done), -1 - int(abs(keys[0]) % blocks), np.int32)
             yield _rows(0, block, keys, docs, at[done], h[done], (place[done] - ranges[done, 0]).astype(np.int32), ranges[done], (data[:0], done * 0, done * 0))
-        packed = _rows(1, _block_of(np.where(hot, whole, h)[rest], blocks), keys, docs, at[rest], h[rest], place[rest], ranges[rest], (data, start[rest], end[rest]))
+        packed = _rows(1, _block_of(dealt[rest], blocks), keys, docs, at[rest], h[rest], place[rest], ranges[rest], (data, start[rest], end[rest]))
         if packed:
             yield packed
 
@@ -224,7 +284,7 @@ def contexts(rows: DataFrame, blocks: int) -> DataFrame:
             for part in slices(batch, "text"):
                 tk, ids, shared, hot = (part.column(c).to_pylist() for c in ("tk", "doc_id", "shared", "hot"))
                 for r, data, h, low in anchors(part.column("text")):
-                    some = np.frombuffer(shared[r], np.uint64)
+                    some, hottest = _hashes(shared[r]), _hashes(hot[r])
                     found = np.minimum(np.searchsorted(some, low), len(some) - 1)
                     start = np.flatnonzero(some[found] == low)
                     if not len(start):
@@ -243,7 +303,7 @@ def contexts(rows: DataFrame, blocks: int) -> DataFrame:
                     p = place[cut]
                     # From the first start to the anchor, and to the last start; both are under LENGTH.
                     ranges = np.column_stack((p - start[cut], start[last] - start[cut])).astype(np.uint8)
-                    parts.append((h[p], p.astype(np.int32), ranges, data, np.isin(h[p], np.frombuffer(hot[r], np.uint64))))
+                    parts.append((h[p], p.astype(np.int32), ranges, data, np.isin(h[p], hottest)))
                     keys.append(tk[r])
                     docs.append(ids[r])
                     size += len(data)
@@ -313,7 +373,7 @@ def sort_suffixes(data: np.ndarray, prefix: Prefixes, suffix: np.ndarray, group:
     return order
 
 
-def _spans(key, table: pa.Table, most: int) -> pa.Table:
+def _spans(key, table: pa.Table, most: int, bases: tuple[int, ...] = BASES) -> pa.Table:
     """(doc_id, tk, a, b): removed bytes of each text, from the strings of one block of anchors, a bounded number at a time."""
     e = _gathered(table)
     start = e["place"].astype(np.int64)
@@ -330,7 +390,8 @@ def _spans(key, table: pa.Table, most: int) -> pa.Table:
     for a, b in zip(cut, np.append(cut[1:], len(h))):
         o = order[a:b]
         flat = np.repeat(begin[o] - np.cumsum(size[o]) + size[o], size[o]) + np.arange(int(size[o].sum()))
-        out.append(_sorted_spans({c: v[flat] if c == "bytes" else v[o] for c, v in e.items()}))
+        some = {c: v[flat] if c == "bytes" else v[o] for c, v in e.items()}
+        out.append(settled(lambda base: _sorted_spans(some, base), bases))
     return pa.concat_tables(out)
 
 
@@ -338,13 +399,13 @@ def _removed(doc: np.ndarray, tk: np.ndarray, a: np.ndarray, b: np.ndarray) -> p
     return pa.table({"doc_id": pa.array(doc, pa.int64()), "tk": pa.array(tk, pa.int64()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _sorted_spans(e: dict[str, np.ndarray]) -> pa.Table:
+def _sorted_spans(e: dict[str, np.ndarray], base: int) -> pa.Table:
     n = len(e["hash"])
     width = e["range"][:, 1].astype(np.int64)
     size = width + LENGTH
     begin = np.cumsum(size) - size
     data = e["bytes"]
-    prefix = Prefixes(data)
+    prefix = Prefixes(data, base)
     whole = mix(prefix.of(begin, begin + size) + e["range"][:, 0] * np.uint64(256) + e["range"][:, 1])
     order = np.lexsort((e["doc"], whole, e["hash"]))
     h, w = e["hash"][order], whole[order]
@@ -391,7 +452,7 @@ def _sorted_spans(e: dict[str, np.ndarray]) -> pa.Table:
 
 
 def _verify(data: np.ndarray, a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> None:
-    """Stretches that hashes call equal must be equal; a collision stops the job rather than remove other text."""
+    """Stretches that hashes call equal must be equal."""
     move = np.flatnonzero(a != b)
     for k in range(0, len(move), 1 << 14):
         m = move[k : k + (1 << 14)]
@@ -399,31 +460,35 @@ def _verify(data: np.ndarray, a: np.ndarray, b: np.ndarray, size_a: np.ndarray,
         flat = np.repeat(a[m] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
         shift = np.repeat(b[m] - a[m], size)
         if (size != size_b[m]).any() or (data[flat] != data[flat + shift]).any():
-            raise ArithmeticError("two different byte strings share a 64-bit hash; choose another base")
+            raise Collision
 
 
-def find(docs: DataFrame, text: str = "text", hot: int = HOT, most: int = SORTED) -> DataFrame:
+def find(docs: DataFrame, text: str = "text", hot: int = HOT, most: int = SORTED, bases: tuple[int, ...] = BASES) -> DataFrame:
     """(doc_id, text, copy, spans) of every row: whether an earlier document has the whole text, and the removed stretches, unmerged."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = 2 * parts
-    raw = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    # Ids that are longs already stay the column they are: with an alias the two readers of the text shuffle would not be seen as one.
+    doc_id = F.col("doc_id") if dict(docs.dtypes).get("doc_id") == "bigint" else F.col("doc_id").cast("long").alias("doc_id")
+    raw = docs.select(doc_id, F.coalesce(F.col(text), F.lit("")).alias("text"))
     keyed = raw.where(F.col("doc_id").isNotNull()).withColumn("tk", F.xxhash64("text", F.octet_length("text")))
-    ids = materialise(keyed.where(F.octet_length("text") >= LENGTH).select("doc_id", "tk"), "dedup-ids")
-    least = ids.groupBy("tk").agg(F.min("doc_id").alias("least"))
-    copies = ids.join(least, "tk").where(F.col("doc_id") > F.col("least")).select("doc_id", "tk", F.lit(True).alias("copy")).distinct()
-
-    shared = anchor_blocks(keyed, blocks).groupBy("block").applyInArrow(lambda k, t: _shared(k, t, parts, hot), PACKED)
-    shared = shared.groupBy("block").applyInArrow(lambda k, t: _by_text(k, t), "tk long, shared binary, hot binary")
-    shared = shared.join(least, "tk").select(F.col("least").alias("doc_id"), "tk", "shared", "hot")
-    # Both joins to the texts have the same keys, so their one shuffle serves both.
-    found = contexts(keyed.join(shared, ["doc_id", "tk"]), blocks).groupBy("block").applyInArrow(lambda k, t: _spans(k, t, most), "doc_id long, tk long, a long, b long")
+    check = F.xxhash64(F.lit(1), "text").alias("check")
+    ids = materialise(keyed.where(F.octet_length("text") >= LENGTH).select("doc_id", "tk", check, F.octet_length("text").alias("size")), "dedup-ids")
+    total = ids.agg(F.count("*").alias("texts"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks, buckets = max(2 * parts, total["bytes"] // BLOCK_BYTES), max(parts, total["texts"] // BUCKET_TEXTS)
+    least = ids.groupBy("tk", "check").agg(F.min("doc_id").alias("least"))
+    copies = ids.join(least, ["tk", "check"]).where(F.col("doc_id") > F.col("least")).select("doc_id", "tk", F.lit(True).alias("copy")).distinct()
+
+    shared = anchor_blocks(keyed.select("text", "tk", check), blocks).groupBy("block").applyInArrow(lambda k, t: _shared(k, t, buckets, hot), PACKED)
+    firsts = least.select(F.pmod("tk", F.lit(buckets)).cast("int").alias("block"), "tk", "least")
+    shared = shared.groupBy("block").cogroup(firsts.groupBy("block")).applyInArrow(lambda k, t, own: _by_text(k, t, own), "doc_id long, tk long, shared binary, hot binary")
+    # Both joins to the texts have the same keys and read the same columns, so one shuffle serves both.
+    found = contexts(keyed.join(shared, ["doc_id", "tk"]), blocks, bases).groupBy("block").applyInArrow(lambda k, t: _spans(k, t, most, bases), "doc_id long, tk long, a long, b long")
     spans = found.groupBy("doc_id", "tk").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
     out = keyed.join(spans, ["doc_id", "tk"], "left").join(copies, ["doc_id", "tk"], "left")
     out = out.select("doc_id", "text", F.coalesce("copy", F.lit(False)).alias("copy"), F.coalesce("spans", F.array().cast("array<struct<a:bigint,b:bigint>>")).alias("spans"))
     return out.unionByName(raw.where(F.col("doc_id").isNull()).select("doc_id", "text", F.lit(False).alias("copy"), F.array().cast("array<struct<a:bigint,b:bigint>>").alias("spans")))
 
 
-def dedup(docs: DataFrame, text: str = "text", hot: int = HOT, most: int = SORTED) -> DataFrame:
+def dedup(docs: DataFrame, text: str = "text", hot: int = HOT, most: int = SORTED, bases: tuple[int, ...] = BASES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes left; cutting may split a character)."""
 
     def run(batches):
@@ -448,4 +513,4 @@ def dedup(docs: DataFrame, text: str = "text", hot: int = HOT, most: int = SORTE
                 arrays = [part.column("doc_id"), pa.array(np.diff(offsets)), *(pa.array(v, t) for v, t in zip(out, types))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    return find(docs, text, hot, most).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return find(docs, text, hot, most, bases).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

@@ -426,8 +426,9 @@ def removed(rows, size=50):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("seed,hot,most", [(1, 50_000, 200_000), (2, 3, 200_000), (3, 1, 50)])
-def test_suffix_dedup_equals_scan(spark, seed, hot, most):
+@pytest.mark.parametrize("seed,hot,most,bases", [(1, 50_000, 200_000, (1, suffix_dedup.BASES[1])), (2, 3, 200_000, suffix_dedup.BASES), (3, 1, 50, suffix_dedup.BASES)])
+def test_suffix_dedup_equals_scan(spark, seed, hot, most, bases):
+    """Under base 1 strings with their bytes in another order share a hash; the next base tells them apart."""
     rng = random.Random(seed)
     shared = ["".join(rng.choice("ab é") for _ in range(rng.randrange(30, 130))) for _ in range(12)]
     rows = []
@@ -435,7 +436,7 @@ def test_suffix_dedup_equals_scan(spark, seed, hot, most):
         text = "".join(rng.choice([rng.choice(shared), "".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(40))), "a" * rng.randrange(70)]) for _ in range(rng.randrange(6)))
         rows.append((i * 13 % 127, text))
     rows += [(200, rows[3][1]), (201, rows[3][1]), rows[5], (None, rows[7][1])]
-    got = suffix_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string"), hot=hot, most=most).drop("kept")
+    got = suffix_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string"), hot=hot, most=most, bases=bases).drop("kept")
     assert sorted((tuple(r) for r in got.collect()), key=str) == removed(rows)
 
 
@@ -445,6 +446,36 @@ def test_suffix_dedup_odd(odd, empty):
     assert suffix_dedup.dedup(empty).count() == 0
 
 
+def test_texts_of_one_key_stay_apart():
+    """Two texts whose first hash agrees are two texts: an anchor that only they share is shared."""
+    h = np.array([1 << 40, 1 << 41, 1 << 40], np.uint64)
+    row = suffix_dedup._rows(1, np.zeros(3, np.int32), np.array([7, 7]), np.array([1, 2], np.uint32), np.array([0, 0, 1]), h)
+    out = suffix_dedup._gathered(suffix_dedup._shared(None, pa.Table.from_batches([row]), 4, 9))
+    assert set(out["key"].tolist()) == {7} and set(out["hash"].tolist()) == {1 << 40}
+
+
+def test_hash_collisions_take_the_next_base():
+    rows = [b"ab" * 30, b"ba" * 30]
+    data = np.frombuffer(b"".join(rows), np.uint8)
+    e = {"hash": np.zeros(2, np.uint64), "key": np.array([1, 2]), "doc": np.array([1, 2]), "place": np.zeros(2, np.int32), "range": np.array([[0, 10], [0, 10]], np.uint8), "bytes": data}
+    with pytest.raises(suffix_dedup.Collision):
+        suffix_dedup._sorted_spans(e, 1)
+    assert suffix_dedup.settled(lambda base: suffix_dedup._sorted_spans(e, base), (1, suffix_dedup.BASES[0])).num_rows == 0
+
+
+def test_texts_are_shuffled_once(spark, tmp_path):
+    spark.createDataFrame([(i, f"{'the same words again and again ' * 4}{i % 7}") for i in range(60)], "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = suffix_dedup.dedup(spark.read.parquet(str(tmp_path / "d")))
+        got.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert re.search(r"ReusedExchange \[doc_id#\d+L, text#\d+, tk#\d+L\]", plan)
+
+
 def test_suffixes_are_sorted():
     rng = np.random.default_rng(4)
     data = rng.integers(97, 99, 3000).astype(np.uint8)
