@@ -2,11 +2,12 @@
 
 A bounded sample's neighbour graph is cut into balanced parts (recursive spectral bisection at the median, then swaps that keep
 the balance); a small network learns which parts hold a vector's neighbours. Every vector is indexed under its most probable
-part; a query visits its most probable parts until their summed probability reaches a level, and what it meets is ranked
-by exact distance. The level is the smallest that reaches ``recall`` for calibration queries whose neighbours are found by
-brute force over all rows in blocks.
+part; a query visits its most probable parts until their summed probability reaches a level and they hold more than k rows, and
+what it meets is ranked by exact distance. The level is the smallest that reaches ``recall`` for calibration queries, which the
+router was not fitted on and whose neighbours are found by brute force over all rows in blocks.
 
 Bounds: the sample (``SAMPLE`` vectors), ``CALIBRATION`` queries and ``PARTS`` parts, whatever the input. All rows are indexed.
+Beyond ``PARTS`` times ``PART_ROWS`` rows parts grow with the input, and with them what a query meets.
 Parts are dealt out in blocks of ``BLOCK`` rows (and blocks of queries), so a part that holds a third of all rows is shared out.
 
 Defined results: NULL ids, NULL, zero and non-finite vectors and vectors of another than the usual length take no part; rows of
@@ -107,12 +108,13 @@ class Router:
         z = np.exp(z - z.max(1, keepdims=True))
         return z / z.sum(1, keepdims=True)
 
-    def visits(self, x: np.ndarray, level: float) -> list[list[int]]:
-        """Most probable parts, until their probabilities add up to ``level``."""
+    def visits(self, x: np.ndarray, level: float, rows: np.ndarray, need: int) -> list[list[int]]:
+        """Most probable parts, until their probabilities add up to ``level`` and their ``rows`` to ``need`` (or all parts)."""
         p = self.probabilities(x)
         order = np.argsort(-p, axis=1, kind="stable")
         before = np.cumsum(np.take_along_axis(p, order, 1), 1) - np.take_along_axis(p, order, 1)
-        return [o[b < level].tolist() for o, b in zip(order, before)]
+        held = np.cumsum(rows[order], 1) - rows[order]
+        return [o[go].tolist() for o, go in zip(order, (before < level) | (held < need))]
 
 
 def fit_router(x: np.ndarray, parts: int, hidden: int = 128, epochs: int = 15, rate: float = 2e-3) -> Router:
@@ -205,14 +207,22 @@ def usable(table: DataFrame, vec_id: str, vector: str) -> tuple[DataFrame, int]:
     return materialise(rows.mapInArrow(pack, "vec_id long, v binary"), "ann-vectors"), d
 
 
+def _sample(rows: DataFrame, total: int, most: int) -> DataFrame:
+    """The ``most`` rows of smallest id hashes. A bound on the hash leaves some twice as many to sort, from however many partitions."""
+    bound = int(min(2 * most + 1000, total) / max(total, 1) * 2.0**64) - 2**63 - 1
+    near = rows if total <= 2 * most + 1000 else rows.where(F.xxhash64("vec_id") <= F.lit(bound))
+    return near.orderBy(F.xxhash64("vec_id"), "vec_id").limit(most)
+
+
 def search(table: DataFrame, is_query: Column, k: int = 10, recall: float = 0.95, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest found of each row for which ``is_query`` (an expression of vec_id) holds."""
     rows, d = usable(table, vec_id, vector)
     total = rows.count()
     parts = 1 << max(0, min(int(math.log2(PARTS)), round(math.log2(max(total, 1) / PART_ROWS))))
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas()
+    sample = _sample(rows, total, SAMPLE + CALIBRATION).toPandas()
     x = np.frombuffer(b"".join(map(bytes, sample["v"])), np.float64).reshape(len(sample), d)
-    router = fit_router(x, parts)
+    fitted = len(sample) - min(CALIBRATION, len(sample) // 8)
+    router = fit_router(x[:fitted], parts)
 
     def assign(batches):
         for b in batches:
@@ -221,11 +231,14 @@ def search(table: DataFrame, is_query: Column, k: int = 10, recall: float = 0.95
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(part, pa.int32())], names=["vec_id", "v", "part"])
 
     indexed = materialise(rows.mapInArrow(assign, "vec_id long, v binary, part int"), "ann-index")
-    level = _level(indexed, router, x[:CALIBRATION], sample["vec_id"].to_numpy(np.int64)[:CALIBRATION], k, d, recall)
+    level = _level(indexed, router, x[fitted:], sample["vec_id"].to_numpy(np.int64)[fitted:], k, d, recall)
+    held = np.zeros(parts, np.int64)
+    for r in indexed.groupBy("part").count().collect():  # at most PARTS rows
+        held[r["part"]] = r["count"]
 
     def route(batches):
         for b in batches:
-            visits = router.visits(_vectors(b.column(1), d), level) if b.num_rows else []
+            visits = router.visits(_vectors(b.column(1), d), level, held, k + 1) if b.num_rows else []
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(visits, pa.list_(pa.int32()))], names=["vec_id", "v", "parts"])
 
     asked = indexed.where(is_query).select("vec_id", "v").mapInArrow(route, "vec_id long, v binary, parts array<int>")

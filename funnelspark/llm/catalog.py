@@ -66,14 +66,19 @@ def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.dedup(table(spark, folder, "documents").select("doc_id", "text")).drop("kept")
 
 
+def _positions():
+    """Training times of a row's passes, to nine places as the comparison has them."""
+    return F.transform("positions", lambda p: F.round(p, 9)).alias("positions")
+
+
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
-    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", _positions())
 
 
 def op10_mixing_positions(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
-    return mixing.mix(docs).select("doc_id", "taken", F.transform("positions", lambda p: F.round(p, 9)).alias("positions"))
+    return mixing.mix(docs).select("doc_id", "taken", _positions())
 
 
 def op11_simhash(spark: SparkSession, folder: str) -> DataFrame:
@@ -153,6 +158,7 @@ FROM d LEFT JOIN e USING (doc_id)
 
 
 # Water-filling over the sources in order of cap / weight; then each source's documents in keyed order fill its target.
+# One training time a pass: the default schedules have one segment each, so their integral is inverted in closed form.
 OP10_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
@@ -165,25 +171,19 @@ WITH d AS (
   SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER before, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
   FROM w WINDOW before AS (ORDER BY turn, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), t AS (
-  SELECT source, source_size, CASE WHEN source_size = 0 THEN 0 ELSE least(cap, weight * (SELECT arg_min(level, turn) FROM l WHERE level <= turn)) END AS target FROM l
+  SELECT source, source_size, rank, CASE WHEN source_size = 0 THEN 0 ELSE least(cap, weight * (SELECT arg_min(level, turn) FROM l WHERE level <= turn)) END AS target FROM l
 ), r AS (
-  SELECT d.*, t.source_size, t.target, floor(t.target / greatest(t.source_size, 1)) AS passes,
+  SELECT d.*, t.source_size, t.target, t.rank, floor(t.target / greatest(t.source_size, 1)) AS passes,
          coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS placed
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
-)
-SELECT doc_id, size::bigint AS size, source_size::bigint AS source_size, target,
-       (passes * size + greatest(0, least(size, round(target - passes * source_size) - placed)))::bigint AS taken FROM r
-"""
-
-# The same rows with one training time a pass: the default schedules have one segment each, so their integral is inverted in closed form.
-OP10_POSITIONS_SQL = OP10_SQL[: OP10_SQL.rindex("SELECT doc_id")].replace("t.target, floor", "t.target, t.rank, floor").replace("SELECT source, source_size, CASE", "SELECT source, source_size, rank, CASE").rstrip() + r"""
-, k AS (
+), k AS (
   SELECT *, (passes * size + greatest(0, least(size, round(target - passes * source_size) - placed)))::bigint AS taken,
          [1.6, 1.0, 0.4][(rank % 3 + 1)::int]::double AS w0, [0.4, 1.0, 1.6][(rank % 3 + 1)::int]::double AS w1 FROM r
 )
-SELECT doc_id, taken, CASE WHEN taken = 0 THEN [] ELSE list_transform(range(0, ceil(taken / size)::bigint),
+SELECT doc_id, size::bigint AS size, source_size::bigint AS source_size, target, taken, CASE WHEN taken = 0 THEN [] ELSE list_transform(range(0, ceil(taken / size)::bigint),
          lambda e: round(least(1.0, 2 * ((placed + e * source_size) / target) / (w0 + sqrt(greatest(w0 * w0 + 2 * (w1 - w0) * ((placed + e * source_size) / target), 0)))), 9)) END AS positions FROM k
 """
+OP10_POSITIONS_SQL = OP10_SQL.replace("SELECT doc_id, size::bigint AS size, source_size::bigint AS source_size, target, taken,", "SELECT doc_id, taken,")
 
 # crc32 by a table of 256 steps: {bytes} is a list of whole numbers.
 CRC_TABLE = """crc_steps(i, k, c) AS (

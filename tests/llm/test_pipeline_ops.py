@@ -405,6 +405,25 @@ def test_surrogates_stay_distinct(spark):
         assert len(set(found.values())) == len(found) and not set(found.values()) & set(found)
 
 
+# Op 6, parts too small for k
+
+
+def test_visits_hold_more_than_k_rows():
+    """A query sure of a part with three rows goes on to the next likely ones; with too few rows in all, every part is visited."""
+    router = ann.Router([np.eye(4), np.zeros(4), 50 * np.eye(4), np.zeros(4)], 4)
+    x = np.array([[1.0, 0.2, 0.1, 0.0]])
+    assert router.visits(x, 0.5, np.array([100, 9, 9, 9]), 11) == [[0]]
+    assert router.visits(x, 0.5, np.array([3, 4, 5, 900]), 11) == [[0, 1, 2]]
+    assert router.visits(x, 0.5, np.array([3, 0, 1, 2]), 11) == [[0, 1, 2, 3]]
+
+
+def test_sample_bound_takes_the_smallest_hashes(spark):
+    rows = spark.range(9000).select(F.col("id").alias("vec_id"), F.lit(b"").alias("v"))
+    want = [r[0] for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(500).collect()]
+    assert [r[0] for r in ann._sample(rows, 9000, 500).collect()] == want
+    assert ann._sample(rows.limit(40), 40, 500).count() == 40 and ann._sample(rows.limit(0), 0, 500).count() == 0
+
+
 # Op 9
 
 
