@@ -1,8 +1,9 @@
 """Time-windowed matching without pairing all events of a key.
 
 Both operators replace an equality-plus-range join. That join forms every pair of a key inside the
-window, which is quadratic for a key with many events; here each row is shuffled once and every row
-looks at one neighbour, so the work is linear whatever the key distribution.
+window, which is quadratic for a key with many events; here both sides are cut to one row per key and time, every
+row looks at one neighbour, and the answers are joined back, so the work is linear whatever the key
+distribution and no window group grows with the data.
 """
 
 from __future__ import annotations
@@ -14,14 +15,53 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _PLAIN = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+#: Time units of one window group; with one row per key and unit on either side a group has at most twice as many rows.
+_SPAN = 3600
 
 
-def _null_spread(df: DataFrame, slots: int = 4096) -> Column:
+def null_spread(df: DataFrame, slots: int = 4096) -> Column:
     """Repeatable slot for rows without a key, so they do not gather in one partition."""
     plain = [f.name for f in df.schema.fields if isinstance(f.dataType, _PLAIN)]
     return F.pmod(F.xxhash64(*plain), F.lit(slots))
 
 
+def first_lookup(starts: DataFrame, events: DataFrame, *, length: int, include_start: bool = False) -> DataFrame:
+    """First event at or after every (``_key``, ``_t``) of ``starts``, at most ``length`` later: these two and ``_event``.
+
+    ``events`` has ``_key``, ``_t`` and a struct ``_event`` that begins with ``t`` and ``id``. Both sides are cut to one row
+    per key and time before they meet, combined in each task: of events at one time only the least can be an answer, and all
+    starts at one time have the same answer. A window group is a key's span of ``_SPAN`` units, so it has at most
+    ``2 * _SPAN + 1`` rows however many records crowd into it; the first event of later spans reaches a group as one row.
+    """
+    starts = starts.select("_key", "_t").distinct()
+    hits = events.groupBy("_key", "_t").agg(F.min("_event").alias("_event"))
+    span = F.floor(F.col("_t") / _SPAN).cast("long")
+    event_type = hits.schema["_event"].dataType
+    probes = starts.select("_key", "_t", span.alias("_bin"), F.lit(0).alias("_side"), F.lit(None).cast(event_type).alias("_event"))
+    hits = hits.select("_key", "_t", span.alias("_bin"), F.lit(1).alias("_side"), "_event")
+    both = probes.unionByName(hits)
+    later = Window.partitionBy("_key").orderBy(F.col("_bin").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        both.groupBy("_key", "_bin")
+        .agg(F.min("_event").alias("_first"))
+        .withColumn("_event", F.last("_first", ignorenulls=True).over(later))
+        .where(F.col("_event").isNotNull())
+        .select("_key", F.lit(2**63 - 1).cast("long").alias("_t"), "_bin", F.lit(1).alias("_side"), "_event")
+    )
+    side_order = F.col("_side").desc() if include_start else F.col("_side").asc()
+    backwards = (
+        Window.partitionBy("_key", "_bin")
+        .orderBy(F.col("_t").desc(), side_order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return (
+        both.unionByName(carried)
+        .withColumn("_event", F.last("_event", ignorenulls=True).over(backwards))
+        .where((F.col("_side") == 0) & (F.col("_event.t") - F.col("_t") <= length))
+        .select("_key", "_t", "_event")
+    )
+
+
 def first_in_window(
     base: DataFrame,
     events: DataFrame,
@@ -36,7 +76,6 @@ def first_in_window(
     until: int,
     include_start: bool = False,
     match: str = "match",
-    bin_width: int = 3600,
 ) -> DataFrame:
     """Earliest event of the same key with time in ``(base + after, base + until]``, one row per base row.
 
@@ -44,72 +83,26 @@ def first_in_window(
     plus a struct column (``t``, ``id`` and the ``carry`` columns), NULL where nothing falls inside.
     Equal times go to the least ``event_id``.
 
-    Rows are grouped by key and time bin, so a busy key is spread over its bins; the first event of
-    every later bin reaches a group as one extra row, taken from a per-bin minimum (at most one row per
-    key and bin, combined before its shuffle).
+    Answers are found for distinct keys and times (``first_lookup``) and joined back by both, so a key that holds a third of
+    all rows inside one hour is spread over the times of that hour, and rows of one single time are split by AQE's skew join.
+    Base rows are sent once, or not at all where the answers are small enough to be broadcast. Rows without a key are spread.
     """
-    hits = (
-        events.where(F.col(event_key).isNotNull() & event_time.isNotNull())
-        .select(
-            F.col(event_key).alias("_key"),
-            event_time.cast("long").alias("_t"),
-            F.struct(event_time.cast("long").alias("t"), F.col(event_id).alias("id"), *carry).alias("_event"),
-        )
+    hits = events.where(F.col(event_key).isNotNull() & event_time.isNotNull()).select(
+        F.col(event_key).alias("_key"),
+        event_time.cast("long").alias("_t"),
+        F.struct(event_time.cast("long").alias("t"), F.col(event_id).alias("id"), *carry).alias("_event"),
     )
-    event_type = hits.schema["_event"].dataType
-    # an explicit null-safe row type on both sides of the union
-    row_type = base.schema
     start = (base_time + F.lit(after)).cast("long")
     usable = F.col(base_key).isNotNull() & start.isNotNull()
-    probes = base.select(
-        F.when(usable, F.col(base_key)).alias("_key"),
-        F.when(usable, start).alias("_t"),
-        F.when(usable, F.floor(start / bin_width)).otherwise(_null_spread(base)).cast("long").alias("_bin"),
-        F.lit(0).alias("_side"),
-        F.struct(*[F.col(c) for c in base.columns]).alias("_row"),
-        F.when(usable, (base_time + F.lit(until)).cast("long")).alias("_limit"),
-        F.lit(None).cast(event_type).alias("_event"),
-    )
-    hits = hits.select(
-        "_key",
-        "_t",
-        F.floor(F.col("_t") / bin_width).cast("long").alias("_bin"),
-        F.lit(1).alias("_side"),
-        F.lit(None).cast(row_type).alias("_row"),
-        F.lit(None).cast("long").alias("_limit"),
-        "_event",
-    )
-    slim = probes.where("_key is not null").select("_key", "_bin", "_event").unionByName(
-        hits.select("_key", "_bin", "_event")
-    )
-    per_bin = slim.groupBy("_key", "_bin").agg(F.min("_event").alias("_first"))
-    later = Window.partitionBy("_key").orderBy(F.col("_bin").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        per_bin.withColumn("_event", F.last("_first", ignorenulls=True).over(later))
-        .where(F.col("_event").isNotNull())
-        .select(
-            "_key",
-            F.lit(2**63 - 1).cast("long").alias("_t"),
-            "_bin",
-            F.lit(1).alias("_side"),
-            F.lit(None).cast(row_type).alias("_row"),
-            F.lit(None).cast("long").alias("_limit"),
-            "_event",
-        )
-    )
-    side_order = F.col("_side").desc() if include_start else F.col("_side").asc()
-    backwards = (
-        Window.partitionBy("_key", "_bin")
-        .orderBy(F.col("_t").desc(), side_order, F.col("_event.id").desc())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    found = (
-        probes.unionByName(hits)
-        .unionByName(carried)
-        .withColumn("_near", F.last("_event", ignorenulls=True).over(backwards))
-        .where("_side = 0")
+    starts = base.where(usable).select(F.col(base_key).alias("_key"), start.alias("_t"))
+    found = first_lookup(starts, hits, length=until - after, include_start=include_start)
+    found = found.select(
+        F.col("_key").alias("_found_key"), F.col("_t").alias("_found_t"), F.lit(0).cast("long").alias("_found_slot"), F.col("_event").alias(match)
     )
-    return found.select("_row.*", F.when(F.col("_near.t") <= F.col("_limit"), F.col("_near")).alias(match))
+    slot = F.when(usable, F.lit(0)).otherwise(null_spread(base)).cast("long")
+    held = base.select(*[F.col(c) for c in base.columns if c != match], start.alias("_start"), slot.alias("_slot"))
+    cond = (F.col(base_key) == F.col("_found_key")) & (F.col("_start") == F.col("_found_t")) & (F.col("_slot") == F.col("_found_slot"))
+    return held.join(found, cond, "left").drop("_found_key", "_found_t", "_found_slot", "_start", "_slot")
 
 
 def nearest_lookup(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from funnelspark.functions.fuzzy import name_ratio
 from funnelspark.operators.dedupe import best
-from funnelspark.operators.intervals import join_lookup, nearest_by_day, nearest_lookup
+from funnelspark.operators.intervals import nearest_by_day, nearest_lookup, null_spread
 from funnelspark.session import materialise
 
 
@@ -37,28 +37,48 @@ def tiered_link(
 ) -> DataFrame:
     """Best candidate by tier order, then nearest date; every base row is kept once.
 
-    Each tier is one linear nearest-date pass over its own key, so a common name costs its rows, not the
-    product of both sides. Adds ``carry`` columns, ``match_method`` and ``match_confidence``.
+    The keys of all tiers are stacked, so one linear nearest-date pass answers every tier and the candidates are read once. It
+    works on the distinct keys and dates of ``base``; the best tier of each such combination is joined back once, so the other
+    columns of ``base`` are sent once, or not at all where the answers are small enough to be broadcast. Rows without any key
+    are spread. Keys of a tier have one type on both sides. Adds ``carry`` columns, ``match_method`` and ``match_confidence``.
     """
-    out = base
-    for i, t in enumerate(tiers):
-        # every lookup starts from the narrow base columns, not from the joins before it
-        found = nearest_lookup(
-            base, cands, base_key=t.base_key, base_day=base_day, cand_key=t.cand_key, cand_day=cand_day, rank=rank, carry=carry,
-            match=f"_tier{i}",
+    types = {base.schema[t.base_key].dataType for t in tiers} | {cands.schema[t.cand_key].dataType for t in tiers}
+
+    def stack(df: DataFrame, names: Sequence[str]) -> DataFrame:
+        keys = [F.col(n) if len(types) == 1 else F.col(n).cast("string") for n in names]
+        return df.select("*", F.posexplode(F.array(*keys)).alias("_tier", "_part")).where("_part is not null").withColumn(
+            "_tier_key", F.struct("_tier", "_part")
         )
-        out = join_lookup(out, found, t.base_key, base_day, f"_tier{i}")
-    hits = [F.col(f"_tier{i}") for i in range(len(tiers))]
-    method = F.coalesce(*[F.when(h.isNotNull(), F.lit(t.name)) for h, t in zip(hits, tiers)], F.lit(unmatched))
-    confidence = F.coalesce(
-        *[F.when(h.isNotNull(), F.lit(t.confidence)) for h, t in zip(hits, tiers)], F.lit(unmatched)
+
+    names = [f"_b{i}" for i in range(len(tiers))]
+    keys = [F.col(t.base_key) for t in tiers]
+    keyed = F.coalesce(*[k.cast("string") for k in keys]).isNotNull()
+    combos = base.where(keyed).select(*[k.alias(n) for k, n in zip(keys, names)], base_day.cast("date").alias("_on")).distinct()
+    probes = stack(combos, names)
+    found = nearest_lookup(
+        probes, stack(cands, [t.cand_key for t in tiers]), base_key="_tier_key", base_day=F.col("_on"), cand_key="_tier_key",
+        cand_day=cand_day, rank=rank, carry=carry, match="_found",
+    )
+    cond = (F.col("_tier_key") == F.col("_key")) & F.col("_on").eqNullSafe(F.col("_day"))
+    picked = (
+        probes.join(found, cond).groupBy(*names, "_on").agg(F.min_by(F.struct("_tier", "_found"), "_tier").alias("_pick"))
+        .select(*[F.col(n).alias(f"_p{n}") for n in names], F.col("_on").alias("_picked_on"), "_pick", F.lit(0).cast("long").alias("_picked_slot"))
     )
-    hit = F.coalesce(*hits)
-    return out.withColumn("_hit", hit).select(
+    slot = F.when(keyed, F.lit(0)).otherwise(null_spread(base)).cast("long")
+    held = base.select("*", base_day.cast("date").alias("_on"), slot.alias("_slot"))
+    same = F.col("_on").eqNullSafe(F.col("_picked_on")) & (F.col("_slot") == F.col("_picked_slot"))
+    for k, n in zip(keys, names):
+        same = same & k.eqNullSafe(F.col(f"_p{n}"))
+    tier = F.col("_pick._tier")
+
+    def label(values: Sequence[str]) -> Column:
+        return F.coalesce(F.get(F.array(*[F.lit(v) for v in values]), tier), F.lit(unmatched))
+
+    return held.join(picked, same, "left").select(
         *base.columns,
-        *[F.col(f"_hit.{c}").alias(c) for c in carry],
-        method.alias("match_method"),
-        confidence.alias("match_confidence"),
+        *[F.col(f"_pick._found.{c}").alias(c) for c in carry],
+        label([t.name for t in tiers]).alias("match_method"),
+        label([t.confidence for t in tiers]).alias("match_confidence"),
     )
 
 

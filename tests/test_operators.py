@@ -18,6 +18,7 @@ from funnelspark.operators import quality as Q
 from funnelspark.operators import scoring as P
 from funnelspark.operators.finance import weekly_targets
 from funnelspark.operators.funnel import align_stages, funnel
+from funnelspark.operators import intervals
 from funnelspark.operators.intervals import first_in_window, nearest_by_day, reverse_link
 
 
@@ -119,13 +120,14 @@ def _events(seed, n, hot):
 
 
 @pytest.mark.parametrize("after,until,closed,width", [(0, 400, False, 100), (0, 400, True, 7), (-500, 0, True, 64), (10, 5000, False, 10**6)])
-def test_first_in_window_equals_brute_force(frame, after, until, closed, width):
+def test_first_in_window_equals_brute_force(frame, monkeypatch, after, until, closed, width):
+    monkeypatch.setattr(intervals, "_SPAN", width)
     base, events = _events(after + until, 250, "a")
     b = frame(base, "id int, k string, t int")
     e = frame(events, "eid int, k2 string, t2 int")
     got = first_in_window(
         b, e, base_key="k", base_time=F.col("t"), event_key="k2", event_time=F.col("t2"), event_id="eid", carry=["k2"],
-        after=after, until=until, include_start=closed, bin_width=width,
+        after=after, until=until, include_start=closed,
     )
     expect = []
     for i, k, t in base:
@@ -136,6 +138,30 @@ def test_first_in_window_equals_brute_force(frame, after, until, closed, width):
     assert got.count() == b.count()
 
 
+def test_first_in_window_holds_no_crowd_in_a_group(spark):
+    """One key with 200,000 calls inside 20 seconds: window groups hold one row per second and side, answers stay exact."""
+    calls = spark.range(200_000).select("id", F.lit("hot").alias("k"), (F.col("id") % 20).alias("t"))
+    starts = calls.select(F.col("k").alias("_key"), F.col("t").alias("_t"))
+    events = calls.where("id % 2 = 0").select(F.col("k").alias("_key"), F.col("t").alias("_t"), F.struct("t", "id").alias("_event"))
+    found = rows(intervals.first_lookup(starts, events, length=5), "_t")
+    assert [(t, tuple(e)) for _, t, e in found] == [(t, (t + 2 - t % 2, t + 2 - t % 2)) for t in range(18)]
+    got = first_in_window(
+        calls, calls.where("id % 2 = 0"), base_key="k", base_time=F.col("t"), event_key="k", event_time=F.col("t"), event_id="id", until=5
+    )
+    counts = rows(got.groupBy("t", F.col("match.id").alias("hit")).count(), "t")
+    assert counts == [(t, t + 2 - t % 2 if t < 18 else None, 10_000) for t in range(20)]
+
+
+def test_first_in_window_clashing_names_and_missing_values(frame):
+    base = frame([(1, None, 5, "x"), (2, "a", None, "y"), (3, "a", 5, "z"), (3, "a", 5, "z")], "id int, _key string, _t int, _event string")
+    events = frame([(9, "a", 7), (8, None, 6), (7, "a", None)], "eid int, k string, t int")
+    got = first_in_window(base, events, base_key="_key", base_time=F.col("_t"), event_key="k", event_time=F.col("t"), event_id="eid", until=9)
+    assert got.columns == ["id", "_key", "_t", "_event", "match"]
+    assert rows(got.select("id", "_event", "match.id"), "id") == [(1, "x", None), (2, "y", None), (3, "z", 9), (3, "z", 9)]
+    empty = first_in_window(base.limit(0), events, base_key="_key", base_time=F.col("_t"), event_key="k", event_time=F.col("t"), event_id="eid", until=9)
+    assert empty.count() == 0
+
+
 def test_nearest_by_day_equals_brute_force(frame):
     rng = random.Random(5)
     day = lambda: rng.choice([None] + [date(2024, 1, 1) + timedelta(days=rng.randrange(40))] * 9)
