@@ -14,6 +14,7 @@ from funnelspark.plans import (  # noqa: F401  (importing registers the queries)
     catalog_joins,
     catalog_measures,
     catalog_models,
+    catalog_rules,
     catalog_sources,
 )
 from funnelspark.plans.registry import REGISTRY
