@@ -5,8 +5,10 @@ runs shorter than the shortest test phrase cannot hold one and are left out. The
 transform, kept as a wavelet matrix with rank counts. All test phrases step backwards through it at once; occurrences are
 located by walking to sampled suffix positions, mapped to document words and merged to removal spans.
 
-The benchmark is taken in blocks of at most ``BLOCK_WORDS`` words, each a bounded broadcast of its own; documents pass all
-blocks in one scan, without a shuffle. Words meet by a 64-bit hash: a false hit needs as many colliding words in a row as a
+The benchmark is taken in blocks of at most ``BLOCK_WORDS`` words, each a bounded broadcast of its own. One block is met in one
+scan of the documents, without a shuffle. Several blocks are met one after another: a pass writes the texts with hits, its broadcast
+is destroyed before the next block is read, and the hits of all passes are joined back by the texts' SHA-256. So neither the driver
+nor a task ever holds more than two blocks of items and one broadcast, however large the benchmark is. Words meet by a 64-bit hash: a false hit needs as many colliding words in a row as a
 phrase has.
 
 Defined results: NULL texts have no words; an item without words or without an id has no window; items that repeat an id count
@@ -15,12 +17,16 @@ once; empty tables give empty results or no hits.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from funnelspark.operators.intervals import null_spread
+from funnelspark.session import materialise
 from funnelspark.llm.ragged import ALNUM, LOWER, concat_rows, slices, text_bytes, word_hashes, word_spans
 
 #: Words of a test phrase; shorter items are one phrase.
@@ -217,29 +223,54 @@ def find(docs: DataFrame, bench: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``n_words``, ``spans`` (merged removal spans in words and bytes) and ``items`` (ids, sorted as strings)."""
     added = {"n_words", "spans", "items"}
     out = docs.select(*[docs[c] for c in docs.columns if c.lower() not in added or c == text])
-    names = []
-    for k, block in enumerate(blocks(bench)):
+    parts = blocks(bench)
+    first, second = next(parts), next(parts, None)
+    if second is None:
+        found = _meet(out, docs.sparkSession.sparkContext.broadcast(Phrases(first)), text)
+    else:
+        found = _passes(out, chain((first, second), parts), text)
+    return found.withColumn("items", F.array_sort(F.array_distinct("items")))
+
+
+def _meet(docs: DataFrame, phrases: Broadcast, text: str, hits_only: bool = False) -> DataFrame:
+    """``docs`` with ``n_words``, ``spans`` and ``items`` of one block; only the rows with hits if asked for."""
+    fields = [f for f in docs.schema.fields if f.name != "n_words"]
+    names = [f.name for f in fields]
+    schema = T.StructType([*fields, T.StructField("n_words", T.LongType()), T.StructField("spans", T.ArrayType(SPAN)), T.StructField("items", T.ArrayType(T.StringType()))])
+
+    def run(batches):
+        for batch in batches:
+            for shard in slices(batch, text, SHARD_BYTES):
+                words, spans, items = scan(shard.column(text), (p.column(text) for p in slices(shard, text)), phrases.value)
+                spans = [[dict(zip(SPAN.names, s)) for s in row] for row in spans]
+                made = [pa.array(words, pa.int64()), pa.array(spans, _ARROW_SPAN), pa.array(items, pa.list_(pa.string()))]
+                found = pa.RecordBatch.from_arrays([*(shard.column(c) for c in names), *made], names=schema.names)
+                yield found.filter(pa.array([bool(s) for s in spans], pa.bool_())) if hits_only else found
+
+    return docs.mapInArrow(run, schema)
+
+
+def _passes(docs: DataFrame, parts: Iterable[list[tuple[str, str]]], text: str) -> DataFrame:
+    """As ``_meet`` for all ``parts``, a pass over the texts each.
+
+    Hits depend on the text alone, so each text with hits is kept once a pass, under its SHA-256; equal texts get the same hits.
+    """
+    key = F.sha2(F.col(text), 256)
+    hits = None
+    for block in parts:
         phrases = docs.sparkSession.sparkContext.broadcast(Phrases(block))
-        names.append(k)
-        schema = T.StructType([f for f in out.schema.fields if f.name != "n_words"] + [
-            T.StructField("n_words", T.LongType()), T.StructField(f"_spans{k}", T.ArrayType(SPAN)), T.StructField(f"_items{k}", T.ArrayType(T.StringType())),
-        ])
-
-        def run(batches, phrases=phrases, fields=[f.name for f in schema.fields]):
-            for batch in batches:
-                for shard in slices(batch, text, SHARD_BYTES):
-                    words, spans, items = scan(shard.column(text), (p.column(text) for p in slices(shard, text)), phrases.value)
-                    spans = [[dict(zip(SPAN.names, s)) for s in row] for row in spans]
-                    made = [pa.array(words, pa.int64()), pa.array(spans, _ARROW_SPAN), pa.array(items, pa.list_(pa.string()))]
-                    yield pa.RecordBatch.from_arrays([*(shard.column(c) for c in fields[:-3]), *made], names=fields)
-
-        out = out.mapInArrow(run, schema)
-    spans = F.array_sort(F.concat(*[f"_spans{k}" for k in names]))
-    if len(names) > 1:
-        spans = _merged(spans)
-    items = F.array_sort(F.array_distinct(F.concat(*[f"_items{k}" for k in names])))
-    keep = [c for c in out.columns if not c.startswith(("_spans", "_items"))]
-    return out.select(*keep, spans.alias("spans"), items.alias("items"))
+        met = _meet(docs.select(text), phrases, text, hits_only=True).select(key.alias("_key"), "spans", "items")
+        met = materialise(met.dropDuplicates(["_key"]), "benchmark-hits")
+        phrases.destroy()
+        hits = met if hits is None else hits.unionByName(met)
+    by_text = hits.groupBy("_key").agg(
+        _merged(F.array_sort(F.flatten(F.collect_list("spans")))).alias("spans"), F.flatten(F.collect_list("items")).alias("items")
+    )
+    held = docs.select(*[docs[c] for c in docs.columns if c != "n_words"], F.coalesce(key, null_spread(docs).cast("string")).alias("_key"))
+    spans = F.coalesce("spans", F.array().cast(T.ArrayType(SPAN))).alias("spans")
+    items = F.coalesce("items", F.array().cast("array<string>")).alias("items")
+    words = F.coalesce(F.regexp_count(F.col(text), F.lit(r"[0-9A-Za-z\x{80}-\x{10FFFF}]+")), F.lit(0)).cast("long")
+    return held.join(by_text, "_key", "left").select(*[c for c in held.columns if c != "_key"], words.alias("n_words"), spans, items)
 
 
 def _merged(spans):

@@ -15,6 +15,8 @@ outside 0 and 1 are left out; without labels the lexicon is empty and every scor
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -28,9 +30,10 @@ WINDOW = 6
 TERMS = 200
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = _WORD[128:] = True
-# Digits that stand for letters, folded after lower-casing.
+# Digits that stand for letters, folded with A-Z in texts and terms alike.
+DIGITS, LETTERS = "013457", "oieast"
 _FOLD = LOWER.copy()
-for _a, _b in zip(b"013457", b"oieast"):
+for _a, _b in zip(DIGITS.encode(), LETTERS.encode()):
     _FOLD[_a] = _b
 # Function words of quotation and of address (fixed values).
 SAYING = ("said", "says", "say", "wrote", "writes", "quoted", "quote", "called", "word", "term", "sagte", "schrieb", "dijo", "dit", "zitat")
@@ -38,6 +41,11 @@ ADDRESS = ("you", "your", "youre", "du", "dein", "tu", "toi", "vous", "usted", "
 FEATURES = ("bias", "abuse", "fuzzy", "quoted", "density", "terms", "address", "any")
 
 
+def folded(term: str) -> bytes:
+    """A term as the bytes of a text are folded."""
+    return _FOLD[np.frombuffer(term.encode(), np.uint8)].tobytes()
+
+
 def _edits(term: bytes) -> int:
     return 0 if len(term) < 4 else 1 if len(term) < 9 else 2
 
@@ -46,7 +54,7 @@ class Automaton:
     """Deterministic table of the trie of ``terms`` intersected with their Levenshtein automata."""
 
     def __init__(self, terms: list[str]) -> None:
-        self.terms = sorted({t.encode() for t in terms if t})
+        self.terms = sorted({folded(t) for t in terms if t})
         letters = sorted({b for t in self.terms for b in t})
         self.symbol = np.zeros(256, np.int64)  # 0: a byte of no term
         for k, b in enumerate(letters):
@@ -133,7 +141,7 @@ class Lexicon:
     """All ``terms``, in automata of at most ``size`` of them; matches as one automaton of all would."""
 
     def __init__(self, terms: list[str], size: int = TERMS) -> None:
-        self.terms = sorted({t.encode() for t in terms if t})
+        self.terms = sorted({folded(t) for t in terms if t})
         self.starts = range(0, len(self.terms), size)
         self.parts = [Automaton([t.decode() for t in self.terms[k : k + size]]) for k in self.starts]
 
@@ -225,7 +233,8 @@ def lexicon(rows: DataFrame, least: int = 8, purity: float = 0.8) -> list[str]:
     A context (the words before and after) belongs to the first document that has it, so copies of a text and repetitive
     texts count once. One aggregation over contexts; the words found reach the driver, as many as the labelled sample bears out.
     """
-    words = F.regexp_extract_all(F.lower("text"), F.lit("([a-z0-9\\x80-\\x{10FFFF}]+)"), 1)
+    same = F.translate("text", ascii_uppercase + DIGITS, ascii_lowercase + LETTERS)
+    words = F.regexp_extract_all(same, F.lit("([a-z0-9\\x80-\\x{10FFFF}]+)"), 1)
     padded = rows.select("doc_id", "label", F.concat(F.array(F.lit("")), words, F.array(F.lit(""))).alias("_w")).where(F.size("_w") > 2)
     triples = F.arrays_zip(F.slice("_w", 2, F.size("_w") - 2).alias("w"), F.slice("_w", 1, F.size("_w") - 2).alias("b"), F.slice("_w", 3, F.size("_w") - 2).alias("a"))
     long = padded.select("doc_id", "label", F.explode(triples).alias("_c"))

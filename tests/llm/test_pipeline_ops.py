@@ -208,6 +208,15 @@ def test_toxicity_context():
     assert f["address"].tolist() == [1, 0, 0, 0, 0]
 
 
+def test_terms_and_texts_are_folded_alike(spark):
+    a = toxicity.Automaton(["b1tch2", "ärger", "4ss"])
+    x = toxicity.features(pa.array(["so B1TCH2 there", "so bitch2 there", "so ärger there", "an a55 there", "an asz there"]), a)
+    f = dict(zip(toxicity.FEATURES, x.T))
+    assert f["abuse"].astype(bool).tolist() == [True, True, True, True, False] and not f["fuzzy"].any()
+    rows = [(i, f"w{i} B1tch2 v{i}" if i % 2 else f"w{i} plain ÄRGER v{i}", i % 2) for i in range(40)]
+    assert toxicity.lexicon(spark.createDataFrame(rows, "doc_id long, text string, label int")) == ["bitch2"]
+
+
 def test_toxicity_held_out(spark):
     docs, marks = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     got = toxicity.toxicity(docs.select("doc_id", "text"), toxicity.train(docs, marks)).join(marks, "doc_id").select("doc_id", "predicted", "toxic").toPandas()
@@ -318,7 +327,9 @@ def test_decontamination_equals_scan(spark, odd, empty, bench, monkeypatch, bloc
     assert {r["n_hit"] for r in decontaminate.decontaminate(odd, bench.where("false")).collect()} == {0}
 
 
-def test_cut_texts(spark, odd, bench):
+@pytest.mark.parametrize("block", [decontaminate.BLOCK_WORDS, 3])
+def test_cut_texts(spark, odd, bench, monkeypatch, block):
+    monkeypatch.setattr(decontaminate.blocks, "__defaults__", ("item_id", "text", block))
     cut = decontaminate.without_spans(odd, bench)
     assert cut.columns == odd.columns
     rows = {r["doc_id"]: r for r in cut.collect()}
