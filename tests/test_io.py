@@ -7,6 +7,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from funnelspark.plans import catalog, catalog_sources
 from funnelspark.sinks import tables as W
 from funnelspark.sources import json_pages as J
 from funnelspark.sources import tables as S
@@ -274,3 +275,15 @@ def test_json_stream_keeps_rejects_and_replays(spark, tmp_path):
     assert run() == want
     (folder / "later.json").write_text('[{"id":30}]\n{"id":')
     assert run() == ([*want[0], 30], 4)
+
+
+def test_json_stream_query_takes_a_share_of_the_files(spark, tmp_path, monkeypatch):
+    """80 files are eight batches, not one for every seven of them."""
+    keys = (F.floor(F.col("id") / 2) * 300 + F.col("id") % 2).alias("o_orderkey")
+    orders = spark.range(160).select(keys, (F.col("id") + 0.5).alias("o_totalprice"), F.lit("1-URGENT").alias("o_orderpriority"))
+    orders.write.parquet(f"{tmp_path}/data/orders.parquet")
+    monkeypatch.setattr(catalog_sources, "scratch_dir", lambda _, label: f"{tmp_path}/{label}")
+    got = {r["shape"]: (r["n"], r["total"], r["bad"]) for r in catalog.queries()["r1_json_stream"](spark, f"{tmp_path}/data").collect()}
+    totals = [sum(i + 0.5 for i in range(160) if i // 2 % 4 == s) for s in range(4)]
+    assert got == {s: (40, totals[s], 4) for s in range(4)}
+    assert len([*(tmp_path / "r1-rows").glob("batch_id=*")]) == 8
