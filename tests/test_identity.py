@@ -34,6 +34,20 @@ def test_chains_cycles_and_hubs(spark):
     assert {r.id: r.canonical for r in best.where("id in ('a', 'c', 'x', 'q')").collect()} == {"a": "b", "c": "b", "x": "z", "q": "q"}
 
 
+def test_labels_do_not_pass_the_driver(spark, monkeypatch):
+    """However small the labels are, a round joins them by shuffle."""
+    plans, write = [], I.materialise
+
+    def noted(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, label)
+
+    monkeypatch.setattr(I, "materialise", noted)
+    pairs = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (7, 8)], "a int, b int")
+    assert {r.id: r.least for r in I.closed_groups(pairs, "a", "b").collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 7: 7, 8: 7}
+    assert len(plans) > 2 and not any("Broadcast" in p for p in plans)
+
+
 def test_no_pairs(spark):
     assert I.canonical_ids(spark.createDataFrame([], "a int, b int"), "a", "b").count() == 0
 
