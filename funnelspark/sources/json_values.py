@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,10 +20,11 @@ from pyspark.sql import functions as F
 
 from funnelspark.session import materialise
 
-_STRING = re.compile(r'"(?:[^"\\]|\\.)*"')
+_STRING = re.compile(r'"[^"\\]*(?:\\.[^"\\]*)*"')
 _SPACE = re.compile(r"[ \t\r\n\ufeff]*")
 _decode = json.JSONDecoder().raw_decode
 _VALUES = "path string, text string, broken boolean"
+_HELD = 4 << 20
 
 
 def _indent(line: str) -> int:
@@ -119,18 +120,37 @@ def _stands_alone(line: str) -> bool:
     return True
 
 
-def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (path, value, whole): in order where ``whole``, each line for itself elsewhere."""
-    path, machine = None, Splitter()
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Rows of the batches, one at a time: a line may be long, and a batch of them as Python objects takes several times its bytes."""
     for batch in batches:
-        out: list[tuple[str, str, bool]] = []
-        for p, line, whole in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            if p != path:
-                out += [(path, *v) for v in machine.finish()]
-                path, machine = p, Splitter()
-            out += [(p, *v) for v in (machine.feed(line) if whole else line_values(line))]
-        yield _batch(out)
-    yield _batch([(path, *v) for v in machine.finish()])
+        for row in zip(*batch.columns):
+            yield tuple(x.as_py() for x in row)
+
+
+def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str, bool]]:
+    """(path, text, broken) of rows (path, value, whole): in order where ``whole``, each line for itself elsewhere."""
+    path, machine = None, Splitter()
+    for p, line, whole in _lines(batches):
+        if p != path:
+            for v in machine.finish():
+                yield path, *v
+            path, machine = p, Splitter()
+        for v in machine.feed(line) if whole else line_values(line):
+            yield p, *v
+    for v in machine.finish():
+        yield path, *v
+
+
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The values in batches of about ``_HELD`` characters: what a task holds depends neither on its lines nor on their number in a batch."""
+    out, held = [], 0
+    for row in _found(batches):
+        out.append(row)
+        held += len(row[0]) + len(row[1])
+        if held >= _HELD:
+            yield _batch(out)
+            out, held = [], 0
+    yield _batch(out)
 
 
 def _batch(rows: list[tuple[str, str, bool]]) -> pa.RecordBatch:
@@ -139,9 +159,13 @@ def _batch(rows: list[tuple[str, str, bool]]) -> pa.RecordBatch:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (path, lines that stand alone less the others), one a path and batch."""
     for batch in batches:
-        lines = [(p, _stands_alone(x)) for p, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if x.strip()]
-        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in lines], pa.string()), pa.array([1 if a else -1 for _, a in lines], pa.int64())], names=["path", "alone"])
+        alone = Counter()
+        for p, line in _lines(iter([batch])):
+            if line.strip():
+                alone[p] += 1 if _stands_alone(line) else -1
+        yield pa.RecordBatch.from_arrays([pa.array(alone.keys(), pa.string()), pa.array(alone.values(), pa.int64())], names=["path", "alone"])
 
 
 def text_lines(source) -> DataFrame:

@@ -1,15 +1,18 @@
 """Sources, sinks and the incremental ingest on fresh folders."""
 
 import json
+import tracemalloc
 import uuid
 from datetime import date
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from funnelspark.plans import catalog, catalog_sources
 from funnelspark.sinks import tables as W
 from funnelspark.sources import json_pages as J
+from funnelspark.sources import json_values as V
 from funnelspark.sources import tables as S
 from funnelspark.streaming import ingest as R
 
@@ -122,6 +125,28 @@ def test_large_line_file_is_read_by_many_tasks(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+@pytest.mark.parametrize("whole", [False, True])
+def test_a_batch_of_long_lines_is_not_held_as_objects(whole):
+    """40 MB of lines in one batch: what is held and what a batch of values has does not follow it."""
+    line = '{"x":"' + "y" * 200_000 + '"}'
+    batch = pa.RecordBatch.from_arrays([pa.array(["p"] * 200), pa.array([line] * 200), pa.array([whole] * 200)], names=["path", "value", "whole"])
+    tracemalloc.start()
+    try:
+        sizes, n = [], 0
+        for out in V._split(iter([batch])):
+            assert set(out.column("text").unique().to_pylist()) <= {line}
+            sizes.append(out.nbytes)
+            n += out.num_rows
+        split = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        counts = [r for out in V._count(iter([batch.select(["path", "value"])])) for r in out.to_pylist()]
+        count = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == 200 and max(sizes) < 5_000_000 and counts == [{"path": "p", "alone": 200}]
+    assert split < 10_000_000 and count < 10_000_000
+
+
 def test_schema_of_all_values(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"id":1}{"id":2,"later":"x"}\n{"id":')
     df = J.infer_schema(spark, str(tmp_path))
