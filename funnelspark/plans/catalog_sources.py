@@ -78,7 +78,7 @@ def s2(t):
         cols = [c for c in rows.columns]
         pages.groupBy("page").agg(F.collect_list(F.struct(*cols)).alias("calls")).drop("page").write.option("maxRecordsPerFile", 1).json(f"{base}/{root}")
     schema = "calls array<struct<o_orderkey:bigint,o_orderstatus:string,o_orderpriority:string>>"
-    both, _ = J.read_roots(t.spark, {"rebuild": f"{base}/rebuild", "live": f"{base}/live", "gone": f"{base}/gone"}, schema)
+    both, _ = J.read_roots(t.spark, {"rebuild": f"{base}/rebuild", "live": f"{base}/live", "gone": f"{base}/gone"}, schema, required=("rebuild", "live"))
     rec = both.select(F.col("_root").alias("root"), F.explode("calls").alias("c"))
     return rec.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.count("c.o_orderpriority").alias("late"))
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from funnelspark.session import scratch_dir
-from funnelspark.sources.json_values import read_values
+from funnelspark.sources.json_values import read_values, split_values, text_lines
 
 PATH_DATE = r"/(\d{4}-\d{2}-\d{2})/"
 
@@ -89,21 +90,29 @@ def read_pages(
 
 
 def read_roots(
-    spark: SparkSession, roots: Mapping[str, str], schema: StructType | str | None = None, tag: str = "_root", on_bad: str = "raise"
+    spark: SparkSession, roots: Mapping[str, str], schema: StructType | str | None = None, tag: str = "_root", on_bad: str = "raise",
+    required: Collection[str] = (),
 ) -> tuple[DataFrame, list[tuple[str, str]]]:
-    """Union by name of several roots; roots that are not there are skipped and reported, none there is an error.
+    """Union by name of several roots; roots that are not there are skipped and reported, none there or a ``required`` one missing is an error.
 
+    Only a path that does not exist is skipped: any other failure (a store that does not answer, a broken file, a failed job) fails the read.
     Values that do not parse fail the job (``on_bad="skip"`` leaves them out; :func:`unreadable` lists their files).
     """
     frames, skipped = [], []
     for name, path in roots.items():
         try:
-            own = schema if schema is not None else infer_schema(spark, path)
-            frames.append(_checked(_values(spark, path, own), on_bad).select("value.*").withColumn(tag, F.lit(name)))
-        except Exception as err:  # a missing root must not stop the others
+            source = spark.read.text(path)
+        except AnalysisException as err:  # a missing root must not stop the others
+            if err.getCondition() != "PATH_NOT_FOUND":
+                raise
             skipped.append((name, type(err).__name__))
+            continue
+        own = schema if schema is not None else infer_schema(spark, path)
+        frames.append(_checked(parse_values(split_values(text_lines(source)), own), on_bad).select("value.*").withColumn(tag, F.lit(name)))
     if not frames:
         raise RuntimeError(f"no root could be read: {skipped}")
+    if missing := sorted({*required} - ({*roots} - {n for n, _ in skipped})):
+        raise RuntimeError(f"roots that must be there are not: {missing}")
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)

@@ -41,6 +41,22 @@ def test_roots_skip_the_missing_and_fail_when_none(spark, tmp_path):
         J.read_roots(spark, {"b": f"{tmp_path}/b"})
 
 
+def test_roots_that_cannot_be_read_are_no_missing_roots(spark, tmp_path):
+    for root in ("a", "b"):
+        (tmp_path / root).mkdir()
+        (tmp_path / root / "x.json").write_text('{"id": 1}')
+    (tmp_path / "b" / "y.json.gz").write_bytes(b"no gzip at all")
+    there = {"a": f"{tmp_path}/a"}
+    with pytest.raises(Exception, match="(?i)gzip|y.json.gz"):  # its schema cannot be told
+        J.read_roots(spark, {**there, "b": f"{tmp_path}/b"})
+    with pytest.raises(Exception, match="nosuchstore"):  # neither there nor missing: the store does not answer
+        J.read_roots(spark, {**there, "b": "nosuchstore://host/b"}, "id bigint")
+    with pytest.raises(RuntimeError, match="'c'"):
+        J.read_roots(spark, {**there, "c": f"{tmp_path}/c"}, "id bigint", required=("a", "c"))
+    df, skipped = J.read_roots(spark, {**there, "c": f"{tmp_path}/c"}, "id bigint", required=("a",))
+    assert [(r.id, r["_root"]) for r in df.collect()] == [(1, "a")] and [n for n, _ in skipped] == ["c"]
+
+
 def test_newest_file_per_day_with_high_water_mark(spark, tmp_path):
     for f in ("census_20240101_010101.json", "census_20240101_230000.json", "census_20240102_010101.json"):
         (tmp_path / f).write_text('{"id": 1}')
