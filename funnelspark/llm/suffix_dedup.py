@@ -3,8 +3,8 @@
 A string is 50 bytes; it is removed wherever it also starts in a document of smaller id. The steps:
 
 1. *Anchors.* Of the 16-byte grams in a string the one with the smallest hash is its anchor, so equal strings have equal anchors
-   at equal places. Anchors (one in some 20 bytes) travel packed by hash block, with 48 bits of their hashes; those of one text only
-   are dropped. Two grams of one hash only make a context travel for nothing.
+   at equal places. Anchors (one in some 20 bytes) travel packed by hash block, with the four bytes that tell them apart there; those of
+   one text only are dropped. Two grams of one hash only make a context travel for nothing.
 2. *Contexts.* A text sends, for each anchor that others have too, the bytes of the strings that belong to it. Equal contexts that a
    task meets are combined before the shuffle: only the smallest document goes on, the others are decided. Anchors of more than
    ``HOT`` texts send their strings one by one, dealt out by the hash of the whole string, so no group holds all their texts.
@@ -12,10 +12,12 @@ A string is 50 bytes; it is removed wherever it also starts in a document of sma
    Two suffixes are compared by the length of their common extension, found by binary search over polynomial prefix hashes;
    neighbours that agree over 50 bytes are verified byte by byte. Where bytes differ although hashes agree, the work at hand is done
    again with the next base of ``bases``. Each class of equal strings keeps its smallest document.
-4. Spans go back to their documents and are merged.
+4. Spans go back to the buckets of their texts, are merged there and joined to the documents.
 
 Texts that are equal as a whole (by two 64-bit hashes and their length) take part once, with their smallest id; their later copies
-are removed whole. The texts are shuffled once, for the contexts and for the result.
+are removed whole. Texts have dense numbers, so what travels names them in a few bytes however many blocks there are: numbers,
+documents, hashes and places are written as the bytes in which the values of a row differ. The texts are shuffled once, for the
+anchors, the contexts and the result.
 
 Defined results: NULL texts are empty; texts under 50 bytes lose nothing; a row without id neither loses anything nor counts as
 earlier; rows of one id do not take from each other.
@@ -24,10 +26,11 @@ earlier; rows of one id do not take from each other.
 from __future__ import annotations
 
 import hashlib
+import struct
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from funnelspark.llm.ragged import binary, mix, powers, slices, text_bytes
 from funnelspark.session import materialise
@@ -46,8 +49,8 @@ BLOCK_BYTES = 256 << 20
 BUCKET_TEXTS = 250_000
 #: Odd bases of the polynomial hashes; a further one is taken where hashes agree and bytes do not.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
-#: Anchor hashes travel with their upper 48 bits.
-_KEPT_BITS = np.uint64(0xFFFFFFFFFFFF0000)
+#: Of what each text shares the upper bytes of the hashes are sent; others that agree in them make a context travel for nothing.
+_TOP = np.uint64(0xFFFFFFFF00000000)
 
 
 class Collision(ArithmeticError):
@@ -75,9 +78,14 @@ class Prefixes:
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return (self.sum[end] - self.sum[start]) * self.back[start]
 
-    def grams(self, size: int) -> np.ndarray:
+    def grams(self, size: int, kept: np.uint64) -> np.ndarray:
         n = len(self.sum) - size
-        return mix((self.sum[size:] - self.sum[:n]) * self.back[:n]) & _KEPT_BITS if n > 0 else np.zeros(0, np.uint64)
+        return mix((self.sum[size:] - self.sum[:n]) * self.back[:n]) & kept if n > 0 else np.zeros(0, np.uint64)
+
+
+def _kept(blocks: int) -> np.uint64:
+    """The upper bits of a hash that are used: its block and 32 bits in it, 48 at most."""
+    return np.uint64((1 << 64) - (1 << 64 - min(48, 31 + blocks.bit_length())))
 
 
 def _least(h: np.ndarray, w: int) -> np.ndarray:
@@ -89,34 +97,62 @@ def _least(h: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(out[: len(h) - w + 1], out[w - span : len(h) - span + 1])
 
 
-def anchors(column: pa.Array):
-    """(row, data, start, anchor place, anchor hash) of each text of at least LENGTH bytes; one entry per string start."""
+def anchors(column: pa.Array, kept: np.uint64):
+    """(row, data, gram hashes, anchor hash of each string start) of each text of at least LENGTH bytes."""
     data, offsets = text_bytes(column)
-    grams = Prefixes(data).grams(GRAM)
+    grams = Prefixes(data).grams(GRAM, kept)
     for r, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
         if b - a >= LENGTH:
             h = grams[a : b - GRAM + 1]
             yield r, data[a:b], h, _least(h, LENGTH - GRAM + 1)
 
 
-def _packed_hashes(h: np.ndarray) -> bytes:
-    return binary(np.ascontiguousarray(h).astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:])
+def _packed_hashes(h: np.ndarray, size: int = 6) -> bytes:
+    return binary(np.ascontiguousarray(h).astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - size :])
 
 
-def _hashes(packed: bytes) -> np.ndarray:
-    six = np.frombuffer(packed, np.uint8).reshape(-1, 6)
-    eight = np.zeros((len(six), 8), np.uint8)
-    eight[:, 2:] = six
+def _hashes(packed: bytes, size: int = 6) -> np.ndarray:
+    upper = np.frombuffer(packed, np.uint8).reshape(-1, size)
+    eight = np.zeros((len(upper), 8), np.uint8)
+    eight[:, 8 - size :] = upper
     return eight.view("<u8").ravel()
 
 
-def _packed_owners(at: np.ndarray) -> bytes:
-    """Ascending numbers from zero, without gaps, as one bit each: whether the next number begins."""
-    return binary(np.packbits(np.diff(at, prepend=at[:1]).astype(bool)))
-
-
-def _owners(packed: bytes, n: int) -> np.ndarray:
-    return np.cumsum(np.unpackbits(np.frombuffer(packed, np.uint8), count=n), dtype=np.int64)
+_HEAD = struct.Struct("<QBB")
+_COUNT = struct.Struct("<I")
+
+
+def _narrow(values: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """Whole numbers of each stretch (beginning at ``first``) in as many bytes as they need above their least, or as steps where all ascend."""
+    v = values.astype(np.uint64)
+    size = np.diff(np.append(first, len(v)))
+    rest = np.diff(v, prepend=v[:1])
+    rest[first] = 0
+    steps = bool((rest.view(np.int64) >= 0).all())
+    base = v[first] if steps else np.minimum.reduceat(v, first)
+    if not steps:
+        rest = v - np.repeat(base, size)
+    used = int(np.bitwise_or.reduce(rest))
+    shift = (used & -used).bit_length() - 1 if used else 0
+    rest >>= np.uint64(shift)
+    top = np.maximum.reduceat(rest, first)
+    width = (top[:, None] >= np.uint64(1) << np.arange(0, 64, 8, dtype=np.uint64)).sum(1)
+    planes = rest.astype("<u8").view(np.uint8).reshape(-1, 8)
+    return [
+        _HEAD.pack(z, shift, w | steps << 4) + planes[a : a + n, :w].T.tobytes() if w or z else b""
+        for a, n, w, z in zip(first.tolist(), size.tolist(), width.tolist(), base.tolist())
+    ]
+
+
+def _wide(packed: bytes, n: int) -> np.ndarray:
+    """The ``n`` numbers of a stretch that :func:`_narrow` wrote."""
+    if not packed:
+        return np.zeros(n, np.uint64)
+    base, shift, how = _HEAD.unpack_from(packed)
+    eight = np.zeros((n, 8), np.uint8)
+    eight[:, : how & 15] = np.frombuffer(packed, np.uint8, offset=_HEAD.size).reshape(how & 15, n).T
+    v = eight.view("<u8").ravel() << np.uint64(shift)
+    return (np.cumsum(v, dtype=np.uint64) if how >> 4 else v) + np.uint64(base)
 
 
 PACKED = "kind int, block int, keys binary, docs binary, at binary, hashes binary, place binary, ranges binary, bytes binary"
@@ -129,74 +165,79 @@ def _block_of(h: np.ndarray, blocks: int) -> np.ndarray:
 
 def _rows(kind, block, keys, docs, at, hashes, place=None, ranges=None, texts=None) -> pa.RecordBatch | None:
     """One packed row per block; ``texts`` are (start, end) cuts of a byte buffer, in the order of the entries."""
-    order = np.argsort(block, kind="stable")
-    all_at, all_hashes = at, hashes
+    if not len(block):
+        return None
+    order = np.lexsort((at, block))
     block, at = block[order], at[order]
-    cut = np.flatnonzero(np.diff(block)) + 1
-    cols: list[list] = [[] for _ in _SCHEMA.names]
-    for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(block)]):
-        if a == b:
-            continue
-        o = order[a:b][np.argsort(at[a:b], kind="stable")]
-        own, local = np.unique(all_at[o], return_inverse=True)
-        row = [kind, int(block[a]), binary(keys[own]), binary(docs[own]), _packed_owners(local), _packed_hashes(all_hashes[o]), b"", b"", b""]
+    new = np.concatenate(([True], block[1:] != block[:-1]))
+    fresh = new | np.concatenate(([True], at[1:] != at[:-1]))
+    first, own = np.flatnonzero(new), at[fresh]
+    own_first = (np.cumsum(fresh) - 1)[first]
+    none = [b""] * len(first)
+    cols: list[list] = [[kind] * len(first), block[first].tolist(), _narrow(keys[own], own_first), _narrow(docs[own], own_first), [], _narrow(hashes[order], first), none, none, none]
+    begins = fresh & ~new
+    if place is not None:
+        cols[6], cols[7], cols[8] = _narrow(place[order], first), _narrow(ranges[order, 0] * np.uint64(256) + ranges[order, 1], first), []
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(block)]):
+        # Whether the next number begins, as one bit each.
+        cols[4].append(_COUNT.pack(b - a) + binary(np.packbits(begins[a:b])))
         if place is not None:
+            o = order[a:b]
             size = texts[2][o] - texts[1][o]
             flat = np.repeat(texts[1][o] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
-            row[6:] = binary(place[o]), binary(ranges[o]), pa.compress(binary(texts[0][flat]), codec="zstd", asbytes=True) if len(flat) else b""
-        for c, v in zip(cols, row):
-            c.append(v)
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _SCHEMA.types)], schema=_SCHEMA) if cols[0] else None
+            cols[8].append(pa.compress(binary(texts[0][flat]), codec="zstd", asbytes=True) if len(flat) else b"")
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _SCHEMA.types)], schema=_SCHEMA)
 
 
 def _gathered(table: pa.Table) -> dict[str, np.ndarray]:
     out: dict[str, list] = {c: [] for c in ("key", "doc", "hash", "place", "range", "bytes")}
     for k, d, a, h, p, r, t in zip(*(table.column(c).to_pylist() for c in _SCHEMA.names[2:])):
-        h = _hashes(h)
-        a = _owners(a, len(h))
-        r = np.frombuffer(r, np.uint8).reshape(-1, 2)
-        out["key"].append(np.frombuffer(k, np.int64)[a])
-        d = np.frombuffer(d, np.uint8)
-        out["doc"].append(d.view(np.int64 if len(d) == len(k) else np.uint32)[a])
-        out["hash"].append(h)
-        out["place"].append(np.frombuffer(p, np.int32))
+        n = _COUNT.unpack_from(a)[0]
+        at = np.cumsum(np.unpackbits(np.frombuffer(a, np.uint8, offset=_COUNT.size), count=n), dtype=np.int64)
+        owners = int(at[-1]) + 1
+        out["key"].append(_wide(k, owners).view(np.int64)[at])
+        out["doc"].append(_wide(d, owners).view(np.int64)[at])
+        out["hash"].append(_wide(h, n))
+        out["place"].append(_wide(p, n).astype(np.int32))
+        r = _wide(r, n)
+        r = np.column_stack((r >> np.uint64(8), r & np.uint64(255))).astype(np.uint8)
         out["range"].append(r)
-        out["bytes"].append(np.frombuffer(pa.decompress(t, int(r[:, 1].sum()) + LENGTH * len(r), codec="zstd", asbytes=True) if t else b"", np.uint8))
+        out["bytes"].append(np.frombuffer(pa.decompress(t, int(r[:, 1].sum()) + LENGTH * n, codec="zstd", asbytes=True) if t else b"", np.uint8))
     return {c: np.concatenate(v) for c, v in out.items()}
 
 
 def anchor_blocks(docs: DataFrame, blocks: int) -> DataFrame:
-    """Distinct anchors of (text, tk, check), packed by hash block. Copies inside one flush are sent once."""
+    """Distinct anchors of each (n, text), packed by hash block."""
 
     def run(batches):
-        keys: dict[tuple[int, int], int] = {}
+        keys: dict[int, int] = {}
         hashes: list[np.ndarray] = []
-        held = 0
+        held, kept = 0, _kept(blocks)
 
         def flush():
             nonlocal held
             if hashes:
                 own = np.array(list(keys), np.int64)
-                check = (own[:, 1].astype(np.uint64) >> np.uint64(32)).astype(np.uint32)
                 h = np.concatenate(hashes)
-                yield _rows(1, _block_of(h, blocks), own[:, 0], check, np.repeat(np.arange(len(own)), [len(x) for x in hashes]), h)
+                order = np.argsort(own)
+                yield _rows(1, _block_of(h, blocks), own[order], own * 0, np.repeat(np.argsort(order), [len(x) for x in hashes]), h)
             keys.clear()
             hashes.clear()
             held = 0
 
         for batch in batches:
             for part in slices(batch, "text"):
-                tk = list(zip(part.column("tk").to_pylist(), part.column("check").to_pylist()))
-                for r, data, _, low in anchors(part.column("text")):
-                    if tk[r] not in keys:
-                        keys[tk[r]] = r
+                n = part.column("n").to_pylist()
+                for r, data, _, low in anchors(part.column("text"), kept):
+                    if n[r] not in keys:
+                        keys[n[r]] = r
                         hashes.append(np.unique(low))
                         held += len(data)
                 if held >= FLUSH:
                     yield from flush()
         yield from flush()
 
-    return docs.select("text", "tk", "check").mapInArrow(run, PACKED)
+    return docs.select("n", "text").mapInArrow(run, PACKED)
 
 
 def _shared(key, table: pa.Table, buckets: int, hottest: int) -> pa.Table:
@@ -215,24 +256,26 @@ def _shared(key, table: pa.Table, buckets: int, hottest: int) -> pa.Table:
     h, k, hot = h[count > 1], k[count > 1], count[count > 1] > hottest
     own, at = np.unique(k, return_inverse=True)
     ranges = np.column_stack((hot, hot)).astype(np.uint8)
-    packed = _rows(1, np.mod(k, buckets).astype(np.int32), own, own, at, h, np.zeros(len(h), np.int32), ranges, (np.zeros(0, np.uint8), at * 0, at * 0)) if len(h) else None
+    packed = _rows(1, np.mod(k, buckets).astype(np.int32), own, own * 0, at, h, np.zeros(len(h), np.int32), ranges, (np.zeros(0, np.uint8), at * 0, at * 0))
     return pa.Table.from_batches([packed] if packed else [], _SCHEMA)
 
 
-def _by_text(key, table: pa.Table, least: pa.Table) -> pa.Table:
-    """(doc_id, tk, sorted shared anchors, those of them that are hot) of a bucket of texts, for the smallest document of each text."""
+def _by_text(key, table: pa.Table, firsts: pa.Table) -> pa.Table:
+    """(doc_id, tk, n, sorted shared anchors, those of them that are hot) of a bucket of texts, for the smallest document of each text."""
     e = _gathered(table) if table.num_rows else {"hash": np.zeros(0, np.uint64), "key": np.zeros(0, np.int64), "range": np.zeros((0, 2), np.uint8)}
     order = np.lexsort((e["hash"], e["key"]))
     k, h, hot = e["key"][order], e["hash"][order], e["range"][order, 0] > 0
-    doc, tk = (least.column(c).to_numpy() for c in ("least", "tk"))
-    a, b = np.searchsorted(k, tk), np.searchsorted(k, tk, "right")
+    doc, tk, n = (firsts.column(c).to_numpy() for c in ("least", "tk", "n"))
+    a, b = np.searchsorted(k, n), np.searchsorted(k, n, "right")
     some = np.flatnonzero(a < b)
-    shared, hottest = ([_packed_hashes(v) for v in values] for values in ([h[a[i] : b[i]] for i in some], [h[a[i] : b[i]][hot[a[i] : b[i]]] for i in some]))
-    return pa.table({"doc_id": pa.array(doc[some], pa.int64()), "tk": pa.array(tk[some], pa.int64()), "shared": pa.array(shared, pa.binary()), "hot": pa.array(hottest, pa.binary())})
+    shared = [_packed_hashes(np.unique(h[a[i] : b[i]] & _TOP), 4) for i in some]
+    hottest = [_packed_hashes(h[a[i] : b[i]][hot[a[i] : b[i]]]) for i in some]
+    longs = (pa.array(v[some], pa.int64()) for v in (doc, tk, n))
+    return pa.table([*longs, pa.array(shared, pa.binary()), pa.array(hottest, pa.binary())], names=["doc_id", "tk", "n", "shared", "hot"])
 
 
 def contexts(rows: DataFrame, blocks: int, bases: tuple[int, ...] = BASES) -> DataFrame:
-    """Packed contexts of the shared anchors of (doc_id, tk, text, shared, hot), and under negative blocks what is decided at once."""
+    """Packed contexts of the shared anchors of (doc_id, n, text, shared, hot), and under negative blocks what is decided at once."""
 
     def combined(keys, docs, at, h, place, ranges, hot, data, start, end):
         def hashed(base):
@@ -255,13 +298,14 @@ def contexts(rows: DataFrame, blocks: int, bases: tuple[int, ...] = BASES) -> Da
         done, rest = order[later], order[~later]
         if len(done):
             block = np.full(len(done), -1 - int(abs(keys[0]) % blocks), np.int32)
-            yield _rows(0, block, keys, docs, at[done], h[done], (place[done] - ranges[done, 0]).astype(np.int32), ranges[done], (data[:0], done * 0, done * 0))
+            yield _rows(0, block, keys, docs * 0, at[done], h[done] * np.uint64(0), (place[done] - ranges[done, 0]).astype(np.int32), ranges[done], (data[:0], done * 0, done * 0))
         packed = _rows(1, _block_of(dealt[rest], blocks), keys, docs, at[rest], h[rest], place[rest], ranges[rest], (data, start[rest], end[rest]))
         if packed:
             yield packed
 
     def run(batches):
         keys, docs, parts, size = [], [], [], 0
+        kept = _kept(blocks)
 
         def flush():
             nonlocal keys, docs, parts, size
@@ -282,15 +326,16 @@ def contexts(rows: DataFrame, blocks: int, bases: tuple[int, ...] = BASES) -> Da
 
         for batch in batches:
             for part in slices(batch, "text"):
-                tk, ids, shared, hot = (part.column(c).to_pylist() for c in ("tk", "doc_id", "shared", "hot"))
-                for r, data, h, low in anchors(part.column("text")):
-                    some, hottest = _hashes(shared[r]), _hashes(hot[r])
-                    found = np.minimum(np.searchsorted(some, low), len(some) - 1)
-                    start = np.flatnonzero(some[found] == low)
+                n, ids, shared, hot = (part.column(c).to_pylist() for c in ("n", "doc_id", "shared", "hot"))
+                for r, data, h, low in anchors(part.column("text"), kept):
+                    some, hottest = _hashes(shared[r], 4), _hashes(hot[r])
+                    upper = low & _TOP
+                    found = np.minimum(np.searchsorted(some, upper), len(some) - 1)
+                    start = np.flatnonzero(some[found] == upper)
                     if not len(start):
                         continue
                     # Strings whose anchor is one and the same place: the first place from the start with the least hash.
-                    places = np.flatnonzero(np.isin(h, some))
+                    places = np.flatnonzero(np.isin(h & _TOP, some))
                     nxt = np.searchsorted(places, start)
                     while True:
                         wrong = h[places[nxt]] != low[start]
@@ -304,14 +349,14 @@ def contexts(rows: DataFrame, blocks: int, bases: tuple[int, ...] = BASES) -> Da
                     # From the first start to the anchor, and to the last start; both are under LENGTH.
                     ranges = np.column_stack((p - start[cut], start[last] - start[cut])).astype(np.uint8)
                     parts.append((h[p], p.astype(np.int32), ranges, data, np.isin(h[p], hottest)))
-                    keys.append(tk[r])
+                    keys.append(n[r])
                     docs.append(ids[r])
                     size += len(data)
                 if size >= CONTEXT_FLUSH:
                     yield from flush()
         yield from flush()
 
-    return rows.select("doc_id", "tk", "text", "shared", "hot").mapInArrow(run, PACKED)
+    return rows.select("doc_id", "n", "text", "shared", "hot").mapInArrow(run, PACKED)
 
 
 def _extension(prefix: Prefixes, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -373,12 +418,12 @@ def sort_suffixes(data: np.ndarray, prefix: Prefixes, suffix: np.ndarray, group:
     return order
 
 
-def _spans(key, table: pa.Table, most: int, bases: tuple[int, ...] = BASES) -> pa.Table:
-    """(doc_id, tk, a, b): removed bytes of each text, from the strings of one block of anchors, a bounded number at a time."""
+def _spans(key, table: pa.Table, buckets: int, most: int, bases: tuple[int, ...] = BASES) -> pa.Table:
+    """Removed bytes of each text, packed by its bucket, from the strings of one block of anchors, a bounded number at a time."""
     e = _gathered(table)
     start = e["place"].astype(np.int64)
     if key[0].as_py() < 0:
-        return _removed(e["doc"], e["key"], start, start + e["range"][:, 1] + LENGTH)
+        return _packed_spans(_removed(e["key"], start, start + e["range"][:, 1] + LENGTH), buckets)
     size = e["range"][:, 1].astype(np.int64) + LENGTH
     begin = np.cumsum(size) - size
     order = np.argsort(e["hash"], kind="stable")
@@ -392,11 +437,49 @@ def _spans(key, table: pa.Table, most: int, bases: tuple[int, ...] = BASES) -> p
         flat = np.repeat(begin[o] - np.cumsum(size[o]) + size[o], size[o]) + np.arange(int(size[o].sum()))
         some = {c: v[flat] if c == "bytes" else v[o] for c, v in e.items()}
         out.append(settled(lambda base: _sorted_spans(some, base), bases))
-    return pa.concat_tables(out)
+    return _packed_spans(pa.concat_tables(out), buckets)
+
+
+def _removed(key: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.Table:
+    return pa.table({"key": pa.array(key, pa.int64()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _packed_spans(spans: pa.Table, buckets: int) -> pa.Table:
+    """Spans (under twice LENGTH bytes each) by bucket of texts: where they begin, and their size as the range."""
+    key, a, b = (spans.column(c).to_numpy() for c in ("key", "a", "b"))
+    own, at = np.unique(key, return_inverse=True)
+    ranges = np.column_stack((at * 0, b - a)).astype(np.uint8)
+    packed = _rows(2, np.mod(key, buckets).astype(np.int32), own, own * 0, at, np.zeros(len(key), np.uint64), a, ranges, (np.zeros(0, np.uint8), at * 0, at * 0))
+    return pa.Table.from_batches([packed] if packed else [], _SCHEMA)
 
 
-def _removed(doc: np.ndarray, tk: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.Table:
-    return pa.table({"doc_id": pa.array(doc, pa.int64()), "tk": pa.array(tk, pa.int64()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+def _text_spans(key, table: pa.Table, firsts: pa.Table) -> pa.Table:
+    """(doc_id, tk, spans): the merged spans of each text of a bucket that loses any, for its smallest document."""
+    n, tk, doc = (firsts.column(c).to_numpy() for c in ("n", "tk", "least"))
+    if table.num_rows and len(n):
+        e = _gathered(table)
+        # Texts of one document whose first hash agrees are met by both, so they are one.
+        by = np.lexsort((doc, tk))
+        one = np.cumsum(np.concatenate(([True], (tk[by][1:] != tk[by][:-1]) | (doc[by][1:] != doc[by][:-1])))) - 1
+        to = np.argsort(n)
+        text = np.empty(len(n), np.int64)
+        text[by] = one
+        text = text[to][np.searchsorted(n[to], e["key"])]
+        order = np.lexsort((e["place"], text))
+        text, a = text[order], e["place"][order].astype(np.int64)
+        b = a + e["range"][order, 1]
+        # What ends last so far: texts are told apart by a distance that no place reaches.
+        far = text * (int(b.max()) + 2)
+        end = np.maximum.accumulate(b + far)
+        new = np.concatenate(([True], (a + far)[1:] > end[:-1]))
+        first, last = np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], len(a)) - 1
+        owner, whole = np.unique(text[first], return_index=True)
+        spans = pa.StructArray.from_arrays([pa.array(a[first], pa.int64()), pa.array((end - far)[last], pa.int64())], names=["a", "b"])
+        lists = pa.ListArray.from_arrays(pa.array(np.append(whole, len(first)), pa.int32()), spans)
+        row = by[np.flatnonzero(np.concatenate(([True], one[1:] != one[:-1])))][owner]
+    else:
+        row, lists = np.zeros(0, np.int64), pa.array([], pa.list_(pa.struct({"a": pa.int64(), "b": pa.int64()})))
+    return pa.table({"doc_id": pa.array(doc[row], pa.int64()), "tk": pa.array(tk[row], pa.int64()), "spans": lists})
 
 
 def _sorted_spans(e: dict[str, np.ndarray], base: int) -> pa.Table:
@@ -448,7 +531,7 @@ def _sorted_spans(e: dict[str, np.ndarray], base: int) -> pa.Table:
     cut = np.concatenate(([True], (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1))) if len(row) else np.zeros(0, bool)
     last = np.flatnonzero(np.append(cut[1:], True)) if len(row) else row
     rows = order[row[cut]]
-    return _removed(e["doc"][rows], e["key"][rows], start[cut], start[last] + LENGTH)
+    return _removed(e["key"][rows], start[cut], start[last] + LENGTH)
 
 
 def _verify(data: np.ndarray, a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> None:
@@ -464,7 +547,7 @@ def _verify(data: np.ndarray, a: np.ndarray, b: np.ndarray, size_a: np.ndarray,
 
 
 def find(docs: DataFrame, text: str = "text", hot: int = HOT, most: int = SORTED, bases: tuple[int, ...] = BASES) -> DataFrame:
-    """(doc_id, text, copy, spans) of every row: whether an earlier document has the whole text, and the removed stretches, unmerged."""
+    """(doc_id, text, copy, spans) of every row: whether an earlier document has the whole text, and the removed stretches, merged."""
     # Ids that are longs already stay the column they are: with an alias the two readers of the text shuffle would not be seen as one.
     doc_id = F.col("doc_id") if dict(docs.dtypes).get("doc_id") == "bigint" else F.col("doc_id").cast("long").alias("doc_id")
     raw = docs.select(doc_id, F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -474,15 +557,18 @@ def find(docs: DataFrame, text: str = "text", hot: int = HOT, most: int = SORTED
     total = ids.agg(F.count("*").alias("texts"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks, buckets = max(2 * parts, total["bytes"] // BLOCK_BYTES), max(parts, total["texts"] // BUCKET_TEXTS)
-    least = ids.groupBy("tk", "check").agg(F.min("doc_id").alias("least"))
-    copies = ids.join(least, ["tk", "check"]).where(F.col("doc_id") > F.col("least")).select("doc_id", "tk", F.lit(True).alias("copy")).distinct()
-
-    shared = anchor_blocks(keyed.select("text", "tk", check), blocks).groupBy("block").applyInArrow(lambda k, t: _shared(k, t, buckets, hot), PACKED)
-    firsts = least.select(F.pmod("tk", F.lit(buckets)).cast("int").alias("block"), "tk", "least")
-    shared = shared.groupBy("block").cogroup(firsts.groupBy("block")).applyInArrow(lambda k, t, own: _by_text(k, t, own), "doc_id long, tk long, shared binary, hot binary")
-    # Both joins to the texts have the same keys and read the same columns, so one shuffle serves both.
-    found = contexts(keyed.join(shared, ["doc_id", "tk"]), blocks, bases).groupBy("block").applyInArrow(lambda k, t: _spans(k, t, most, bases), "doc_id long, tk long, a long, b long")
-    spans = found.groupBy("doc_id", "tk").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    least = ids.groupBy("tk", "check").agg(F.min("doc_id").alias("least")).withColumn("block", F.pmod("tk", F.lit(buckets)).cast("int"))
+    number = F.row_number().over(Window.partitionBy("block").orderBy("tk", "check")).cast("long") * buckets + F.col("block")
+    firsts = materialise(least.withColumn("n", number), "dedup-firsts")
+    copies = ids.join(firsts.select("tk", "check", "least"), ["tk", "check"]).where(F.col("doc_id") > F.col("least")).select("doc_id", "tk", F.lit(True).alias("copy")).distinct()
+
+    # All joins to the texts have the same keys and read the same columns, so one shuffle serves them.
+    numbered = keyed.join(firsts.select(F.col("least").alias("doc_id"), "tk", "n"), ["doc_id", "tk"])
+    shared = anchor_blocks(numbered, blocks).groupBy("block").applyInArrow(lambda k, t: _shared(k, t, buckets, hot), PACKED)
+    own = firsts.select("block", "n", "tk", "least").groupBy("block")
+    shared = shared.groupBy("block").cogroup(own).applyInArrow(lambda k, t, o: _by_text(k, t, o), "doc_id long, tk long, n long, shared binary, hot binary")
+    found = contexts(keyed.join(shared, ["doc_id", "tk"]), blocks, bases).groupBy("block").applyInArrow(lambda k, t: _spans(k, t, buckets, most, bases), PACKED)
+    spans = found.groupBy("block").cogroup(own).applyInArrow(lambda k, t, o: _text_spans(k, t, o), "doc_id long, tk long, spans array<struct<a:bigint,b:bigint>>")
     out = keyed.join(spans, ["doc_id", "tk"], "left").join(copies, ["doc_id", "tk"], "left")
     out = out.select("doc_id", "text", F.coalesce("copy", F.lit(False)).alias("copy"), F.coalesce("spans", F.array().cast("array<struct<a:bigint,b:bigint>>")).alias("spans"))
     return out.unionByName(raw.where(F.col("doc_id").isNull()).select("doc_id", "text", F.lit(False).alias("copy"), F.array().cast("array<struct<a:bigint,b:bigint>>").alias("spans")))

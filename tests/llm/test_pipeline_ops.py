@@ -484,6 +484,40 @@ def test_texts_of_one_key_stay_apart():
     assert set(out["key"].tolist()) == {7} and set(out["hash"].tolist()) == {1 << 40}
 
 
+def test_packed_anchors_stay_small_in_many_blocks():
+    """What names a text does not outweigh the anchor, though nearly every anchor of a text is in a block of its own."""
+    rng = np.random.default_rng(1)
+    blocks, texts, each = 1200, 1500, 40
+    keep = np.uint64((1 << 64) - (1 << 22))
+    h = rng.integers(0, 1 << 63, texts * each).astype(np.uint64) * np.uint64(2) & keep
+    keys, at = np.sort(rng.choice(3_000_000, texts, replace=False)), np.repeat(np.arange(texts), each)
+    rows = suffix_dedup._rows(1, suffix_dedup._block_of(h, blocks), keys, np.zeros(texts, np.int64), at, h)
+    assert sum(len(v) for c in rows.schema.names[2:] for v in rows.column(c).to_pylist()) < 9 * len(h)
+    back = suffix_dedup._gathered(pa.Table.from_batches([rows]))
+    assert sorted(zip(back["key"].tolist(), back["hash"].tolist())) == sorted(zip(keys[at].tolist(), h.tolist()))
+
+
+def test_numbers_come_back_from_few_bytes():
+    rng = np.random.default_rng(2)
+    first = np.array([0, 1, 40, 41])
+    for v in (rng.integers(-(1 << 62), 1 << 62, 90), np.sort(rng.integers(-5, 1 << 40, 90)), np.arange(90) * 600 + 7, np.zeros(90, np.int64), np.full(90, -3), rng.integers(0, 9, 90) << 50):
+        packed = suffix_dedup._narrow(v, first)
+        back = [suffix_dedup._wide(p, n) for p, n in zip(packed, np.diff(np.append(first, len(v))))]
+        assert np.concatenate(back).view(np.int64).tolist() == v.tolist()
+    assert len(suffix_dedup._narrow(np.arange(90) * 600 + 7, np.array([0]))[0]) < 300 and suffix_dedup._narrow(np.zeros(90, np.int64), first) == [b""] * 4
+
+
+def test_spans_of_a_bucket_are_merged_by_text():
+    removed = suffix_dedup._removed(np.array([4, 4, 4, 8, 4, 12]), np.array([100, 0, 50, 7, 300, 1]), np.array([180, 60, 100, 60, 350, 55]))
+    rows = suffix_dedup._packed_spans(removed, 4)
+    firsts = pa.table({"n": [12, 8, 4, 16], "tk": [5, 6, 7, 8], "least": [1, 2, 3, 4]})
+    got = {(r["doc_id"], r["tk"]): [(x["a"], x["b"]) for x in r["spans"]] for r in suffix_dedup._text_spans(None, rows, firsts).to_pylist()}
+    assert got == {(3, 7): [(0, 180), (300, 350)], (2, 6): [(7, 60)], (1, 5): [(1, 55)]}
+    # Two texts of one document under one first hash share their row, so the join gives each text once.
+    one = suffix_dedup._text_spans(None, rows, pa.table({"n": [12, 8, 4, 16], "tk": [5, 6, 6, 8], "least": [1, 2, 2, 4]}))
+    assert sorted((r["doc_id"], r["tk"]) for r in one.to_pylist()) == [(1, 5), (2, 6)] and suffix_dedup._text_spans(None, rows.slice(0, 0), firsts).num_rows == 0
+
+
 def test_hash_collisions_take_the_next_base():
     rows = [b"ab" * 30, b"ba" * 30]
     data = np.frombuffer(b"".join(rows), np.uint8)
