@@ -44,11 +44,13 @@ CONTEXT_FLUSH = 4 << 20
 HOT = 50_000
 #: Strings that are sorted at a time (or those of one anchor).
 SORTED = 200_000
-#: Bytes of text that share a hash block, and texts that share a bucket; each is one task's work.
-BLOCK_BYTES = 256 << 20
+#: Bytes of text that share a hash block, and texts that share a bucket; each is one task's work. Small inputs get up to ``LEAST_BLOCKS``.
+BLOCK_BYTES = 32 << 20
+LEAST_BLOCKS = 64
 BUCKET_TEXTS = 250_000
 #: Odd bases of the polynomial hashes; a further one is taken where hashes agree and bytes do not.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
+_SPREAD = np.uint64(BASES[0])
 #: Of what each text shares the upper bytes of the hashes are sent; others that agree in them make a context travel for nothing.
 _TOP = np.uint64(0xFFFFFFFF00000000)
 
@@ -78,9 +80,9 @@ class Prefixes:
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return (self.sum[end] - self.sum[start]) * self.back[start]
 
-    def grams(self, size: int, kept: np.uint64) -> np.ndarray:
+    def grams(self, size: int) -> np.ndarray:
         n = len(self.sum) - size
-        return mix((self.sum[size:] - self.sum[:n]) * self.back[:n]) & kept if n > 0 else np.zeros(0, np.uint64)
+        return mix((self.sum[size:] - self.sum[:n]) * self.back[:n]) if n > 0 else np.zeros(0, np.uint64)
 
 
 def _kept(blocks: int) -> np.uint64:
@@ -98,13 +100,16 @@ def _least(h: np.ndarray, w: int) -> np.ndarray:
 
 
 def anchors(column: pa.Array, kept: np.uint64):
-    """(row, data, gram hashes, anchor hash of each string start) of each text of at least LENGTH bytes."""
+    """(row, data, gram names, anchor name of each string start) of each text of at least LENGTH bytes.
+
+    Least hashes are small ones, so a name is the hash times an odd number: names fill all blocks alike.
+    """
     data, offsets = text_bytes(column)
-    grams = Prefixes(data).grams(GRAM, kept)
+    grams = Prefixes(data).grams(GRAM)
     for r, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
         if b - a >= LENGTH:
             h = grams[a : b - GRAM + 1]
-            yield r, data[a:b], h, _least(h, LENGTH - GRAM + 1)
+            yield r, data[a:b], h * _SPREAD & kept, _least(h, LENGTH - GRAM + 1) * _SPREAD & kept
 
 
 def _packed_hashes(h: np.ndarray, size: int = 6) -> bytes:
@@ -360,16 +365,19 @@ def contexts(rows: DataFrame, blocks: int, bases: tuple[int, ...] = BASES) -> Da
 
 
 def _extension(prefix: Prefixes, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Common bytes of suffixes a and b, up to LENGTH, by binary search over prefix hashes."""
-    low, high = np.zeros(len(a), np.int64), np.full(len(a), LENGTH, np.int64)
-    while True:
-        live = low < high
-        if not live.any():
-            return low
+    """Common bytes of suffixes a and b, up to LENGTH, by binary search over prefix hashes where the whole differs."""
+    out = np.full(len(a), LENGTH, np.int64)
+    rest = np.flatnonzero(prefix.of(a, a + LENGTH) != prefix.of(b, b + LENGTH))
+    a, b = a[rest], b[rest]
+    sum_a, sum_b, back_a, back_b = prefix.sum[a], prefix.sum[b], prefix.back[a], prefix.back[b]
+    low, high = np.zeros(len(a), np.int64), np.full(len(a), LENGTH - 1, np.int64)
+    while (low < high).any():
         mid = (low + high + 1) // 2
-        same = prefix.of(a, a + mid) == prefix.of(b, b + mid)
+        same = (prefix.sum[a + mid] - sum_a) * back_a == (prefix.sum[b + mid] - sum_b) * back_b
         low = np.where(same, mid, low)
         high = np.where(same, high, mid - 1)
+    out[rest] = low
+    return out
 
 
 def _before(data: np.ndarray, prefix: Prefixes, a: np.ndarray, b: np.ndarray, ties: bool) -> np.ndarray:
@@ -380,8 +388,13 @@ def _before(data: np.ndarray, prefix: Prefixes, a: np.ndarray, b: np.ndarray, ti
 
 
 def sort_suffixes(data: np.ndarray, prefix: Prefixes, suffix: np.ndarray, group: np.ndarray) -> np.ndarray:
-    """Order of the suffixes (compared over LENGTH bytes) within ascending groups: bottom-up mergesort of all groups at once."""
+    """Order of the suffixes (compared over LENGTH bytes) within ascending groups: bottom-up mergesort of all groups at once.
+
+    The first eight bytes, as one number, decide where they differ.
+    """
     order = np.arange(len(suffix))
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    head = np.ndarray(len(data) + 1, ">u8", padded, strides=(1,))[suffix].astype(np.uint64)
     first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
     size = np.diff(np.append(first, len(group)))
     begin, count = np.repeat(first, size), np.repeat(size, size)
@@ -395,7 +408,7 @@ def sort_suffixes(data: np.ndarray, prefix: Prefixes, suffix: np.ndarray, group:
         start, high = low, np.minimum(other + run, count[live]) + begin[live]
         # Rank in the sister run; of equal suffixes those of the left run come first.
         right = mine % 2 == 1
-        x = suffix[order[live]]
+        x, head_x = suffix[order[live]], head[order[live]]
         high = high.copy()
         low = low.copy()
         while True:
@@ -403,11 +416,13 @@ def sort_suffixes(data: np.ndarray, prefix: Prefixes, suffix: np.ndarray, group:
             if not len(open_):
                 break
             mid = (low[open_] + high[open_]) // 2
-            y = suffix[order[mid]]
+            other_head, own_head = head[order[mid]], head_x[open_]
             r = right[open_]
-            left_first = np.empty(len(open_), bool)
-            left_first[r] = _before(data, prefix, y[r], x[open_][r], True)
-            left_first[~r] = _before(data, prefix, y[~r], x[open_][~r], False)
+            left_first = other_head < own_head
+            alike = other_head == own_head
+            for ties in (True, False):
+                like = np.flatnonzero(alike & (r == ties))
+                left_first[like] = _before(data, prefix, suffix[order[mid[like]]], x[open_[like]], ties)
             low[open_] = np.where(left_first, mid + 1, low[open_])
             high[open_] = np.where(left_first, high[open_], mid)
         target = begin[live] + (mine // 2) * 2 * run + place % run + (low - start)
@@ -513,7 +528,7 @@ def _sorted_spans(e: dict[str, np.ndarray], base: int) -> pa.Table:
     same = np.zeros(len(suffix), bool)
     if len(suffix):
         pairs = np.flatnonzero(group[1:] == group[:-1])
-        equal = pairs[_extension(prefix, suffix[pairs], suffix[pairs + 1]) == LENGTH]
+        equal = pairs[prefix.of(suffix[pairs], suffix[pairs] + LENGTH) == prefix.of(suffix[pairs + 1], suffix[pairs + 1] + LENGTH)]
         _verify(data, suffix[equal], suffix[equal + 1], np.full(len(equal), LENGTH), np.full(len(equal), LENGTH))
         same[equal + 1] = True
     kind = np.cumsum(~same) - 1
@@ -556,7 +571,7 @@ def find(docs: DataFrame, text: str = "text", hot: int = HOT, most: int = SORTED
     ids = materialise(keyed.where(F.octet_length("text") >= LENGTH).select("doc_id", "tk", check, F.octet_length("text").alias("size")), "dedup-ids")
     total = ids.agg(F.count("*").alias("texts"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks, buckets = max(2 * parts, total["bytes"] // BLOCK_BYTES), max(parts, total["texts"] // BUCKET_TEXTS)
+    blocks, buckets = max(min(parts, LEAST_BLOCKS), total["bytes"] // BLOCK_BYTES), max(parts, total["texts"] // BUCKET_TEXTS)
     least = ids.groupBy("tk", "check").agg(F.min("doc_id").alias("least")).withColumn("block", F.pmod("tk", F.lit(buckets)).cast("int"))
     number = F.row_number().over(Window.partitionBy("block").orderBy("tk", "check")).cast("long") * buckets + F.col("block")
     firsts = materialise(least.withColumn("n", number), "dedup-firsts")

@@ -497,6 +497,15 @@ def test_packed_anchors_stay_small_in_many_blocks():
     assert sorted(zip(back["key"].tolist(), back["hash"].tolist())) == sorted(zip(keys[at].tolist(), h.tolist()))
 
 
+def test_anchors_fill_all_blocks():
+    """The least hash of a window is a small one; the blocks must not be."""
+    rng = np.random.default_rng(3)
+    texts = pa.array(["".join(map(chr, rng.integers(97, 123, 20_000))) for _ in range(4)])
+    names = np.concatenate([np.unique(low) for *_, low in suffix_dedup.anchors(texts, suffix_dedup._kept(16))])
+    counts = np.bincount(suffix_dedup._block_of(names, 16), minlength=16)
+    assert counts.max() < 1.5 * counts.mean() and counts.min() > counts.mean() / 1.5
+
+
 def test_numbers_come_back_from_few_bytes():
     rng = np.random.default_rng(2)
     first = np.array([0, 1, 40, 41])
